@@ -1,0 +1,37 @@
+"""Queries of the problems tagged llm; names start with the problem's number."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.history import duplicates_of_accepted
+
+    return duplicates_of_accepted(_read(spark, folder, "scripts"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.site_lines import repeated_lines
+
+    return repeated_lines(_read(spark, folder, "scripts"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.one_form import changed_records
+
+    return changed_records({"scripts": (_read(spark, folder, "scripts"), "title"), "update_llm_ready": (_read(spark, folder, "update_llm_ready"), "main_text")})
+
+
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.encoding import encode_corpus
+
+    return encode_corpus(_read(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p8_ids)}
+ORACLE: dict[str, str] = {}
