@@ -27,11 +27,29 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return changed_records({"scripts": (_read(spark, folder, "scripts"), "title"), "update_llm_ready": (_read(spark, folder, "update_llm_ready"), "main_text")})
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.near_records import near_duplicate_pairs
+
+    return near_duplicate_pairs(_read(spark, folder, "update_llm_ready"))
+
+
+def p6_links(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.near_records import near_duplicate_links
+
+    return near_duplicate_links(_read(spark, folder, "update_llm_ready"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.encoding import encode_corpus
 
     return encode_corpus(_read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p8_ids)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.wrong_encoding import garbled_documents
+
+    return garbled_documents(_read(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p6_links, p8_ids, p10_found)}
 ORACLE: dict[str, str] = {}
