@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from presslake.session import cut_lineage
 
-#: Cells of the count sketch: 4 MB as 32-bit numbers, at any size of the data.
-SKETCH_CELLS = 1 << 20
+#: Cells of the count sketch, a byte each: 4 MB at any size of the data.
+SKETCH_BITS = 22
+SKETCH_CELLS = 1 << SKETCH_BITS
 #: Shared n-grams asked of a pair before its overlap is counted in full.
 LEAST_SHARED = 8
 TOKEN = regex.compile(r"[一-鿿]|[\p{L}\p{Nd}--[一-鿿]]+", regex.V1)
@@ -56,7 +57,7 @@ def ngram_set(text: str, n: int = 4) -> np.ndarray:
 
 
 def _cells(grams: np.ndarray) -> np.ndarray:
-    return (grams.view(np.uint64) >> np.uint64(44)).astype(np.int64)  # the upper 20 bits
+    return (grams.view(np.uint64) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
 def ngram_sets(rows: DataFrame, n: int = 4) -> DataFrame:
@@ -71,20 +72,28 @@ def ngram_sets(rows: DataFrame, n: int = 4) -> DataFrame:
     return rows.mapInPandas(build, "rec_id bigint, grams array<bigint>")
 
 
-def _sketch(sets: DataFrame) -> np.ndarray:
+def _sketch(sets: DataFrame) -> bytes:
+    """One byte per cell: 0 for none, 1 for a count of one, then eighths of its logarithm."""
+
     def count(batches):
-        cells = np.zeros(SKETCH_CELLS, np.int64)
+        cells = np.zeros(SKETCH_CELLS, np.int32)
         for b in batches:
             if len(b):
-                cells += np.bincount(_cells(np.concatenate([np.asarray(g, np.int64) for g in b["grams"]])), minlength=SKETCH_CELLS)
+                used, n = np.unique(_cells(np.concatenate([np.asarray(g, np.int64) for g in b["grams"]])), return_counts=True)
+                cells[used] += n.astype(np.int32)
         used = np.flatnonzero(cells)
-        yield pd.DataFrame({"cell": used.astype(np.int32), "n": cells[used]})
+        for i in range(0, len(used), 100_000):
+            at = used[i : i + 100_000]
+            yield pd.DataFrame({"cell": at.astype(np.int32), "n": cells[at].astype(np.int64)})
+
+    def pack(batches):
+        code = np.zeros(SKETCH_CELLS, np.uint8)
+        for b in batches:
+            code[b["cell"].to_numpy()] = 1 + np.minimum(254, (8 * np.log2(b["n"].to_numpy())).astype(np.int64))
+        yield pd.DataFrame({"code": [code.tobytes()]})
 
     total = sets.select("grams").mapInPandas(count, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    table = total.toPandas()  # at most SKETCH_CELLS rows
-    out = np.zeros(SKETCH_CELLS, np.int32)
-    out[table["cell"].to_numpy()] = np.minimum(table["n"].to_numpy(), 2**31 - 1)
-    return out
+    return bytes(total.coalesce(1).mapInPandas(pack, "code binary").first()["code"])  # of at most SKETCH_CELLS rows
 
 
 def _least_overlap(m, n, t: float):
@@ -98,7 +107,7 @@ def similar_sets(sets: DataFrame, threshold: float = 0.5) -> DataFrame:
     shipped = sets.sparkSession.sparkContext.broadcast(_sketch(sets))
 
     def place(batches):
-        sketch = shipped.value
+        sketch = np.frombuffer(shipped.value, np.uint8)
         for b in batches:
             recs, sizes, places, grams = [], [], [], []
             for rec, g in zip(b["rec_id"], b["grams"]):
