@@ -39,6 +39,12 @@ def p6_links(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_links(_read(spark, folder, "update_llm_ready"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.page_frame import page_frame
+
+    return page_frame({"site_adapters": (_read(spark, folder, "site_adapters"), "body"), "parsers": (_read(spark, folder, "parsers"), "list_text")})
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.encoding import encode_corpus
 
@@ -51,5 +57,5 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return garbled_documents(_read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p6_links, p8_ids, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p6_links, p7_found, p8_ids, p10_found)}
 ORACLE: dict[str, str] = {}
