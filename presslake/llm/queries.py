@@ -27,6 +27,12 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return changed_records({"scripts": (_read(spark, folder, "scripts"), "title"), "update_llm_ready": (_read(spark, folder, "update_llm_ready"), "main_text")})
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.scanned import scan_noise
+
+    return scan_noise(_read(spark, folder, "update_llm_ready"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.near_records import near_duplicate_pairs
 
@@ -57,5 +63,5 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return garbled_documents(_read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p6_links, p7_found, p8_ids, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p6_found, p6_links, p7_found, p8_ids, p10_found)}
 ORACLE: dict[str, str] = {}
