@@ -57,11 +57,23 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(_read(spark, folder, "documents"))
 
 
+def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.containers import fill_with_documents
+
+    return fill_with_documents(_read(spark, folder, "documents"), _read(spark, folder, "container_specs"))
+
+
+def p9_summary(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.containers import fill_summary
+
+    return fill_summary(p9_containers(spark, folder), _read(spark, folder, "container_specs"))
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.wrong_encoding import garbled_documents
 
     return garbled_documents(_read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p6_found, p6_links, p7_found, p8_ids, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p6_found, p6_links, p7_found, p8_ids, p9_containers, p9_summary, p10_found)}
 ORACLE: dict[str, str] = {}
