@@ -1,15 +1,35 @@
-"""Queries of the core, by name."""
+"""Queries of the core, by name, each with its SQL for DuckDB where SQL can say it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from presslake.functions import dates, text, urls
+from presslake.operators import records, reports, rules
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query()
+def p1_found(spark, folder):
     from presslake.operators.timestamps import normalise_timestamps
 
     tables = {
@@ -20,5 +40,218 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return normalise_timestamps(tables, read(spark, folder, "source_registry"))
 
 
-QUERIES = {"p1_found": p1_found}
-ORACLE: dict[str, str] = {}
+# Terms that occur in the test tables, standing for a taxonomy.
+TAXONOMY = [
+    rules.Keyword("catheter", "device", ("stent", "trocar"), 3), rules.Keyword("recall", "safety", ("recalls", "recalled"), 5), rules.Keyword("blister", "packaging", ("sachet", "pouch"), 4),
+    rules.Keyword("high-barrier", "packaging", ("heat-sealed", "tamper-evident"), 4), rules.Keyword("tender", "procurement", ("tenders", "contracts"), 2), rules.Keyword("licence", "regulatory", ("licences", "registration"), 3),
+    rules.Keyword("召回", "safety", ("撤回",), 5, "zh"), rules.Keyword("招标", "procurement", ("采购",), 2, "zh"), rules.Keyword("filem", "packaging", ("bekas",), 2, "ms"),
+]
+HIGH, MEDIUM, LOW = ["blister", "high-barrier"], ["filem"], ["licence"]
+BONUSES = [rules.Points("device", 6, ["catheter", "stent", "trocar"]), rules.Points("safety", 5, ["recall", "recalls", "recalled", "召回"]), rules.Points("market", 4, ["tender", "tenders", "招标"])]
+PENALTIES = [rules.Points("training", 8, ["training", "seminar"]), rules.Points("delay", 3, ["delayed", "推迟"])]
+
+
+def _sql_phrase(column: str, phrase: str) -> str:
+    p = phrase.lower()
+    if p.isascii() and p.isalnum():
+        return f"regexp_matches({column}, '(?:^|[^\\p{{L}}\\p{{N}}_]){p}(?:$|[^\\p{{L}}\\p{{N}}_])')"
+    return f"contains({column}, '{p}')"
+
+
+def _sql_any(column: str, phrases) -> str:
+    return "(" + " or ".join(_sql_phrase(column, p) for p in phrases) + ")"
+
+
+_WS = r"[\s\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{85}]+"
+_SQUEEZE = lambda c: f"trim(regexp_replace(coalesce({c}, ''), '{_WS}', ' ', 'g'))"
+_TEXT = f"lower({_SQUEEZE("concat_ws(' ', title, body)")})"
+_KEYWORDS = "list_filter([" + ", ".join(f"case when {_sql_any('t', k.phrases())} then '{k.keyword}' end" for k in TAXONOMY) + "], lambda x: x is not null)"
+_CATEGORY = "{" + ", ".join(f"'{k.keyword}': '{k.category}'" for k in TAXONOMY) + "}"
+_MATCHED = f"with a as (select *, {_TEXT} t, lower({_SQUEEZE('title')}) h from parsers), m as (select *, {_KEYWORDS} k from a)"
+_N = lambda names: "len(list_filter(k, lambda x: x in (" + ", ".join(f"'{n}'" for n in names) + ")))"
+_TIER = (
+    f"least(10, case when {_N(HIGH)} > 0 then 6 + 2 * least(2, {_N(HIGH)} - 1) else 0 end + case when {_N(MEDIUM)} > 0 then 4 + least(1, {_N(MEDIUM)} - 1) else 0 end + least(2, {_N(LOW)}))"
+)
+_POINTS = "greatest(0, least(20, " + " + ".join(f"case when {_sql_any('t', p.terms)} then {s * p.points} else 0 end" for ps, s in ((BONUSES, 1), (PENALTIES, -1)) for p in ps) + "))"
+_NEGATIVE = _sql_any("t", [t for p in PENALTIES for t in p.terms])
+_SCORED = _MATCHED + (
+    f", s as (select *, coalesce(starts_with(scrape_status, 'success'), false) and length({_SQUEEZE('body')}) >= 80 as valid, {_TIER} tier, {_POINTS} pts, {_NEGATIVE} neg from m)"
+    ", g as (select *, valid and ((len(k) > 0 and not neg) or tier >= 5) as inc, case when valid then pts else 0 end as p from s)"
+    ", r as (select *, case when inc and (p >= 16 or tier >= 7) then 'high' when inc then 'matched' else 'excluded' end as prio from g)"
+)
+
+
+def scored(spark, folder):
+    return rules.article_scores(read(spark, folder, "parsers"), TAXONOMY, HIGH, MEDIUM, LOW, BONUSES, PENALTIES)
+
+
+@query(_SCORED + " select source_name, country, count(*) records, count(*) filter (where inc) included, count(*) filter (where prio = 'high') high, max(p)::int max_points from r group by all")
+def flagship_source_rollup(spark, folder):
+    rows = scored(spark, folder)
+    return rows.groupBy("source_name", "country").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if("include").alias("included"), F.count_if(F.col("priority") == "high").alias("high"), F.max("points").cast("int").alias("max_points")
+    )
+
+
+@query(_MATCHED + " select rec_id, array_to_string(k, '|') matched, len(k)::int n from m")
+def keyword_match(spark, folder):
+    rows = rules.match_keywords(read(spark, folder, "parsers"), TAXONOMY)
+    return rows.select("rec_id", F.array_join("matched_keywords", "|").alias("matched"), F.size("matched_keywords").alias("n"))
+
+
+@query(_SCORED + " select rec_id, tier::int tier_score, p::int points, inc include, prio priority from r")
+def article_scores(spark, folder):
+    return scored(spark, folder).select("rec_id", F.col("tier_score").cast("int").alias("tier_score"), F.col("points").cast("int").alias("points"), "include", "priority")
+
+
+@query(_SCORED + " select prio priority, count(*) n, count(*) filter (where valid) valid from r group by 1")
+def run_summary(spark, folder):
+    return scored(spark, folder).groupBy("priority").agg(F.count(F.lit(1)).alias("n"), F.count_if("valid").alias("valid"))
+
+
+_WEIGHTS = {"launched": 5, "approved": 4, "recalled": 5, "suspended": 2, "delayed": -3, "cancelled": -4, "withdrew": -2}
+
+
+@query("select rec_id, (" + " + ".join(f"case when contains(lower(coalesce(title, '')), '{t}') then {w} else 0 end" for t, w in _WEIGHTS.items()) + ")::int score from parsers")
+def signed_term_score(spark, folder):
+    return read(spark, folder, "parsers").select("rec_id", rules.term_score(F.lower(F.coalesce("title", F.lit(""))), _WEIGHTS).cast("int").alias("score"))
+
+
+# --- scalars ---------------------------------------------------------------------------
+
+
+@query(f"select rec_id, {_SQUEEZE('title')} squeezed, lower(squeezed) lowered from parsers")
+def norm_title(spark, folder):
+    c = text.squeeze(F.col("title"))
+    return read(spark, folder, "parsers").select("rec_id", c.alias("squeezed"), F.lower(c).alias("lowered"))
+
+
+_BARE = lambda c: rf"regexp_replace(lower({_SQUEEZE(c)}), '[^\p{{L}}\p{{N}}_\s]', '', 'g')"
+
+
+@query(f"with b as (select rec_id, {_BARE('body')} x from parsers) select rec_id, length(x)::int n, case when length(x) < 80 then '' else sha256(x) end fingerprint from b")
+def content_fingerprint(spark, folder):
+    c = F.col("body")
+    return read(spark, folder, "parsers").select("rec_id", F.length(text.bare_content(c)).alias("n"), text.fingerprint(c).alias("fingerprint"))
+
+
+_URL = r"'^([A-Za-z][A-Za-z0-9+.\-]*):(?://)?([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$'"
+_URLS = f"with u as (select rec_id, trim(coalesce(link, '')) l from scripts), p as (select rec_id, l, lower(regexp_extract(l, {_URL}, 1)) s, lower(regexp_extract(l, {_URL}, 2)) h, regexp_extract(l, {_URL}, 3) pa, list_transform(list_filter(string_split(regexp_extract(l, {_URL}, 4), '&'), lambda x: x <> ''), lambda x: case when contains(x, '=') then x else x || '=' end) q from u)"
+_DROP_A = "(" + ", ".join(f"'{x}'" for x in urls.TRACKING_FOR_DEDUP) + ")"
+
+
+@query(
+    _URLS + f", k as (select *, rtrim(regexp_replace(pa, '/{{2,}}', '/', 'g'), '/') pb, list_sort(list_filter(q, lambda x: lower(split_part(x, '=', 1)) not in {_DROP_A})) qq from p)"
+    " select rec_id, case when s <> '' then s || '://' || h else '' end || case when pb = '' then '/' else pb end || case when len(qq) > 0 then '?' || array_to_string(qq, '&') else '' end dedup_key from k where not contains(l, chr(10))"
+)
+def url_dedup_key(spark, folder):
+    rows = read(spark, folder, "scripts").where(~F.contains(F.trim(F.coalesce("link", F.lit(""))), F.lit("\n")))
+    return rows.select("rec_id", urls.dedup_key(F.col("link")).alias("dedup_key"))
+
+
+@query(
+    _URLS + ", k as (select *, list_filter(q, lambda x: lower(split_part(x, '=', 1)) not in ('_sp', 'fbclid', 'gclid') and not starts_with(lower(x), 'utm_')) qq from p)"
+    " select rec_id, case when s = '' then '' else s || '://' || h || pa || case when len(qq) > 0 then '?' || array_to_string(qq, '&') else '' end end ledger_key from k where not contains(l, chr(10))"
+)
+def url_ledger_key(spark, folder):
+    rows = read(spark, folder, "scripts").where(~F.contains(F.trim(F.coalesce("link", F.lit(""))), F.lit("\n")))
+    return rows.select("rec_id", urls.ledger_key(F.col("link")).alias("ledger_key"))
+
+
+@query(
+    f"select rec_id, regexp_replace(url, '#.*$', '') bare, lower(regexp_extract(url, {_URL}, 2)) host, regexp_extract(regexp_extract(url, {_URL}, 3), '(\\d+)\\D*$', 1) number,"
+    " case when contains(url, '?') then url || '&limit=20' else url || '?limit=20' end limited from parsers where url is not null"
+)
+def url_parts(spark, folder):
+    u = F.col("url")
+    return read(spark, folder, "parsers").where("url is not null").select(
+        "rec_id", urls.without_fragment(u).alias("bare"), urls.host(u).alias("host"), urls.last_number(u).alias("number"), urls.with_parameter(u, "limit", "20").alias("limited")
+    )
+
+
+@query()
+def url_resolve(spark, folder):
+    rows = read(spark, folder, "site_adapters").where("url is not null")
+    return rows.select("rec_id", urls.page_address(urls.resolved(F.col("url"), F.lit("../notice//7.html?x=1#top"))).alias("address"))
+
+
+_HTML = r"regexp_replace(regexp_replace(regexp_replace(coalesce(content_html, ''), '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+
+
+@query(f"select rec_id, trim({_HTML}) plain, replace(replace(replace(coalesce(title, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') escaped from scripts where not contains(coalesce(title, ''), '\"') and not contains(coalesce(title, ''), chr(39))")
+def html_strip(spark, folder):
+    rows = read(spark, folder, "scripts").where(~F.coalesce("title", F.lit("")).rlike("[\"']"))
+    return rows.select("rec_id", F.trim(text.without_markup(F.col("content_html"))).alias("plain"), text.html_escaped(F.coalesce("title", F.lit(""))).alias("escaped"))
+
+
+_TIDY = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(content_text, ''), '\r\n?', chr(10), 'g'), '\x{a0}', ' ', 'g'), '[\x{200b}\x{200c}\x{200d}\x{feff}]', '', 'g'), '[ \t]+', ' ', 'g'), '\n[ \t]+', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^[\s]+|[\s]+$', '', 'g')"
+
+
+@query(f"select rec_id, md5({_TIDY}) tidy_md5, length({_TIDY})::int n from scripts")
+def text_normalize(spark, folder):
+    c = text.tidy_lines(F.col("content_text"))
+    return read(spark, folder, "scripts").select("rec_id", F.md5(c).alias("tidy_md5"), F.length(c).alias("n"))
+
+
+_NOISE = [r"read \d+ times", r"sign up for .*", r"follow .*", r"more from .*", r"sponsored by .*", r"版权所有.*"]
+
+
+@query(
+    "with l as (select rec_id, list_filter(list_transform(string_split(content_text, chr(10)), lambda x: trim(x)), lambda x: not regexp_full_match(x, '(?i)(?:" + "|".join(_NOISE) + ")')) k from scripts where content_text is not null)"
+    " select rec_id, md5(array_to_string(k, chr(10))) kept_md5 from l"
+)
+def noise_lines_removed(spark, folder):
+    return read(spark, folder, "scripts").where("content_text is not null").select("rec_id", F.md5(text.without_noise_lines(F.col("content_text"), _NOISE)).alias("kept_md5"))
+
+
+@query("select rec_id, case when contains(title, ': ') then trim(regexp_extract(title, '(?s)^(.*): (.*)$', 1)) else title end head, case when contains(title, ': ') then trim(regexp_extract(title, '(?s)^(.*): (.*)$', 2)) else '' end publisher from site_adapters where title is not null")
+def publisher_split(spark, folder):
+    rows = read(spark, folder, "site_adapters").where("title is not null").withColumn("s", text.split_publisher(F.col("title"), ": "))
+    return rows.select("rec_id", "s.head", "s.publisher")
+
+
+@query("select rec_id, array_to_string(list_filter(list_transform(string_split(replace(replace(coalesce(array_to_string(source_tags, '，'), ''), '，', ','), '、', ','), ','), lambda x: trim(x)), lambda x: x <> ''), ';') tags from scripts")
+def tag_split(spark, folder):
+    joined = F.array_join(F.col("source_tags"), "，")
+    return read(spark, folder, "scripts").select("rec_id", F.array_join(text.split_tags(joined), ";").alias("tags"))
+
+
+_MONTHS = "map {" + ", ".join(f"'{w}': {i}" for i, ws in enumerate(dates.MONTH_WORDS, 1) for w in ws) + "}"
+
+
+def _sql_date(y: str, m: str, d: str) -> str:
+    return f"try_cast({y} || '-' || lpad({m}, 2, '0') || '-' || lpad({d}, 2, '0') as date)"
+
+
+def _sql_found(c: str, pattern: str, y: int, m: int, d: int, word: bool) -> str:
+    part = lambda i: f"regexp_extract({c}, '{pattern}', {i})"
+    month = f"({_MONTHS})[lower({part(m)})]::varchar" if word else part(m)
+    return f"case when regexp_matches({c}, '{pattern}') then {_sql_date(part(y), month, part(d))} end"
+
+
+_ISO, _DAY, _DW, _MW = r"\b(20\d{2})[-/.](\d{1,2})[-/.](\d{1,2})\b", r"\b(\d{1,2})[-/.](\d{1,2})[-/.](20\d{2})\b", r"(?i)\b(\d{1,2}) ([a-z]+) (20\d{2})\b", r"(?i)\b([a-z]+) (\d{1,2}) (20\d{2})\b"
+_DATES = (
+    "with d as (select rec_id, published_date p, trim(regexp_replace(replace(coalesce(published_date, ''), ',', ' '), '\\s+', ' ', 'g')) c from parsers where regexp_full_match(coalesce(published_date, ''), '[ -~]*'))"
+    f" , e as (select rec_id, p, case when regexp_matches(c, '{_ISO}') then {_sql_found('c', _ISO, 1, 2, 3, False)} when regexp_matches(c, '{_DAY}') then {_sql_found('c', _DAY, 3, 2, 1, False)}"
+    f" else coalesce({_sql_found('c', _DW, 3, 2, 1, True)}, {_sql_found('c', _MW, 3, 1, 2, True)}) end any_date from d)"
+)
+
+
+@query(_DATES + r" select rec_id, any_date, try_cast(regexp_extract(p, '^(\d{4}-\d{2}-\d{2})', 1) as date) iso_prefix, try_cast(regexp_replace(regexp_extract(p, '^(20\d{6})', 1), '(\d{4})(\d{2})(\d{2})', '\1-\2-\3') as date) compact from e")
+def parse_dates(spark, folder):
+    p = F.col("published_date")
+    rows = read(spark, folder, "parsers").where(F.coalesce(p, F.lit("")).rlike("^[ -~]*$"))
+    return rows.select("rec_id", dates.any_date(p).alias("any_date"), dates.iso_prefix(p).alias("iso_prefix"), dates.compact_date(p).alias("compact"))
+
+
+_CN, _MAIL = r"(\d{4})年(\d{1,2})月(\d{1,2})日", r"(?i)^\s*(?:[a-z]{3}, )?(\d{1,2}) ([a-z]{3}) (\d{4}) \d{2}:\d{2}"
+
+
+@query(
+    f"select rec_id, {_sql_found('published_date', _CN, 1, 2, 3, False)} chinese, {_sql_found('published_date', _MAIL, 3, 2, 1, True)} mail"
+    r" from parsers where published_date is not null and not regexp_matches(published_date, '^\d{4}-\d{2}-\d{2}')"
+)
+def parse_dates_more(spark, folder):
+    p = F.col("published_date")
+    rows = read(spark, folder, "parsers").where(p.isNotNull() & ~p.rlike(r"^\d{4}-\d{2}-\d{2}"))
+    return rows.select("rec_id", dates.chinese_date(p).alias("chinese"), dates.mail_date(p).alias("mail"))
