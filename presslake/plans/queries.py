@@ -255,3 +255,6 @@ def parse_dates_more(spark, folder):
     p = F.col("published_date")
     rows = read(spark, folder, "parsers").where(p.isNotNull() & ~p.rlike(r"^\d{4}-\d{2}-\d{2}"))
     return rows.select("rec_id", dates.chinese_date(p).alias("chinese"), dates.mail_date(p).alias("mail"))
+
+
+from presslake.plans import relational  # noqa: E402, F401  (adds its queries)
