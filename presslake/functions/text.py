@@ -181,7 +181,7 @@ def company_names(text: Column, organization: Column, excluded: list[str], suffi
     legal suffix; those of ``excluded`` and the organization itself left out."""
     tidy = lambda x: F.substring(F.regexp_replace(F.regexp_replace(x, WS, " "), r"^[ ,.;:\-]+|[ ,.;:\-]+$", ""), 1, 120)
     labelled = F.regexp_extract_all(text, F.lit(rf"(?i)(?:{labels})\s*:\s*([^.;\n]{{2,100}})"), F.lit(1))
-    named = F.regexp_extract_all(text, F.lit(rf"\b((?:[A-Z][A-Za-z0-9&'()\-]*\s+){{1,6}}(?:{suffixes}))\b"), F.lit(1))
+    named = F.regexp_extract_all(text, F.lit(rf"(?:^|[^A-Za-z0-9_])((?:[A-Z][A-Za-z0-9&'()\-]*\s+){{1,6}}(?:{suffixes}))(?:[^A-Za-z0-9_]|$)"), F.lit(1))
     names = F.array_distinct(F.filter(F.transform(F.concat(labelled, named), tidy), lambda x: x != ""))
     banned = F.array(*[F.lit(e.lower()) for e in excluded], F.lower(F.coalesce(organization, F.lit(""))))
     return F.filter(names, lambda x: ~F.array_contains(banned, F.lower(x)))

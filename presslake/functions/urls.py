@@ -17,7 +17,7 @@ _PARTS = r"^([A-Za-z][A-Za-z0-9+.\-]*):(?://)?([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:
 
 
 def _part(url: Column, n: int) -> Column:
-    return F.regexp_extract(F.trim(F.coalesce(url, F.lit(""))), _PARTS, n)
+    return F.regexp_extract(F.regexp_replace(F.coalesce(url, F.lit("")), r"^\s+|\s+$", ""), _PARTS, n)
 
 
 def scheme(url: Column) -> Column:

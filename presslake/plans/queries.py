@@ -136,26 +136,33 @@ def content_fingerprint(spark, folder):
 
 
 _URL = r"'^([A-Za-z][A-Za-z0-9+.\-]*):(?://)?([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$'"
-_URLS = f"with u as (select rec_id, trim(coalesce(link, '')) l from scripts), p as (select rec_id, l, lower(regexp_extract(l, {_URL}, 1)) s, lower(regexp_extract(l, {_URL}, 2)) h, regexp_extract(l, {_URL}, 3) pa, list_transform(list_filter(string_split(regexp_extract(l, {_URL}, 4), '&'), lambda x: x <> ''), lambda x: case when contains(x, '=') then x else x || '=' end) q from u)"
 _DROP_A = "(" + ", ".join(f"'{x}'" for x in urls.TRACKING_FOR_DEDUP) + ")"
 
 
-@query(
-    _URLS + f", k as (select *, rtrim(regexp_replace(pa, '/{{2,}}', '/', 'g'), '/') pb, list_sort(list_filter(q, lambda x: lower(split_part(x, '=', 1)) not in {_DROP_A})) qq from p)"
-    " select rec_id, case when s <> '' then s || '://' || h else '' end || case when pb = '' then '/' else pb end || case when len(qq) > 0 then '?' || array_to_string(qq, '&') else '' end dedup_key from k where not contains(l, chr(10))"
-)
+def _address_sql(table: str, column: str, *more: str) -> str:
+    """Parts of an address: l text, s scheme, h host, pa path, pb tidy path, q pairs, qq pairs that count for duplicates."""
+    keep = "".join(f", {m}" for m in more)
+    return (
+        f"with u as (select rec_id{keep}, regexp_replace(coalesce({column}, ''), '^\\s+|\\s+$', '', 'g') l from {table}), p as (select *, lower(regexp_extract(l, {_URL}, 1)) s, lower(regexp_extract(l, {_URL}, 2)) h, regexp_extract(l, {_URL}, 3) pa,"
+        f" list_transform(list_filter(string_split(regexp_extract(l, {_URL}, 4), '&'), lambda x: x <> ''), lambda x: case when contains(x, '=') then x else x || '=' end) q from u),"
+        f" k as (select *, rtrim(regexp_replace(pa, '/{{2,}}', '/', 'g'), '/') pb, list_sort(list_filter(q, lambda x: lower(split_part(x, '=', 1)) not in {_DROP_A})) qq from p)"
+    )
+
+
+_KEY_A = "(case when s <> '' then s || '://' || h else '' end || case when pb = '' then '/' else pb end || case when len(qq) > 0 then '?' || array_to_string(qq, '&') else '' end)"
+
+
+@query(_address_sql("scripts", "link") + f" select rec_id, {_KEY_A} dedup_key from k")
 def url_dedup_key(spark, folder):
-    rows = read(spark, folder, "scripts").where(~F.contains(F.trim(F.coalesce("link", F.lit(""))), F.lit("\n")))
-    return rows.select("rec_id", urls.dedup_key(F.col("link")).alias("dedup_key"))
+    return read(spark, folder, "scripts").select("rec_id", urls.dedup_key(F.col("link")).alias("dedup_key"))
 
 
 @query(
-    _URLS + ", k as (select *, list_filter(q, lambda x: lower(split_part(x, '=', 1)) not in ('_sp', 'fbclid', 'gclid') and not starts_with(lower(x), 'utm_')) qq from p)"
-    " select rec_id, case when s = '' then '' else s || '://' || h || pa || case when len(qq) > 0 then '?' || array_to_string(qq, '&') else '' end end ledger_key from k where not contains(l, chr(10))"
+    _address_sql("scripts", "link") + ", b as (select *, list_filter(q, lambda x: lower(split_part(x, '=', 1)) not in ('_sp', 'fbclid', 'gclid') and not starts_with(lower(x), 'utm_')) qb from k)"
+    " select rec_id, case when s = '' then '' else s || '://' || h || pa || case when len(qb) > 0 then '?' || array_to_string(qb, '&') else '' end end ledger_key from b"
 )
 def url_ledger_key(spark, folder):
-    rows = read(spark, folder, "scripts").where(~F.contains(F.trim(F.coalesce("link", F.lit(""))), F.lit("\n")))
-    return rows.select("rec_id", urls.ledger_key(F.col("link")).alias("ledger_key"))
+    return read(spark, folder, "scripts").select("rec_id", urls.ledger_key(F.col("link")).alias("ledger_key"))
 
 
 @query(
@@ -178,10 +185,9 @@ def url_resolve(spark, folder):
 _HTML = r"regexp_replace(regexp_replace(regexp_replace(coalesce(content_html, ''), '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g')"
 
 
-@query(f"select rec_id, trim({_HTML}) plain, replace(replace(replace(coalesce(title, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') escaped from scripts where not contains(coalesce(title, ''), '\"') and not contains(coalesce(title, ''), chr(39))")
+@query(f"select rec_id, trim({_HTML}) plain, replace(replace(replace(replace(replace(coalesce(title, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;'), chr(39), '&#x27;') escaped from scripts")
 def html_strip(spark, folder):
-    rows = read(spark, folder, "scripts").where(~F.coalesce("title", F.lit("")).rlike("[\"']"))
-    return rows.select("rec_id", F.trim(text.without_markup(F.col("content_html"))).alias("plain"), text.html_escaped(F.coalesce("title", F.lit(""))).alias("escaped"))
+    return read(spark, folder, "scripts").select("rec_id", F.trim(text.without_markup(F.col("content_html"))).alias("plain"), text.html_escaped(F.coalesce("title", F.lit(""))).alias("escaped"))
 
 
 _TIDY = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(content_text, ''), '\r\n?', chr(10), 'g'), '\x{a0}', ' ', 'g'), '[\x{200b}\x{200c}\x{200d}\x{feff}]', '', 'g'), '[ \t]+', ' ', 'g'), '\n[ \t]+', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^[\s]+|[\s]+$', '', 'g')"
@@ -197,11 +203,11 @@ _NOISE = [r"read \d+ times", r"sign up for .*", r"follow .*", r"more from .*", r
 
 
 @query(
-    "with l as (select rec_id, list_filter(list_transform(string_split(content_text, chr(10)), lambda x: trim(x)), lambda x: not regexp_full_match(x, '(?i)(?:" + "|".join(_NOISE) + ")')) k from scripts where content_text is not null)"
+    "with l as (select rec_id, list_filter(list_transform(string_split(coalesce(content_text, ''), chr(10)), lambda x: trim(x)), lambda x: not regexp_full_match(x, '(?i)(?:" + "|".join(_NOISE) + ")')) k from scripts)"
     " select rec_id, md5(array_to_string(k, chr(10))) kept_md5 from l"
 )
 def noise_lines_removed(spark, folder):
-    return read(spark, folder, "scripts").where("content_text is not null").select("rec_id", F.md5(text.without_noise_lines(F.col("content_text"), _NOISE)).alias("kept_md5"))
+    return read(spark, folder, "scripts").select("rec_id", F.md5(text.without_noise_lines(F.col("content_text"), _NOISE)).alias("kept_md5"))
 
 
 @query("select rec_id, case when contains(title, ': ') then trim(regexp_extract(title, '(?s)^(.*): (.*)$', 1)) else title end head, case when contains(title, ': ') then trim(regexp_extract(title, '(?s)^(.*): (.*)$', 2)) else '' end publisher from site_adapters where title is not null")
@@ -231,7 +237,7 @@ def _sql_found(c: str, pattern: str, y: int, m: int, d: int, word: bool) -> str:
 
 _ISO, _DAY, _DW, _MW = r"\b(20\d{2})[-/.](\d{1,2})[-/.](\d{1,2})\b", r"\b(\d{1,2})[-/.](\d{1,2})[-/.](20\d{2})\b", r"(?i)\b(\d{1,2}) ([a-z]+) (20\d{2})\b", r"(?i)\b([a-z]+) (\d{1,2}) (20\d{2})\b"
 _DATES = (
-    "with d as (select rec_id, published_date p, trim(regexp_replace(replace(coalesce(published_date, ''), ',', ' '), '\\s+', ' ', 'g')) c from parsers where regexp_full_match(coalesce(published_date, ''), '[ -~]*'))"
+    "with d as (select rec_id, published_date p, trim(regexp_replace(replace(coalesce(published_date, ''), ',', ' '), '\\s+', ' ', 'g')) c from parsers)"
     f" , e as (select rec_id, p, case when regexp_matches(c, '{_ISO}') then {_sql_found('c', _ISO, 1, 2, 3, False)} when regexp_matches(c, '{_DAY}') then {_sql_found('c', _DAY, 3, 2, 1, False)}"
     f" else coalesce({_sql_found('c', _DW, 3, 2, 1, True)}, {_sql_found('c', _MW, 3, 1, 2, True)}) end any_date from d)"
 )
@@ -240,21 +246,16 @@ _DATES = (
 @query(_DATES + r" select rec_id, any_date, try_cast(regexp_extract(p, '^(\d{4}-\d{2}-\d{2})', 1) as date) iso_prefix, try_cast(regexp_replace(regexp_extract(p, '^(20\d{6})', 1), '(\d{4})(\d{2})(\d{2})', '\1-\2-\3') as date) compact from e")
 def parse_dates(spark, folder):
     p = F.col("published_date")
-    rows = read(spark, folder, "parsers").where(F.coalesce(p, F.lit("")).rlike("^[ -~]*$"))
-    return rows.select("rec_id", dates.any_date(p).alias("any_date"), dates.iso_prefix(p).alias("iso_prefix"), dates.compact_date(p).alias("compact"))
+    return read(spark, folder, "parsers").select("rec_id", dates.any_date(p).alias("any_date"), dates.iso_prefix(p).alias("iso_prefix"), dates.compact_date(p).alias("compact"))
 
 
 _CN, _MAIL = r"(\d{4})年(\d{1,2})月(\d{1,2})日", r"(?i)^\s*(?:[a-z]{3}, )?(\d{1,2}) ([a-z]{3}) (\d{4}) \d{2}:\d{2}"
 
 
-@query(
-    f"select rec_id, {_sql_found('published_date', _CN, 1, 2, 3, False)} chinese, {_sql_found('published_date', _MAIL, 3, 2, 1, True)} mail"
-    r" from parsers where published_date is not null and not regexp_matches(published_date, '^\d{4}-\d{2}-\d{2}')"
-)
+@query(f"select rec_id, {_sql_found('published_date', _CN, 1, 2, 3, False)} chinese, coalesce({_sql_found('published_date', _MAIL, 3, 2, 1, True)}, try_cast(regexp_extract(trim(published_date), '^(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1) as date)) mail from parsers")
 def parse_dates_more(spark, folder):
     p = F.col("published_date")
-    rows = read(spark, folder, "parsers").where(p.isNotNull() & ~p.rlike(r"^\d{4}-\d{2}-\d{2}"))
-    return rows.select("rec_id", dates.chinese_date(p).alias("chinese"), dates.mail_date(p).alias("mail"))
+    return read(spark, folder, "parsers").select("rec_id", dates.chinese_date(p).alias("chinese"), dates.mail_date(p).alias("mail"))
 
 
 from presslake.plans import relational  # noqa: E402, F401  (adds its queries)

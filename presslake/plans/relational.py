@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 from presslake.functions import dates, text, urls
 from presslake.operators import records, reports, rules
-from presslake.plans.queries import _SQUEEZE, query, read
+from presslake.plans.queries import _KEY_A, _SQUEEZE, _address_sql, query, read
 
 # collected_at has one notation in every row; a day of it is the date of a record.
 _DAY = "try_cast(substr(collected_at, 1, 10) as date)"
 _SCORE = "(length(coalesce(body, '')) % 21)::int"
-_REL = "(case rec_id % 5 when 0 then 'none' when 1 then 'direct_customer' when 2 then 'competitor' when 3 then 'industry_only' end)"
+_REL = "(case source_type when 'regulator' then 'none' when 'media' then 'direct_customer' when 'company' then 'competitor' when 'press' then 'industry_only' end)"
 
 
 def regional(spark, folder):
     """Regional records with a day, a score and a relevance derived from their columns."""
-    rel = F.col("rec_id") % 5
+    kind = F.col("source_type")
     return read(spark, folder, "parsers").withColumns(
         {
             "day": dates.iso_prefix(F.col("collected_at")), "score": (F.length(F.coalesce("body", F.lit(""))) % 21).cast("int"),
-            "relevance": F.when(rel == 0, "none").when(rel == 1, "direct_customer").when(rel == 2, "competitor").when(rel == 3, "industry_only"),
+            "relevance": F.when(kind == "regulator", "none").when(kind == "media", "direct_customer").when(kind == "company", "competitor").when(kind == "press", "industry_only"),
         }
     )
 
@@ -146,11 +146,11 @@ def anti_seen(spark, folder):
 
 
 @query(
-    "with c as (select rec_id, url, row_number() over (partition by source_id order by rec_id) n from parsers), k as (select distinct url from parsers where rec_id % 3 = 0 and url is not null) select rec_id from c where n <= 5 and (url is null or url not in (select url from k))"
+    "with c as (select rec_id, url, row_number() over (partition by source_id order by rec_id) n from parsers), k as (select distinct url from parsers where collected_at < '2026' and url is not null) select rec_id from c where n <= 5 and (url is null or url not in (select url from k))"
 )
 def cap_then_anti(spark, folder):
-    rows = read(spark, folder, "parsers").select("rec_id", "source_id", "url")
-    return records.cap_then_unseen(rows, rows.where("rec_id % 3 = 0"), "url", "source_id", [F.col("rec_id")], 5).select("rec_id")
+    rows = read(spark, folder, "parsers").select("rec_id", "source_id", "url", "collected_at")
+    return records.cap_then_unseen(rows, rows.where("collected_at < '2026'"), "url", "source_id", [F.col("rec_id")], 5).select("rec_id")
 
 
 @query("select a.rec_id, g.host, a.published from scripts a join source_registry g on a.source_name = g.source_name where a.batch_no between 1 and 3")
@@ -216,16 +216,15 @@ def source_rollup(spark, folder):
 
 
 _SUFFIX = "Devices|Medical|Labs|Packaging|Biologics|Surgical|Therapeutics|Diagnostics|Care|Sterile Systems"
-_COMPANY = rf"\b((?:[A-Z][A-Za-z0-9&()\-]*\s+){{1,6}}(?:{_SUFFIX}))\b"
 
 
 @query(
-    rf"with c as (select rec_id, country, source_type, title, {_SCORE} score, {_DAY} d, lower(unnest(list_distinct(list_transform(regexp_extract_all(coalesce(title, ''), '\b((?:[A-Z][A-Za-z0-9&()\-]*\s+){{1,6}}(?:{_SUFFIX}))\b', 1), lambda x: regexp_replace(x, '\s+', ' ', 'g'))))) company_key from parsers where language = 'en'),"
+    rf"with c as (select rec_id, country, source_type, title, {_SCORE} score, {_DAY} d, lower(unnest(list_distinct(list_transform(regexp_extract_all(coalesce(title, ''), '(?:^|[^A-Za-z0-9_])((?:[A-Z][A-Za-z0-9&()\-]*\s+){{1,6}}(?:{_SUFFIX}))(?:[^A-Za-z0-9_]|$)', 1), lambda x: regexp_replace(x, '\s+', ' ', 'g'))))) company_key from parsers),"
     " t as (select company_key, country, title, min(rec_id) o, count(*) m, max(score) s, max(d) d from c group by all), k as (select company_key, country, string_agg(distinct source_type, ', ' order by source_type) kinds from c group by all)"
     " select t.company_key, t.country, k.kinds, sum(m)::bigint mentions, string_agg(title, '; ' order by o) titles, max(s)::int max_score, max(d) latest from t join k on t.company_key = k.company_key and t.country is not distinct from k.country group by all"
 )
 def company_rollup(spark, folder):
-    rows = regional(spark, folder).where("language = 'en'")
+    rows = regional(spark, folder)
     names = text.company_names(F.coalesce("title", F.lit("")), F.lit(None).cast("string"), [], _SUFFIX, "Company")
     return reports.company_rollup(rows.withColumn("companies", names), "companies", "country", "source_type", "title", "rec_id", "score", "day")
 
@@ -266,13 +265,13 @@ def quality_totals(spark, folder):
     )
 
 
-@query("select *, (row_number() over (order by o_custkey, o_orderpriority))::int serial from (select o_custkey, o_orderpriority, count(*) n, max(l_quantity) most from orders join lineitem on o_orderkey = l_orderkey where o_orderstatus = 'F' and o_custkey <= 50 group by all)")
+@query("select *, row_number() over (order by o_custkey, o_orderpriority) serial from (select o_custkey, o_orderpriority, count(*) n, max(l_quantity) most from orders join lineitem on o_orderkey = l_orderkey where o_orderstatus = 'F' group by all)")
 def award_explode(spark, folder):
-    """Nested rows of a record exploded, counted and numbered for a report of bounded size."""
+    """Nested rows of a record exploded, counted and numbered in order."""
     nested = read(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_quantity")).alias("awards"))  # at most seven lines an order
-    rows = read(spark, folder, "orders").where("o_orderstatus = 'F' and o_custkey <= 50").join(nested, F.col("o_orderkey") == F.col("l_orderkey"))
+    rows = read(spark, folder, "orders").where("o_orderstatus = 'F'").join(nested, F.col("o_orderkey") == F.col("l_orderkey"))
     rows = rows.select("o_custkey", "o_orderpriority", F.explode("awards").alias("a")).groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.max("a.l_quantity").alias("most"))
-    return rows.withColumn("serial", F.row_number().over(Window.orderBy("o_custkey", "o_orderpriority")))
+    return reports.chunked(rows, [F.col("o_custkey"), F.col("o_orderpriority")], 1000).drop("chunk_no").withColumnRenamed("row_no", "serial")
 
 
 # --- ranking -------------------------------------------------------------------------------
@@ -357,14 +356,12 @@ def json_from_text(spark, folder):
 
 
 @query(
-    r"with k as (select rec_id, url, case when url is null or trim(url) = '' then '/' else regexp_replace(lower(regexp_extract(trim(url), '^([a-zA-Z]+://[^/?#]*)', 1)) || regexp_replace(regexp_extract(trim(url), '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/{2,}', '/', 'g'), '/+$', '') end u,"
-    rf" regexp_replace(lower({_SQUEEZE('body')}), '[^\p{{L}}\p{{N}}_\s]', '', 'g') c from parsers where not contains(coalesce(url, ''), '?')),"
-    " f as (select *, min(rec_id) over (partition by u) fu, case when length(c) >= 80 then min(rec_id) over (partition by c) end fc from k)"
+    _address_sql("parsers", "url", "body") + f", b as (select *, {_KEY_A} u, regexp_replace(lower({_SQUEEZE('body')}), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g') c from k),"
+    " f as (select *, min(rec_id) over (partition by u) fu, case when length(c) >= 80 then min(rec_id) over (partition by c) end fc from b)"
     " select rec_id, case when fu < rec_id then fu when fc < rec_id then fc end duplicate_of, case when fu < rec_id then 'exact_url' when fc < rec_id then 'exact_content' end duplicate_reason from f"
 )
 def dedup_exact(spark, folder):
-    rows = read(spark, folder, "parsers").where(~F.contains(F.coalesce("url", F.lit("")), F.lit("?")))
-    return records.exact_duplicates(rows, "rec_id").select("rec_id", "duplicate_of", "duplicate_reason")
+    return records.exact_duplicates(read(spark, folder, "parsers"), "rec_id").select("rec_id", "duplicate_of", "duplicate_reason")
 
 
 @query()
@@ -372,10 +369,10 @@ def dedup_fuzzy_titles(spark, folder):
     return records.similar_titles(read(spark, folder, "update_llm_ready").where("title is not null"), "rec_id", "title")
 
 
-@query("with b as (select rec_id, url, title, (rec_id % 4 = 0)::int age from parsers), k as (select url, max_by(rec_id, age * 1000000000 + rec_id) rec_id from b where trim(coalesce(url, '')) <> '' group by 1) select rec_id, url from k union all select rec_id, url from b where trim(coalesce(url, '')) = ''")
+@query("with b as (select rec_id, url, title, coalesce(collected_at >= '2026', false)::int age from parsers), k as (select url, max_by(rec_id, age * 1000000000 + rec_id) rec_id from b where trim(coalesce(url, '')) <> '' group by 1) select rec_id, url from k union all select rec_id, url from b where trim(coalesce(url, '')) = ''")
 def upsert_by_url(spark, folder):
-    rows = read(spark, folder, "parsers").select("rec_id", "url", "title")
-    return records.upsert(rows.where("rec_id % 4 <> 0"), rows.where("rec_id % 4 = 0"), "url", "rec_id").select("rec_id", "url")
+    rows = read(spark, folder, "parsers").select("rec_id", "url", "title", F.coalesce(F.col("collected_at") >= "2026", F.lit(False)).alias("new"))
+    return records.upsert(rows.where("not new"), rows.where("new"), "url", "rec_id").select("rec_id", "url")
 
 
 @query("select max(rec_id) rec_id, article_id from parsers group by article_id")
@@ -389,10 +386,10 @@ def keep_first_identity(spark, folder):
     return records.keep_first(read(spark, folder, "scripts").select("rec_id", k.alias("identity")), ["identity"], [F.col("rec_id")])
 
 
-@query("with n as (select * from parsers where rec_id % 7 = 0 and source_id < 'src_010') select rec_id, source_id from parsers where source_id not in (select source_id from n) union all select rec_id, source_id from n")
+@query("with n as (select * from parsers where country = 'SG' and collected_at >= '2026') select rec_id, source_id from parsers where source_id not in (select source_id from n) union all select rec_id, source_id from n")
 def replace_sources(spark, folder):
-    rows = read(spark, folder, "parsers").select("rec_id", "source_id")
-    return records.replace_sources(rows, rows.where("rec_id % 7 = 0 and source_id < 'src_010'"), "source_id")
+    rows = read(spark, folder, "parsers").select("rec_id", "source_id", "country", "collected_at")
+    return records.replace_sources(rows, rows.where("country = 'SG' and collected_at >= '2026'").drop("country", "collected_at"), "source_id").select("rec_id", "source_id")
 
 
 _LEDGER = _R + ", e as (select *, coalesce(nullif(trim(url), ''), article_id) key from r where coalesce(relevance, 'industry_only') <> 'none'), b as (select key, min({'s': -score, 'p': coalesce(published_date, ''), 'a': coalesce(article_id, ''), 'r': rec_id, 'v': relevance}) m, count(*) n from e group by key)"
