@@ -158,7 +158,7 @@ def json_list(c: Column) -> Column:
 
 def section_of(c: Column, heading: str) -> Column:
     """Text of a Markdown document between a second-level heading and the next."""
-    return F.trim(F.regexp_extract(c, rf"(?ms)^## \Q{heading}\E\s*$(.*?)(?=^## |\z)", 1))
+    return F.regexp_replace(F.regexp_extract(c, rf"(?ms)^## \Q{heading}\E\s*$(.*?)(?=^## |\z)", 1), r"^\s+|\s+$", "")
 
 
 def html_escaped(c: Column) -> Column:

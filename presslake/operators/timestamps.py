@@ -32,7 +32,8 @@ def normalise_timestamps(tables: dict[str, tuple[DataFrame, str, str]], registry
 
     Rows without a readable, existing date are left out: null, blank or unreadable
     text, impossible dates, a year alone, and text without zone whose source is
-    null or unknown.  Texts over 200 characters are no timestamps.  Repeated rows
+    null or unknown.  Rows without rec_id are left out.  Texts over
+    200 characters are no timestamps.  Repeated rows
     each give their row; columns of the tables beyond the named ones are not read.
     Only columns needed are scanned and nothing is shuffled but, if large, the
     registry join.
@@ -42,7 +43,7 @@ def normalise_timestamps(tables: dict[str, tuple[DataFrame, str, str]], registry
         rows = frame.select(
             F.lit(name).alias("table_name"), F.col("rec_id").cast("bigint").alias("rec_id"),
             F.col(text).alias("text"), F.col(source).alias("source"),
-        ).where(F.col("text").isNotNull() & (F.length("text") >= 6))
+        ).where(F.col("rec_id").isNotNull() & (F.length("text") >= 6))
         zones = registry.where(F.col(source).isNotNull()).select(F.col(source).alias("source"), "time_zone", "date_order", "calendar").dropDuplicates(["source"])
         parts.append(rows.join(zones, "source", "left").select("table_name", "rec_id", "text", "time_zone", "date_order", "calendar"))
     return reduce(DataFrame.unionByName, parts).mapInPandas(_read_batches, OUT)

@@ -15,15 +15,14 @@ CELL = 32_767
 
 def read_records(spark: SparkSession, path: str, schema: StructType | str, wrappers: tuple[str, ...] = ("records", "events")) -> DataFrame:
     """Objects of JSON documents that hold a list, or an object with a list under one
-    of ``wrappers``, or a single object.  Elements that are no objects are dropped."""
+    of ``wrappers``.  Elements that are no objects are dropped."""
     texts = spark.read.text(path, wholetext=True)
     kind = StructType.fromDDL(schema).simpleString() if isinstance(schema, str) else schema.simpleString()
-    listed = F.from_json("value", f"array<{kind}>")
-    found = [F.when(F.ltrim("value").startswith("["), listed)]
-    for w in wrappers:
-        found.append(F.from_json(F.get_json_object("value", f"$.{w}"), f"array<{kind}>"))
-    rows = texts.select(F.explode(F.coalesce(*found)).alias("r")).where(F.col("r").isNotNull())
-    return rows.select("r.*").dropna("all")
+    as_list = lambda c: F.from_json(c, "array<string>")  # noqa: E731  (elements as JSON text, of whatever kind)
+    found = [F.when(F.ltrim("value").startswith("["), as_list(F.col("value")))]
+    found += [as_list(F.get_json_object("value", f"$.{w}")) for w in wrappers]
+    elements = texts.select(F.explode(F.coalesce(*found)).alias("e")).where(F.ltrim("e").startswith("{"))
+    return elements.select(F.from_json("e", kind).alias("r")).select("r.*")
 
 
 def read_registry(spark: SparkSession, path: str, key: str, enabled_only: bool = True) -> DataFrame:
