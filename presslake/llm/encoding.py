@@ -168,7 +168,7 @@ def _slices(texts: list, chars: int = 2_000_000):
 def encode_corpus(frame: DataFrame, vocabulary: str = VOCABULARY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ids): token ids of each text, without special tokens.
 
-    Null and empty texts get an empty list.  The strings of special tokens are
+    Null and empty texts get an empty list; rows without id are left out.  The strings of special tokens are
     ordinary text.  Every row gives a row, repeated rows too; nothing is
     shuffled.  Ids equal those of merging the words of the published pattern."""
     shipped = _shipped(frame, vocabulary)
@@ -180,7 +180,7 @@ def encode_corpus(frame: DataFrame, vocabulary: str = VOCABULARY, id_column: str
             for i, j in _slices(texts):
                 yield pd.DataFrame({id_column: b[id_column].iloc[i:j].to_numpy(), "ids": bpe.encode_batch(texts[i:j])})
 
-    return frame.select(F.col(id_column).cast("bigint").alias(id_column), F.col(text_column)).mapInPandas(encode, f"{id_column} bigint, ids array<int>")
+    return frame.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("bigint").alias(id_column), F.col(text_column)).mapInPandas(encode, f"{id_column} bigint, ids array<int>")
 
 
 def token_counts(frame: DataFrame, vocabulary: str = VOCABULARY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -194,4 +194,4 @@ def token_counts(frame: DataFrame, vocabulary: str = VOCABULARY, id_column: str
             n = [len(x) for i, j in _slices(texts) for x in bpe.encode_batch(texts[i:j])]
             yield pd.DataFrame({id_column: b[id_column].to_numpy(), "tokens": np.array(n, np.int32)})
 
-    return frame.select(F.col(id_column).cast("bigint").alias(id_column), F.col(text_column)).mapInPandas(count, f"{id_column} bigint, tokens int")
+    return frame.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("bigint").alias(id_column), F.col(text_column)).mapInPandas(count, f"{id_column} bigint, tokens int")

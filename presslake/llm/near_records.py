@@ -93,7 +93,8 @@ def _sketch(sets: DataFrame) -> bytes:
         yield pd.DataFrame({"code": [code.tobytes()]})
 
     total = sets.select("grams").mapInPandas(count, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    return bytes(total.coalesce(1).mapInPandas(pack, "code binary").first()["code"])  # of at most SKETCH_CELLS rows
+    row = total.coalesce(1).mapInPandas(pack, "code binary").first()  # made of at most SKETCH_CELLS rows
+    return bytes(row["code"]) if row else bytes(SKETCH_CELLS)
 
 
 def _least_overlap(m, n, t: float):
@@ -147,7 +148,7 @@ def _classes(sets: DataFrame) -> DataFrame:
 
 
 def _prepared(frame: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows = frame.where("main_text <> ''").select(
+    rows = frame.where("main_text <> '' and rec_id is not null").select(
         F.col("rec_id").cast("bigint").alias("rec_id"), F.concat_ws("\n", F.coalesce("title", F.lit("")), "main_text").alias("text")
     )
     sets = cut_lineage(ngram_sets(rows))
@@ -161,8 +162,8 @@ def near_duplicate_pairs(frame: DataFrame) -> DataFrame:
     least half of their union.
 
     Needs rec_id, title and main_text.  Null titles count as empty; rows with null
-    or empty main_text, or fewer than 4 tokens in all, are in no pair.  Rows must
-    have different rec_id.  Every pair is given, also those among equal records."""
+    or empty main_text, or fewer than 4 tokens in all, or without rec_id, are in no
+    pair.  A repeated row is in no pair with itself.  Every pair is given, also those among equal records."""
     _, classes, links = _prepared(frame)
     member = lambda c, r: classes.select(F.col("class").alias(c), F.col("rec_id").alias(r))
     across = links.join(member("a", "ra"), "a").join(member("b", "rb"), "b")
@@ -170,7 +171,7 @@ def near_duplicate_pairs(frame: DataFrame) -> DataFrame:
     shared = classes.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class")
     copies = classes.join(shared, "class")
     within = copies.select("class", F.col("rec_id").alias("rec_id_a")).join(copies.select("class", F.col("rec_id").alias("rec_id_b")), "class")
-    return across.unionByName(within.where("rec_id_a < rec_id_b").select("rec_id_a", "rec_id_b"))
+    return across.unionByName(within.where("rec_id_a < rec_id_b").select("rec_id_a", "rec_id_b")).distinct()
 
 
 def near_duplicate_links(frame: DataFrame) -> DataFrame:

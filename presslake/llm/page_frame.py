@@ -194,10 +194,10 @@ def page_frame(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
     ``tables`` maps a name to (frame, text column); frames need rec_id and title.
     Lines are the pieces between line feeds, from 1; blank ones are no cases.  Null
-    and empty texts give nothing; a null title is no line.  Nothing is shuffled."""
+    and empty texts and rows without rec_id give nothing; a null title is no line.  Nothing is shuffled."""
     rows = None
     for name, (frame, column) in tables.items():
-        part = frame.select(F.lit(name).alias("table_name"), F.col("rec_id").cast("bigint").alias("rec_id"), "title", F.col(column).alias("text")).where("text <> ''")
+        part = frame.select(F.lit(name).alias("table_name"), F.col("rec_id").cast("bigint").alias("rec_id"), "title", F.col(column).alias("text")).where("text <> '' and rec_id is not null")
         rows = part if rows is None else rows.unionByName(part)
     return rows.mapInPandas(_found, "table_name string, rec_id bigint, line_no int")
 

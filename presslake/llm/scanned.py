@@ -289,7 +289,7 @@ def _break_decisions(breaks: DataFrame, clean: DataFrame, fixes: DataFrame) -> D
 
 
 def _analysed(frame: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    scans = frame.where("image_ocr_text <> ''").select(F.col("rec_id").cast("bigint").alias("rec_id"), "title", F.col("image_ocr_text").alias("text"))
+    scans = frame.where("image_ocr_text <> '' and rec_id is not null").select(F.col("rec_id").cast("bigint").alias("rec_id"), "title", F.col("image_ocr_text").alias("text"))
     layout = cut_lineage(scans.mapInPandas(_laid_out, _LAYOUT))
     texts = frame.select(F.concat_ws("\n", "title", "main_text").alias("text"))
     clean = cut_lineage(clean_vocabulary(texts))
@@ -313,9 +313,10 @@ def scan_noise(frame: DataFrame) -> DataFrame:
 
     Needs rec_id, title, main_text and image_ocr_text; clean words are counted over
     title and main_text of all rows.  Null and empty texts have no cases; a line
-    of kind drop has no other kind.  Repeated rows must have different rec_id."""
+    of kind drop has no other kind.  Rows without rec_id are left out; repeated rows
+    give their cases once."""
     layout, clean, fixes = _analysed(frame)
     drop = layout.where("kind = 'drop'").select("rec_id", "line_no", F.lit("drop").alias("kind"))
     fix = _fix_lines(layout.where("kind = 'word'"), fixes).withColumn("kind", F.lit("fix"))
     join = _break_decisions(layout.where("kind = 'break'"), clean, fixes).where("joined").select("rec_id", "line_no", F.lit("join").alias("kind"))
-    return drop.unionByName(fix).unionByName(join)
+    return drop.unionByName(fix).unionByName(join).distinct()

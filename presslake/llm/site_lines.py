@@ -111,12 +111,12 @@ def repeated_lines(
     ``min_share`` of the records with text of their source.
 
     Lines are the pieces between line feeds, counted from 1.  Rows with null source
-    or null or empty text are left out; lines of white space and digits only are no
+    or rec_id or null or empty text are left out; lines of white space and digits only are no
     cases.  A line twice in a record counts once; repeated rows count as records.
     Counts are summed before the shuffle, so one source with a third of all rows
     makes no hot task."""
     docs = frame.select(F.col("rec_id").cast("bigint").alias("rec_id"), F.col(source).alias("source"), F.col(text).alias("text"))
-    docs = docs.where("source is not null and text <> ''")
+    docs = docs.where("source is not null and text <> '' and rec_id is not null")
     needed = docs.groupBy("source").agg(F.greatest(F.lit(min_records), F.ceil(F.count(F.lit(1)) * F.lit(min_share) - F.lit(1e-9))).alias("least"))
     chunks = docs.mapInPandas(_count_chunks, "source string, chunk bigint, n bigint").groupBy("source", "chunk").agg(F.sum("n").alias("n"))
     frequent = chunks.where(F.col("n") >= min_records).join(needed, "source").where("n >= least").select("source", "chunk")
@@ -129,7 +129,7 @@ def repeated_lines(
 def without_repeated_lines(frame: DataFrame, text: str = "content_text", source: str = "source_name", **limits) -> DataFrame:
     """``frame`` with the repeated lines cut out of ``text``; rows without any stay as
     they are, and null stays null.  Needs a unique rec_id."""
-    cut = repeated_lines(frame, text, source, **limits).groupBy("rec_id").agg(F.collect_set("line_no").alias("_cut"))
+    cut = repeated_lines(frame, text, source, **limits).groupBy("rec_id").agg(F.collect_set("line_no").alias("_cut_lines"))
     lines = F.split(F.col(text), "\n", -1)
-    kept = F.filter(lines, lambda line, i: ~F.coalesce(F.array_contains("_cut", (i + 1).cast("int")), F.lit(False)))
-    return frame.join(cut, "rec_id", "left").withColumn(text, F.when(F.col("_cut").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))).drop("_cut")
+    kept = F.filter(lines, lambda line, i: ~F.coalesce(F.array_contains("_cut_lines", (i + 1).cast("int")), F.lit(False)))
+    return frame.join(cut, "rec_id", "left").withColumn(text, F.when(F.col("_cut_lines").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))).drop("_cut_lines")
