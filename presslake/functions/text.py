@@ -142,6 +142,22 @@ def holds_any(text: Column, phrases: list[str]) -> Column:
     return out
 
 
+def words_of(text: Column) -> Column:
+    """Distinct words of a text; one pass of it for any number of single-word phrases."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?U)\w+"), F.lit(0)))
+
+
+def holds_any_of(text: Column, words: Column, phrases: list[str]) -> Column:
+    """As :func:`holds_any` for a lower-case text and its ``words``."""
+    plain = [" ".join(p.split()).lower() for p in phrases]
+    single = [p for p in plain if p and p.isascii() and p.isalnum()]
+    out = F.arrays_overlap(words, F.array(*[F.lit(p) for p in single])) if single else F.lit(False)
+    for p in plain:
+        if p and p not in single:
+            out = out | F.contains(text, F.lit(p))
+    return out
+
+
 def labels_found(text: Column, labels: dict[str, list[str]]) -> Column:
     """Labels, in order, of which one variant is in the lower-case text."""
     return F.array_compact(F.array(*[F.when(holds_any(text, v), F.lit(k)) for k, v in labels.items()]))

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType
 
 from presslake.functions.text import fingerprint
 from presslake.functions.urls import dedup_key
+from presslake.session import cut_lineage
 
 
 def keep_first(frame: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -144,18 +145,16 @@ def similar_titles(frame: DataFrame, key: str, title: str, least: float = 0.92)
     pieces = "explode(transform(sequence(0, u + v), i -> struct(i, cast(floor(long * i / (u + v + 1)) as int) as s, cast(floor(long * (i + 1) / (u + v + 1)) as int) as z))) as p"
     shorter = F.explode(F.sequence(F.ceil(F.col("n") / most - 1e-9).cast("int"), F.col("n"))).alias("short")
     longer = F.explode(F.sequence(F.col("n"), F.floor(F.col("n") * most + 1e-9).cast("int"))).alias("long")
-    long = titles.select(F.col("t").alias("tl"), F.col("n").alias("long"), shorter).withColumns(free).where("u >= 0 and v >= 0")
-    long = long.selectExpr("tl", "long", "short", pieces).where("p.z > p.s").selectExpr("tl", "long", "short", "p.i as i", "substring(tl, p.s + 1, p.z - p.s) as piece")
-    short = titles.select(F.col("t").alias("ts"), F.col("n").alias("short"), longer).withColumns(free).where("u >= 0 and v >= 0")
-    short = short.selectExpr("ts", "long", "short", "u", "v", pieces).where("p.z > p.s").selectExpr("ts", "long", "short", "p", "explode(sequence(-u, v)) as d")
-    short = short.where("p.s + d >= 0 and p.z + d <= short").selectExpr("ts", "long", "short", "p.i as i", "substring(ts, p.s + d + 1, p.z - p.s) as piece").distinct()
-    near = long.join(short, ["long", "short", "i", "piece"]).where("tl <> ts").select("tl", "ts").distinct()
-    bound = F.floor((F.length("tl") + F.length("ts")) * (1 - least) + 1e-9).cast("int")
-    near = near.where(F.levenshtein("tl", "ts") <= bound)
-    first = lambda t, k: titles.select(F.col("t").alias(t), F.col("k").alias(k))
-    both = near.join(first("tl", "kl"), "tl").join(first("ts", "ks"), "ts")
-    swap = F.col("kl") < F.col("ks")
-    both = both.select(F.least("kl", "ks").alias("earlier"), F.greatest("kl", "ks").alias("later"), F.when(swap, F.col("tl")).otherwise(F.col("ts")).alias("te"), F.when(swap, F.col("ts")).otherwise(F.col("tl")).alias("t2")).dropDuplicates(["earlier", "later"])
+    hashed = lambda place: f"xxhash64(substring(t, {place} + 1, p.z - p.s)) as piece"  # noqa: E731  (equal hashes only bring a pair to the check)
+    long = titles.select("t", F.col("k").alias("kl"), F.col("n").alias("long"), shorter).withColumns(free).where("u >= 0 and v >= 0")
+    long = long.selectExpr("t", "kl", "long", "short", pieces).where("p.z > p.s").selectExpr("kl", "long", "short", "p.i as i", hashed("p.s"))
+    short = titles.select("t", F.col("k").alias("ks"), F.col("n").alias("short"), longer).withColumns(free).where("u >= 0 and v >= 0")
+    short = short.selectExpr("t", "ks", "long", "short", "u", "v", pieces).where("p.z > p.s").selectExpr("t", "ks", "long", "short", "p", "explode(sequence(-u, v)) as d")
+    short = short.where("p.s + d >= 0 and p.z + d <= short").selectExpr("ks", "long", "short", "p.i as i", hashed("p.s + d"))
+    near = long.join(short, ["long", "short", "i", "piece"]).where("kl <> ks").select(F.least("kl", "ks").alias("earlier"), F.greatest("kl", "ks").alias("later")).distinct()
+    text_at = lambda k, t: titles.select(F.col("k").alias(k), F.col("t").alias(t))
+    both = near.join(text_at("earlier", "te"), "earlier").join(text_at("later", "t2"), "later")
+    both = both.where(F.levenshtein("te", "t2") <= F.floor((F.length("te") + F.length("t2")) * (1 - least) + 1e-9))
     return both.withColumn("ratio", F.pandas_udf(_ratio, DoubleType())("t2", "te")).where(F.col("ratio") >= least).select("earlier", "later", "ratio")
 
 
@@ -171,6 +170,46 @@ def exact_duplicates(frame: DataFrame, order: str, url: str = "url", body: str =
     return out.withColumns({"duplicate_of": first, "duplicate_reason": reason}).drop("_u", "_c", "_fu", "_fc")
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component) of the nodes of undirected edges (a, b): the least id reached.
+    Labels spread along edges and jump to their label's label; lineage is cut in each
+    round, and messages are minima, combined before the shuffle."""
+    both = cut_lineage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut_lineage(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")))
+    while True:
+        sent = both.join(labels.select(F.col("id").alias("a"), "component"), "a").groupBy(F.col("b").alias("id")).agg(F.min("component").alias("near"))
+        next_ = labels.join(sent, "id").select("id", F.least("component", "near").alias("new"), F.col("component").alias("old"))
+        jump = next_.select(F.col("id").alias("new"), F.col("new").alias("far"))
+        next_ = cut_lineage(next_.join(jump, "new", "left").select("id", F.least("new", F.coalesce("far", "new")).alias("component"), "old"))
+        labels = next_.select("id", "component")
+        if not next_.where("component <> old").limit(1).count():
+            return labels
+
+
+def resolve_duplicates(frame: DataFrame, key: str, better: list[Column], url: str = "url", title: str = "title", body: str = "body", least: float = 0.92) -> DataFrame:
+    """``frame`` with duplicate_of and duplicate_reason: records with the same address
+    key or content, or with similar titles, are a class; the best of a class by
+    ``better`` (larger wins, ties to the earlier key) is kept and the others point to
+    it.  Classes don't depend on the order of rows.  Blank addresses link nothing."""
+    rows = frame.select(F.col(key).alias("k"), F.when(F.trim(F.col(url)) != "", dedup_key(F.col(url))).alias("u"), F.nullif(fingerprint(F.col(body)), F.lit("")).alias("c"), F.col(title).alias("t"), F.struct(*[b.alias(f"_b{i}") for i, b in enumerate(better)], (-F.col(key)).alias("_k")).alias("r"))
+    rows = cut_lineage(rows)
+
+    def star(column: str) -> DataFrame:  # every row of an equal value to its first: no pairs within a group
+        first = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.min("k").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        return rows.join(first, column).where("k <> a").select("a", F.col("k").alias("b"))
+
+    similar = similar_titles(rows, "k", "t", least).select(F.col("earlier").alias("a"), F.col("later").alias("b"))
+    same_title = rows.where("t <> ''").groupBy("t").agg(F.min("k").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    same_title = rows.join(same_title, "t").where("k <> a").select("a", F.col("k").alias("b"))
+    classes = cut_lineage(components(star("u").unionByName(star("c")).unionByName(similar).unionByName(same_title)))
+    member = rows.join(classes, rows.k == classes.id).select("k", "u", "c", "component", "r")
+    winner = member.groupBy("component").agg(F.max(F.struct("r", "k", "u", "c")).alias("w"))
+    loser = member.join(winner, "component").where("k <> w.k")
+    reason = F.when(F.col("u") == F.col("w.u"), "exact_url").when(F.col("c") == F.col("w.c"), "exact_content").otherwise("similar_or_linked")
+    marked = loser.select(F.col("k").alias(key), F.col("w.k").alias("duplicate_of"), reason.alias("duplicate_reason"))
+    return frame.join(marked, key, "left")
+
+
 def event_ledger(frame: DataFrame, key: Column, score: Column, published: str, ident: str, relevance: str, labels: str, ids: str) -> DataFrame:
     """Events without relevance "none", one per key: the highest score, then the
     earlier published text, then the smaller id, with the provenance of all."""

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslake.functions.text import holds_any, holds_phrase, squeeze
+from presslake.functions.text import holds_any_of, squeeze, words_of
 
 
 @dataclass(frozen=True)
@@ -40,12 +40,13 @@ def text_of(*columns: str) -> Column:
 def match_keywords(frame: DataFrame, taxonomy: list[Keyword], title: str = "title", body: str = "body") -> DataFrame:
     """Adds matched_keywords (taxonomy order), title_keywords, matched_categories and
     weight_sum.  The taxonomy is an array literal, so no join and no shuffle."""
-    text, head = text_of(title, body), text_of(title)
-    hits = lambda where: F.array_compact(F.array(*[F.when(holds_any(where, k.phrases()), F.lit(k.keyword)) for k in taxonomy]))
+    frame = frame.withColumns({"_text": text_of(title, body), "_head": text_of(title)})
+    frame = frame.withColumns({"_words": words_of(F.col("_text")), "_head_words": words_of(F.col("_head"))})
+    hits = lambda c, w: F.array_compact(F.array(*[F.when(holds_any_of(F.col(c), F.col(w), k.phrases()), F.lit(k.keyword)) for k in taxonomy]))
     category = F.create_map(*[x for k in taxonomy for x in (F.lit(k.keyword), F.lit(k.category))])
     weight = F.create_map(*[x for k in taxonomy for x in (F.lit(k.keyword), F.lit(k.weight))])
-    frame = frame.withColumns({"matched_keywords": hits(text), "title_keywords": hits(head)})
-    return frame.withColumns(
+    frame = frame.withColumns({"matched_keywords": hits("_text", "_words"), "title_keywords": hits("_head", "_head_words")})
+    return frame.drop("_text", "_head", "_words", "_head_words").withColumns(
         {
             "matched_categories": F.array_sort(F.array_distinct(F.transform("matched_keywords", lambda k: category[k]))),
             "weight_sum": F.aggregate("matched_keywords", F.lit(0), lambda a, k: a + weight[k]),
@@ -62,9 +63,10 @@ def tiered_score(matched: Column, high: list[str], medium: list[str], low: list[
     return F.least(F.lit(cap), score)
 
 
-def points_score(text: Column, bonuses: list[Points], penalties: list[Points], low: int = 0, high: int = 20) -> tuple[Column, Column]:
-    """Clamped sum of bonuses less penalties, and the names of the rules that applied."""
-    applied = [(p, holds_any(text, p.terms), 1) for p in bonuses] + [(p, holds_any(text, p.terms), -1) for p in penalties]
+def points_score(text: Column, words: Column, bonuses: list[Points], penalties: list[Points], low: int = 0, high: int = 20) -> tuple[Column, Column]:
+    """Clamped sum of bonuses less penalties, and the names of the rules that applied,
+    for a lower-case text and its words."""
+    applied = [(p, holds_any_of(text, words, p.terms), s) for ps, s in ((bonuses, 1), (penalties, -1)) for p in ps]
     score = F.lit(0)
     for p, hit, sign in applied:
         score = score + F.when(hit, sign * p.points).otherwise(0)
@@ -118,10 +120,10 @@ def article_scores(frame: DataFrame, taxonomy: list[Keyword], high: list[str], m
     below ``least_body`` characters) are 0."""
     frame = match_keywords(frame, taxonomy)
     valid = F.coalesce(F.startswith("scrape_status", F.lit("success")), F.lit(False)) & (F.length(squeeze(F.col("body"))) >= least_body)
-    text = text_of("title", "body")
-    points, reasons = points_score(text, bonuses, penalties)
-    negative = holds_any(text, [t for p in penalties for t in p.terms])
-    frame = frame.withColumns({"valid": valid, "tier_score": tiered_score(F.col("matched_keywords"), high, medium, low), "points": F.when(valid, points).otherwise(0), "reasons": reasons, "negative": negative})
+    frame = frame.withColumn("_text", text_of("title", "body")).withColumn("_words", words_of(F.col("_text")))
+    points, reasons = points_score(F.col("_text"), F.col("_words"), bonuses, penalties)
+    negative = holds_any_of(F.col("_text"), F.col("_words"), [t for p in penalties for t in p.terms])
+    frame = frame.withColumns({"valid": valid, "tier_score": tiered_score(F.col("matched_keywords"), high, medium, low), "points": F.when(valid, points).otherwise(0), "reasons": reasons, "negative": negative}).drop("_text", "_words")
     frame = frame.withColumn("include", gate(F.col("matched_keywords"), F.col("negative"), F.col("valid"), F.col("tier_score"), 5))
     top = (F.col("points") >= 16) | (F.col("tier_score") >= 7)
     return frame.withColumn("priority", F.when(F.col("include") & top, "high").when(F.col("include"), "matched").otherwise("excluded"))
@@ -134,5 +136,6 @@ def phrase_join(frame: DataFrame, phrases: DataFrame, text: Column, phrase: str
     found = phrases.select(phrase).where(F.trim(phrase) != "").distinct().limit(most + 1).collect()
     if len(found) > most:
         raise ValueError(f"more than {most} phrases; split the taxonomy")
-    hits = F.array_compact(F.array(*[F.when(holds_phrase(text, r[0]), F.lit(r[0])) for r in found]).cast("array<string>"))
-    return frame.withColumn(phrase, F.explode(hits))
+    frame = frame.withColumn("_text", text).withColumn("_words", words_of(F.col("_text")))
+    hits = F.array_compact(F.array(*[F.when(holds_any_of(F.col("_text"), F.col("_words"), [r[0]]), F.lit(r[0])) for r in found]).cast("array<string>"))
+    return frame.withColumn(phrase, F.explode(hits)).drop("_text", "_words")

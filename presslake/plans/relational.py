@@ -369,6 +369,14 @@ def dedup_fuzzy_titles(spark, folder):
     return records.similar_titles(read(spark, folder, "update_llm_ready").where("title is not null"), "rec_id", "title")
 
 
+@query()
+def dedup_winners(spark, folder):
+    """Classes of duplicates with the best record: official, successful, longer, dated."""
+    rows = regional(spark, folder)
+    better = [F.col("source_type").isin("regulator", "government").cast("int"), F.startswith(F.coalesce("scrape_status", F.lit("")), F.lit("success")).cast("int"), F.length(F.coalesce("body", F.lit(""))), dates.precision(F.coalesce("published_date", F.lit("")))]
+    return records.resolve_duplicates(rows, "rec_id", better).select("rec_id", "duplicate_of", "duplicate_reason")
+
+
 @query("with b as (select rec_id, url, title, coalesce(collected_at >= '2026', false)::int age from parsers), k as (select url, max_by(rec_id, age * 1000000000 + rec_id) rec_id from b where trim(coalesce(url, '')) <> '' group by 1) select rec_id, url from k union all select rec_id, url from b where trim(coalesce(url, '')) = ''")
 def upsert_by_url(spark, folder):
     rows = read(spark, folder, "parsers").select("rec_id", "url", "title", F.coalesce(F.col("collected_at") >= "2026", F.lit(False)).alias("new"))

@@ -66,3 +66,17 @@ def test_chunks(spark):
     rows = spark.range(1, 101).withColumn("k", F.col("id") * 7 % 101)
     got = reports.chunked(rows, [F.col("k")], 30).orderBy("row_no").collect()
     assert [r.k for r in got] == list(range(1, 101)) and [r.row_no for r in got] == list(range(1, 101)) and got[-1].chunk_no == 4
+
+
+def test_components_and_winners(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 9), (9, 8), (5, 6), (6, 6), (20, 19), (19, 18), (18, 17), (17, 16)], "a long, b long")
+    got = {r.id: r.component for r in records.components(edges).collect()}
+    assert got == {**dict.fromkeys([1, 2, 3, 8, 9], 1), **dict.fromkeys([5, 6], 5), **dict.fromkeys(range(16, 21), 16)}
+    assert records.components(edges.limit(0)).count() == 0
+    body = "content " * 20
+    rows = spark.createDataFrame(
+        [(1, "http://a/x?utm_source=1", "Alpha one", body), (2, "http://a/x/", "Beta", "short"), (3, "http://b/y", "Gamma", body.strip() + "!!"), (4, "", "Delta delta delta delta", None), (5, None, "Delta delta delta delta.", ""), (6, "", "Other", None)],
+        "k long, url string, title string, body string",
+    )
+    out = {r.k: (r.duplicate_of, r.duplicate_reason) for r in records.resolve_duplicates(rows, "k", [F.length(F.coalesce("body", F.lit("")))]).collect()}
+    assert out == {1: (3, "exact_content"), 2: (3, "similar_or_linked"), 3: (None, None), 4: (None, None), 5: (4, "similar_or_linked"), 6: (None, None)}
