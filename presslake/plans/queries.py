@@ -260,3 +260,4 @@ def parse_dates_more(spark, folder):
 
 from presslake.plans import relational  # noqa: E402, F401  (adds its queries)
 from presslake.plans import outer  # noqa: E402, F401
+from presslake.plans import details  # noqa: E402, F401
