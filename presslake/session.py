@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not sc.master.startswith("local"):
+        if named is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "presslake-checkpoints"))
 
