@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,22 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     """``frame`` written to the checkpoint folder and read from there."""
     ensure_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers: by their search path on one
+    machine, by a zip that Spark distributes on a cluster.  Done once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_presslake_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    if re.fullmatch(r"local(\[.*\])?", sc.master):
+        paths = [str(package.parent), *filter(None, sc.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep))]
+        sc.environment["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(paths))
+    else:
+        target = Path(tempfile.mkdtemp(prefix="presslake-")) / "presslake.zip"  # on the driver; executors fetch it from there
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, Path("presslake") / f.relative_to(package))
+        sc.addPyFile(str(target))
+    sc._presslake_shipped = True
