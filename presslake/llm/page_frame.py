@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Stop words of the languages, for density in running text.
 STOP_WORDS = set(
@@ -208,3 +209,13 @@ def main_text(text: str | None, title: str | None = None) -> str | None:
         return text
     cut = set(frame_lines(text, title))
     return "\n".join(line for i, line in enumerate(text.split("\n"), 1) if i not in cut)
+
+
+def main_texts(frame: DataFrame, text: str, out: str = "own_text") -> DataFrame:
+    """``frame`` with ``out``: the column ``text`` without the lines of the page frame.
+    Needs title; null and empty texts stay."""
+
+    def cut(texts: pd.Series, titles: pd.Series) -> pd.Series:
+        return pd.Series([main_text(t, title) for t, title in zip(texts, titles)], dtype=object)
+
+    return frame.withColumn(out, F.pandas_udf(cut, StringType())(F.col(text), F.col("title")))

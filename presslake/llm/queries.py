@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,18 +22,38 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_lines(_read(spark, folder, "scripts"))
 
 
+def p3_clean(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.site_lines import without_repeated_lines
+
+    return without_repeated_lines(_read(spark, folder, "scripts").select("rec_id", "source_name", "content_text")).select("rec_id", "content_text")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.one_form import changed_records
 
     return changed_records({"scripts": (_read(spark, folder, "scripts"), "title"), "update_llm_ready": (_read(spark, folder, "update_llm_ready"), "main_text")})
 
 
+def p4_texts(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.one_form import unify_texts
+
+    titles = unify_texts(_read(spark, folder, "scripts").select(F.lit("scripts").alias("table_name"), "rec_id", F.col("title").alias("text")), "text")
+    texts = unify_texts(_read(spark, folder, "update_llm_ready").select(F.lit("update_llm_ready").alias("table_name"), "rec_id", F.col("main_text").alias("text")), "text")
+    return titles.unionByName(texts).drop("text")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.scanned import scan_noise
 
     return scan_noise(_read(spark, folder, "update_llm_ready"))
 
 
+def p5_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.scanned import repair_scans
+
+    return repair_scans(_read(spark, folder, "update_llm_ready"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.near_records import near_duplicate_pairs
 
@@ -51,6 +72,14 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return page_frame({"site_adapters": (_read(spark, folder, "site_adapters"), "body"), "parsers": (_read(spark, folder, "parsers"), "list_text")})
 
 
+def p7_texts(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.page_frame import main_texts
+
+    pages = _read(spark, folder, "site_adapters").select(F.lit("site_adapters").alias("table_name"), "rec_id", "title", F.col("body").alias("text"))
+    lists = _read(spark, folder, "parsers").select(F.lit("parsers").alias("table_name"), "rec_id", "title", F.col("list_text").alias("text"))
+    return main_texts(pages.unionByName(lists), "text").select("table_name", "rec_id", "own_text")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.encoding import encode_corpus
 
@@ -75,5 +104,16 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return garbled_documents(_read(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p6_found, p6_links, p7_found, p8_ids, p9_containers, p9_summary, p10_found)}
+def p10_restored(spark: SparkSession, folder: str) -> DataFrame:
+    from presslake.llm.wrong_encoding import restore_documents
+
+    return restore_documents(_read(spark, folder, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        p2_found, p3_found, p3_clean, p4_found, p4_texts, p5_found, p5_repaired, p6_found, p6_links, p7_found, p7_texts, p8_ids, p9_containers, p9_summary, p10_found, p10_restored,
+    )
+}
 ORACLE: dict[str, str] = {}

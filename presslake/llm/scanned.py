@@ -72,6 +72,7 @@ _PAGE_NUMBER = re.compile(
     rf"|[Pp][Pp]?[.,]\s*(?P<e>{_NUMBER})|(?P<f>第\s*{_NUMBER}\s*[页贞頁](?:\s*[,，/]?\s*共\s*{_NUMBER}\s*[页贞頁])?)|共\s*(?P<i>{_NUMBER})\s*[页贞頁]"
     rf"|(?P<g>(?:[Pp][a@o][g9q][ec3]|PAGE|[Hh][a@][l1|I][a@]m[a@]n|[Tt]r[a@]ng|[Ss]eite)\s*{_NUMBER}(?:\s*(?:[o0][fi]|sur|daripada|dari|trên|/|von)\s*{_NUMBER})?)"
 )
+_IS_HAN = re.compile("[一-鿿]")
 _TAIL = re.compile(rf"\s{{2,}}{_NUMBER}\s*\Z")
 _END = re.compile(r"[.。!！?？,，;；:：、…][”’\"'）)]*\s*\Z")
 _HEADER_WORDS = re.compile(r"(?i)\bbulletin\s+\w+\Z|\bnewsletter\b|\|\s*\S+\s+draft\Z|\bdraft\Z|\bconfidential\b|\binternal (?:use|document)\b|(?:内部资料?|产品手册?|产品目录|使用说明书?|会议资料|机密文件?|内部文件)\Z")
@@ -104,7 +105,8 @@ def frame_of(lines: list[str], title: str) -> set[int]:
             continue
         bare = _TAIL.sub("", text)
         skeleton = _skeleton(text)
-        if head and len(head) >= 6 and len(skeleton) * 20 >= len(head) * 17 and head.startswith(skeleton[: len(head)]) and len(skeleton) <= len(head):
+        long = len(bare) >= (16 if _IS_HAN.search(bare) else 36)  # a title cut at the width of the page
+        if len(head) >= 6 and head.startswith(skeleton) and (len(skeleton) * 20 >= len(head) * 17 or long):
             out.add(i)
         elif not _END.search(bare) and len(skeleton) >= 4:
             if _HEADER_WORDS.search(reading_of_header(bare)):
@@ -142,7 +144,6 @@ def _scan_words(line: str) -> list[str]:
 
 
 _HAN_AT = re.compile(f"[{_HAN_READ}]")
-_IS_HAN = re.compile("[一-鿿]")
 
 
 def _han_words(text: str, at: re.Pattern) -> list[str]:
@@ -320,3 +321,65 @@ def scan_noise(frame: DataFrame) -> DataFrame:
     fix = _fix_lines(layout.where("kind = 'word'"), fixes).withColumn("kind", F.lit("fix"))
     join = _break_decisions(layout.where("kind = 'break'"), clean, fixes).where("joined").select("rec_id", "line_no", F.lit("join").alias("kind"))
     return drop.unionByName(fix).unionByName(join).distinct()
+
+
+def _same_case(model: str, word: str) -> str:
+    return word.upper() if model.isupper() and len(model) > 1 else word[:1].upper() + word[1:] if model[:1].isupper() else word
+
+
+def repaired(text: str | None, drop: set[int], join: set[int], fixes: dict[str, str]) -> str | None:
+    """A scanned text as paragraphs: frame lines dropped, broken words joined, misread
+    words replaced in their case.  A blank line ends a paragraph if a sentence ends
+    before it; line breaks become blanks between letters, nothing between Chinese
+    characters."""
+    if not text:
+        return text
+    paragraphs, current, closed, glue = [], "", False, False
+    for n, line in enumerate(text.split("\n"), 1):
+        piece = line.strip()
+        if n in drop:
+            continue
+        if not piece:
+            closed = closed or bool(_END.search(current))
+            continue
+        if current and closed:
+            paragraphs.append(current)
+            current, glue = "", False
+        wide = bool(current) and bool(re.search("[\u3000-\u9fff\uff00-\uffef]\\Z", current) or re.match("[\u3000-\u9fff\uff00-\uffef]", piece))
+        broken = bool(current) and bool(_BROKEN.search(current + " "))  # a compound keeps its hyphen
+        current += piece if glue or wide or broken or not current else " " + piece
+        closed, glue = False, n in join
+        if glue:
+            current = re.sub(rf"[{SIGNS}]\s*\Z", "", current)
+    if current:
+        paragraphs.append(current)
+    out = "\n\n".join(paragraphs)
+    for word in sorted(fixes, key=len, reverse=True):
+        edge = "" if _IS_HAN.search(word) else r"[^\W_]"
+        bounds = (f"(?<!{edge})", f"(?!{edge})") if edge else ("", "")
+        out = re.sub(bounds[0] + re.escape(word) + bounds[1], lambda m, w=word: _same_case(m.group(), fixes[w]), out, flags=re.I)
+    return out
+
+
+def repair_scans(frame: DataFrame) -> DataFrame:
+    """(rec_id, repaired): image_ocr_text of every row as continuous paragraphs.
+
+    Null and empty texts stay; rows without rec_id are left out; of rows with one
+    rec_id each gets the repairs of all of them."""
+    layout, clean, fixes = _analysed(frame)
+    words = layout.where("kind = 'word'").join(fixes, "word").groupBy("rec_id").agg(F.collect_set(F.struct("word", "correction")).alias("fixes"))
+    drop = layout.where("kind = 'drop'").groupBy("rec_id").agg(F.collect_set("line_no").alias("drop_lines"))
+    join = _break_decisions(layout.where("kind = 'break'"), clean, fixes).where("joined").groupBy("rec_id").agg(F.collect_set("line_no").alias("join_lines"))
+    rows = frame.where("rec_id is not null").select(F.col("rec_id").cast("bigint").alias("rec_id"), F.col("image_ocr_text").alias("text"))
+    rows = rows.join(words, "rec_id", "left").join(drop, "rec_id", "left").join(join, "rec_id", "left")
+
+    def run(batches):
+        some = lambda v: [] if v is None else v
+        for b in batches:
+            out = [
+                repaired(t, {*some(d)}, {*some(j)}, {f["word"]: f["correction"] for f in some(x)})
+                for t, d, j, x in zip(b["text"], b["drop_lines"], b["join_lines"], b["fixes"])
+            ]
+            yield pd.DataFrame({"rec_id": b["rec_id"], "repaired": out})
+
+    return rows.mapInPandas(run, "rec_id bigint, repaired string")

@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from presslake.llm.page_frame import frame_lines, main_text, page_frame
+from presslake.llm.page_frame import frame_lines, main_text, main_texts, page_frame
 from presslake.llm.site_lines import chunk_hashes, line_key, repeated_lines, without_repeated_lines
 
 
@@ -86,3 +86,4 @@ def test_page_frame_operator(spark):
     got = page_frame({"site_adapters": (rows, "body")}).collect()
     assert [tuple(x) for x in got] == [("site_adapters", 1, 1)] * 2
     assert page_frame({"site_adapters": (rows.limit(0), "body")}).count() == 0
+    assert [x.own_text for x in main_texts(rows.where("rec_id < 4"), "body").orderBy("rec_id").collect()] == ["x", "x", None, ""]

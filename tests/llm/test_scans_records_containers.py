@@ -5,7 +5,7 @@ import pytest
 
 from presslake.llm.containers import best_fit, fill_containers, fill_summary, pack_counts, reduce_by_dominance
 from presslake.llm.near_records import TOKEN, near_duplicate_links, near_duplicate_pairs
-from presslake.llm.scanned import anagram_hash, frame_of, is_page_number, lay_out, reading, scan_noise
+from presslake.llm.scanned import anagram_hash, frame_of, is_page_number, lay_out, reading, repair_scans, repaired, scan_noise
 
 CLEAN = "The authority accepted the high-barrier stent before the deadline. The clinic noted further complaints in the spring and licensed the valve. 据仓储中心介绍，手套的指南增长，包装供应商与公司通报。 "
 SCAN = "Acme bulletin 5\nThe auth0rity acceptecl the high-\nbarrier stent before the dead-\nline. The clinic noted fur¬\nther complaints.\n- 2 -\nAcme bu1letin 5\nLot 2026-114\n据仓储申心介绍，手套旳指南增长\n2. Storage\nThe clinic 1icensed the\nvalve.\nPage 3"
@@ -18,6 +18,7 @@ def test_forms():
     assert anagram_hash("ab") == anagram_hash("ba") != anagram_hash("aa")
     assert frame_of(SCAN.split("\n"), "") == {0, 5, 6, 12} and frame_of([], "") == set()
     assert lay_out("", None) == []
+    assert frame_of(["ORTHOPAEDIC INHALER TENDERS: MORMORA STERILE SYST", "text"], "Orthopaedic inhaler tenders: Mormora Sterile Systems reported new terms") == {0}
 
 
 def test_scan_noise(spark):
@@ -27,6 +28,15 @@ def test_scan_noise(spark):
     want = {(n, "drop") for n in (1, 6, 7, 13)} | {(2, "fix"), (3, "join"), (4, "join"), (9, "fix"), (11, "fix")}
     assert {(n, k) for rec, n, k in got if rec == 100} == want and len(got) == len(set(got)) == len(want)
     assert scan_noise(frame.limit(0)).count() == 0
+    text = {x.rec_id: x.repaired for x in repair_scans(frame).collect()}
+    assert text[100] == "The authority accepted the high-barrier stent before the deadline. The clinic noted further complaints.Lot 2026-114据仓储中心介绍，手套的指南增长 2. Storage The clinic licensed the valve.".replace("complaints.Lot 2026-114据", "complaints. Lot 2026-114据").replace("增长 2.", "增长2.")
+    assert text[101] == "" and text[0] is None and repair_scans(frame.limit(0)).count() == 0
+
+
+def test_paragraphs():
+    assert repaired("One two\nthree.\n\nFour\n\nfive", set(), set(), {}) == "One two three.\n\nFour five"
+    assert repaired("a deadl-\n3\nine", {2}, {1}, {}) == "a deadline" and repaired("high-\nbarr1er H0W", set(), set(), {"barr1er": "barrier", "h0w": "how"}) == "high-barrier HOW"
+    assert repaired(None, set(), set(), {}) is None and repaired("", set(), set(), {}) == "" and repaired("中\n文", set(), set(), {}) == "中文"
 
 
 def brute_pairs(rows):
