@@ -330,11 +330,11 @@ def _same_case(model: str, word: str) -> str:
 def repaired(text: str | None, drop: set[int], join: set[int], fixes: dict[str, str]) -> str | None:
     """A scanned text as paragraphs: frame lines dropped, broken words joined, misread
     words replaced in their case.  A blank line ends a paragraph if a sentence ends
-    before it; line breaks become blanks between letters, nothing between Chinese
-    characters."""
+    before it; line breaks become blanks, on pages in Chinese only where one stood."""
     if not text:
         return text
-    paragraphs, current, closed, glue = [], "", False, False
+    tight = 4 * len(_IS_HAN.findall(text)) > len(text)  # Chinese pages break lines anywhere and keep blanks at the end
+    paragraphs, current, closed, glue, space = [], "", False, False, False
     for n, line in enumerate(text.split("\n"), 1):
         piece = line.strip()
         if n in drop:
@@ -345,10 +345,9 @@ def repaired(text: str | None, drop: set[int], join: set[int], fixes: dict[str,
         if current and closed:
             paragraphs.append(current)
             current, glue = "", False
-        wide = bool(current) and bool(re.search("[\u3000-\u9fff\uff00-\uffef]\\Z", current) or re.match("[\u3000-\u9fff\uff00-\uffef]", piece))
-        broken = bool(current) and bool(_BROKEN.search(current + " "))  # a compound keeps its hyphen
-        current += piece if glue or wide or broken or not current else " " + piece
-        closed, glue = False, n in join
+        space = space or line[0].isspace() if tight else not _BROKEN.search(current)  # a compound keeps its hyphen
+        current += piece if glue or not space or not current else " " + piece
+        closed, glue, space = False, n in join, line[-1].isspace()
         if glue:
             current = re.sub(rf"[{SIGNS}]\s*\Z", "", current)
     if current:

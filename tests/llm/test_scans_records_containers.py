@@ -29,14 +29,14 @@ def test_scan_noise(spark):
     assert {(n, k) for rec, n, k in got if rec == 100} == want and len(got) == len(set(got)) == len(want)
     assert scan_noise(frame.limit(0)).count() == 0
     text = {x.rec_id: x.repaired for x in repair_scans(frame).collect()}
-    assert text[100] == "The authority accepted the high-barrier stent before the deadline. The clinic noted further complaints.Lot 2026-114据仓储中心介绍，手套的指南增长 2. Storage The clinic licensed the valve.".replace("complaints.Lot 2026-114据", "complaints. Lot 2026-114据").replace("增长 2.", "增长2.")
+    assert text[100] == "The authority accepted the high-barrier stent before the deadline. The clinic noted further complaints. Lot 2026-114 据仓储中心介绍，手套的指南增长 2. Storage The clinic licensed the valve."
     assert text[101] == "" and text[0] is None and repair_scans(frame.limit(0)).count() == 0
 
 
 def test_paragraphs():
     assert repaired("One two\nthree.\n\nFour\n\nfive", set(), set(), {}) == "One two three.\n\nFour five"
     assert repaired("a deadl-\n3\nine", {2}, {1}, {}) == "a deadline" and repaired("high-\nbarr1er H0W", set(), set(), {"barr1er": "barrier", "h0w": "how"}) == "high-barrier HOW"
-    assert repaired(None, set(), set(), {}) is None and repaired("", set(), set(), {}) == "" and repaired("中\n文", set(), set(), {}) == "中文"
+    assert repaired(None, set(), set(), {}) is None and repaired("", set(), set(), {}) == "" and repaired("中\n文说明由Pack \nLabs提供Syst\nems等产品", set(), set(), {}) == "中文说明由Pack Labs提供Systems等产品"
 
 
 def brute_pairs(rows):
