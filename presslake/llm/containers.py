@@ -186,8 +186,8 @@ def fill_containers(sizes: DataFrame, specs: DataFrame, id_column: str = "doc_id
     if not kinds:
         return spark.createDataFrame([], out)
     items = cut_lineage(sizes.where("tokens > 0").select(F.col(id_column).cast("bigint").alias(id_column), F.col("tokens").cast("int").alias("tokens")))
-    table = spark.createDataFrame(list(kinds.items()), "container_kind string, capacity int")
-    both = items.crossJoin(F.broadcast(table))  # a few kinds of container, checked above to fit the driver
+    table = F.array(*[F.struct(F.lit(k).alias("container_kind"), F.lit(c).alias("capacity")) for k, c in kinds.items()])
+    both = items.select(id_column, "tokens", F.explode(table).alias("_kind")).select(id_column, "tokens", "_kind.*")
     full, rest = F.expr("tokens div capacity").cast("int"), F.col("tokens") % F.col("capacity")
     both = both.withColumn("full", F.when(F.col("tokens") > F.col("capacity"), full).otherwise(0))
     both = both.withColumn("rest", F.when(F.col("full") == 0, F.col("tokens")).otherwise(rest))

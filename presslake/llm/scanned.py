@@ -38,20 +38,28 @@ HAN_CONFUSIONS = [
 _HAN_READ = "".join(sorted({a for a, _ in HAN_CONFUSIONS}))
 _HAN_BOTH = "".join(sorted({c for p in HAN_CONFUSIONS for c in p}))
 SIGNS = "-¬­‐‑"
+LONGEST = 60  # letters of a word that can be corrected; longer runs are no words
 RATIO = 2  # a correction occurs in clean texts at least so many times as often as the misread word in scans
 
 
 def anagram_hash(word: str) -> int:
-    """Sum of fifth powers of code points, within 64 bits: the same for all orders."""
-    return sum(pow(ord(c), 5) for c in word) % (1 << 62)
+    """Sum of fourth powers of code points (modulo a prime), the same for all orders.  Words are
+    short, so that differences stay exact within 64 bits."""
+    return sum(pow(ord(c) % 9973, 4) for c in word)
 
 
-def _differences() -> list[tuple[str, int]]:
-    """Names and hash differences of one confusion and of two in a word."""
-    single = [(f"{r}>{t}", anagram_hash(t) - anagram_hash(r)) for r, t in CONFUSIONS + HAN_CONFUSIONS]
-    latin = [(f"{r}>{t}", anagram_hash(t) - anagram_hash(r)) for r, t in CONFUSIONS]
-    double = [(f"{a} {b}", x + y) for (a, x), (b, y) in combinations_with_replacement(latin, 2)]
-    return list({d: (k, d) for k, d in double + single if d}.values())
+_SINGLE = [(r, anagram_hash(t) - anagram_hash(r)) for r, t in CONFUSIONS + HAN_CONFUSIONS]
+
+
+def reachable_hashes(word: str) -> set[int]:
+    """Anagram hashes of the words that one or two confusions of ``word`` lead to."""
+    own = anagram_hash(word)
+    steps = [(r, d) for r, d in _SINGLE if r in word]
+    out = {own + d for _, d in steps}
+    for (r, d), (q, e) in combinations_with_replacement(steps, 2):
+        if r != q or word.count(r) > 1:
+            out.add(own + d + e)
+    return out - {own}
 
 
 # Every character spelled out in the strokes it may be read as, so that a word and its misreadings are spelled alike.
@@ -238,8 +246,11 @@ def clean_vocabulary(texts: DataFrame) -> DataFrame:
 def corrections(scan_words: DataFrame, clean: DataFrame) -> DataFrame:
     """(word, correction): misread words of scans with the best attested word that
     differs by known confusions.  ``scan_words`` (word, n) are counts in scans."""
-    spark = clean.sparkSession
-    deltas = spark.createDataFrame([(d,) for _, d in _differences()], "delta bigint")
+
+    def spread(batches):
+        for b in batches:
+            rows = [(w, n, h) for w, n in zip(b["word"], b["n"]) for h in reachable_hashes(w)]
+            yield pd.DataFrame(rows, columns=["word", "n", "hash"]).astype({"n": "int64", "hash": "int64"})
 
     def hashed(batches):
         for b in batches:
@@ -247,9 +258,9 @@ def corrections(scan_words: DataFrame, clean: DataFrame) -> DataFrame:
 
     schema = "word string, n bigint, hash bigint"
     known = clean.select("word", F.col("n").alias("clean_n"))
-    rare = scan_words.join(known, "word", "left").where(F.coalesce("clean_n", F.lit(0)) * 5 <= F.col("n")).select("word", "n").mapInPandas(hashed, schema)
-    frequent = clean.where("n >= 3 and word not like '%-%'").select("word", "n").mapInPandas(hashed, schema)
-    reached = rare.crossJoin(F.broadcast(deltas)).select("word", "n", (F.col("hash") + F.col("delta")).alias("hash"))  # a fixed number of differences
+    rare = scan_words.join(known, "word", "left").where(F.coalesce("clean_n", F.lit(0)) * 5 <= F.col("n")).where(F.length("word") <= LONGEST).select("word", "n")
+    frequent = clean.where("n >= 3 and word not like '%-%'").where(F.length("word") <= 2 * LONGEST).select("word", "n").mapInPandas(hashed, schema)
+    reached = rare.mapInPandas(spread, schema)
     pairs = reached.join(frequent.select(F.col("word").alias("correction"), F.col("n").alias("clean_n"), "hash"), "hash")
     pairs = pairs.where(F.col("clean_n") >= F.col("n") * RATIO).select("word", "correction", "clean_n").distinct()
 
