@@ -225,6 +225,9 @@ def event_ledger(frame: DataFrame, key: Column, score: Column, published: str, i
 def ledger_counts(source: DataFrame, ledger: DataFrame, relevance: str, priority: list[str]) -> DataFrame:
     """One row: rows read, excluded, merged away, events, priority events."""
     none = F.coalesce(F.col(relevance), F.lit("industry_only")) == "none"
-    read = source.agg(F.count(F.lit(1)).alias("source_rows"), F.count_if(none).alias("excluded"))
-    kept = ledger.agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col(relevance).isin(priority)).alias("priority_events"))
-    return read.crossJoin(kept).select("source_rows", "excluded", (F.col("source_rows") - F.col("excluded") - F.col("events")).alias("merged"), "events", "priority_events")
+    zero = F.lit(0).cast("bigint")
+    read = source.agg(F.count(F.lit(1)).alias("source_rows"), F.count_if(none).alias("excluded")).withColumns({"events": zero, "priority_events": zero})
+    kept = ledger.agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col(relevance).isin(priority)).alias("priority_events")).withColumns({"source_rows": zero, "excluded": zero})
+    names = ["source_rows", "excluded", "events", "priority_events"]
+    both = read.unionByName(kept).agg(*[F.sum(n).alias(n) for n in names])
+    return both.select("source_rows", "excluded", (F.col("source_rows") - F.col("excluded") - F.col("events")).alias("merged"), "events", "priority_events")

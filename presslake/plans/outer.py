@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from presslake.functions import html, text, urls
+from presslake.functions import html, text
 from presslake.operators import analysis
 from presslake.plans.queries import query, read
 from presslake.sources import files
@@ -83,11 +83,11 @@ def offline_analysis(spark, folder):
     return out.select("rec_id", "relevance", "version")
 
 
-@query("select rec_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) = regexp_extract(coalesce(link2, ''), '^[a-z]+://([^/?#]+)', 1) same_site from (select rec_id, url, 'https://' || (select min(host) from source_registry) || '/file' link2 from parsers where url is not null)")
+@query("select p.rec_id, lower(regexp_extract(p.url, '^[a-z]+://([^/?#]+)', 1)) = 'www.' || g.host same_site from parsers p join source_registry g using (source_id) where p.url is not null")
 def attachment_hosts(spark, folder):
-    first = read(spark, folder, "source_registry").agg(F.min("host").alias("h"))
-    rows = read(spark, folder, "parsers").where("url is not null").join(F.broadcast(first))  # a single row
-    return rows.select("rec_id", (urls.host(F.col("url")) == F.col("h")).alias("same_site"))
+    registry = read(spark, folder, "source_registry").select("source_id", F.concat(F.lit("https://www."), "host", F.lit("/file")).alias("attachment"))
+    rows = read(spark, folder, "parsers").where("url is not null").join(registry, "source_id")
+    return rows.select("rec_id", html.same_host(F.col("url"), F.col("attachment")).alias("same_site"))
 
 
 @query("select count(distinct user_id::varchar || event_type) n from events")
