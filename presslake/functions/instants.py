@@ -246,9 +246,34 @@ def _zone_names() -> frozenset:
     return frozenset(available_timezones())
 
 
+_pinned: dict[str, object] = {"version": None, "tables": {}}
+
+
+def build_tables(names) -> dict:
+    """Tables of the zones named, with the version of the database they come from, to be
+    shipped to workers.  Names that are no zones are left out."""
+    return {"version": zone_version(), "tables": {n: ZoneTable(n) for n in set(names) & _zone_names()}}
+
+
+def use_tables(bundle: dict) -> None:
+    """Makes a worker use shipped tables."""
+    if _pinned["version"] != bundle["version"] or not bundle["tables"].keys() <= _pinned["tables"].keys():
+        _pinned.update(version=bundle["version"], tables={**bundle["tables"]})
+        zone_table.cache_clear()
+        abbreviation_offset.cache_clear()
+
+
 @lru_cache(maxsize=1024)
 def zone_table(name: str) -> ZoneTable | None:
-    return ZoneTable(name) if name in _zone_names() else None
+    """The table of a zone: the shipped one, else one made here from the same version of
+    the database; another version is an error, as results would depend on the worker."""
+    if name in _pinned["tables"]:
+        return _pinned["tables"][name]
+    if name not in _zone_names():
+        return None
+    if _pinned["version"] not in (None, zone_version()):
+        raise RuntimeError(f"zone database {zone_version()} here, {_pinned['version']} on the driver")
+    return ZoneTable(name)
 
 
 @lru_cache(maxsize=65536)

@@ -10,17 +10,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslake.functions.instants import to_micros
+from presslake.functions.instants import build_tables, to_micros, use_tables
 
 OUT = "table_name string, rec_id bigint, utc_micros bigint"
 
 
-def _read_batches(batches):
-    for b in batches:
-        micros, ok = to_micros(b["text"].tolist(), b["time_zone"].tolist(), b["date_order"].tolist(), b["calendar"].tolist())
-        yield pd.DataFrame({"table_name": b["table_name"][ok], "rec_id": b["rec_id"][ok], "utc_micros": micros[ok]})
-
-
 def normalise_timestamps(tables: dict[str, tuple[DataFrame, str, str]], registry: DataFrame) -> DataFrame:
     """Instants of the date texts of several tables, as (table_name, rec_id, utc_micros).
 
@@ -36,7 +30,8 @@ def normalise_timestamps(tables: dict[str, tuple[DataFrame, str, str]], registry
     200 characters are no timestamps.  Repeated rows
     each give their row; columns of the tables beyond the named ones are not read.
     Only columns needed are scanned and nothing is shuffled but, if large, the
-    registry join.
+    registry join.  Zone transitions are tabled on the
+    driver and shipped with the version of the zone database.
     """
     parts = []
     for name, (frame, text, source) in tables.items():
@@ -46,4 +41,14 @@ def normalise_timestamps(tables: dict[str, tuple[DataFrame, str, str]], registry
         ).where(F.col("rec_id").isNotNull() & (F.length("text") >= 6))
         zones = registry.where(F.col(source).isNotNull()).select(F.col(source).alias("source"), "time_zone", "date_order", "calendar").dropDuplicates(["source"])
         parts.append(rows.join(zones, "source", "left").select("table_name", "rec_id", "text", "time_zone", "date_order", "calendar"))
-    return reduce(DataFrame.unionByName, parts).mapInPandas(_read_batches, OUT)
+    # Zone names are those of the zone database, some hundreds at most.
+    named = registry.select("time_zone").where("time_zone is not null").distinct().limit(5000).collect()
+    shipped = registry.sparkSession.sparkContext.broadcast(build_tables(r[0] for r in named))
+
+    def read(batches):
+        use_tables(shipped.value)
+        for b in batches:
+            micros, ok = to_micros(b["text"].tolist(), b["time_zone"].tolist(), b["date_order"].tolist(), b["calendar"].tolist())
+            yield pd.DataFrame({"table_name": b["table_name"][ok], "rec_id": b["rec_id"][ok], "utc_micros": micros[ok]})
+
+    return reduce(DataFrame.unionByName, parts).mapInPandas(read, OUT)
