@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslake.session import cut_lineage
+
 MIN_RECORDS, MIN_SHARE = 8, 0.05
 WINDOW = 16  # characters seen by the rolling hash
 CUT_BITS = 5  # a cut every 32 characters on average
@@ -79,16 +81,6 @@ def _lines_of(batch: pd.DataFrame):
     return np.array(row, np.int64), number, keys, np.array(fresh, bool)
 
 
-def _count_chunks(batches):
-    for b in batches:
-        row, _, keys, fresh = _lines_of(b)
-        if not len(row):
-            continue
-        owner, value = chunk_hashes(keys)
-        docs = pd.DataFrame({"source": b["source"].to_numpy()[row[owner]], "row": row[owner], "chunk": value}).drop_duplicates(["row", "chunk"])
-        yield docs.groupby(["source", "chunk"], sort=False).size().rename("n").reset_index()
-
-
 def _list_lines(batches):
     for b in batches:
         row, number, keys, fresh = _lines_of(b)
@@ -96,10 +88,13 @@ def _list_lines(batches):
             continue
         owner, value = chunk_hashes(keys)
         lead = value[np.searchsorted(owner, np.arange(len(keys)))]
+        # Chunks that are new in their record, so that a record counts once for each.
+        new = pd.DataFrame({"line": owner, "row": row[owner], "chunk": value}).drop_duplicates(["row", "chunk"])
+        parts = np.split(new["chunk"].to_numpy(), np.searchsorted(new["line"].to_numpy(), np.arange(1, len(keys))))
         yield pd.DataFrame(
             {
-                "rec_id": b["rec_id"].to_numpy()[row], "source": b["source"].to_numpy()[row], "line_no": np.array(number, np.int32),
-                "chunk": lead, "line": [blake2b(k.encode("utf-8", "surrogatepass"), digest_size=16).digest() for k in keys], "fresh": fresh,
+                "rec_id": b["rec_id"].to_numpy()[row], "source": b["source"].to_numpy()[row], "line_no": np.array(number, np.int32), "lead": lead, "new_chunks": parts,
+                "line": [blake2b(k.encode("utf-8", "surrogatepass"), digest_size=16).digest() for k in keys], "fresh": fresh,
             }
         )
 
@@ -113,15 +108,15 @@ def repeated_lines(
     Lines are the pieces between line feeds, counted from 1.  Rows with null source
     or rec_id or null or empty text are left out; lines of white space and digits only are no
     cases.  A line twice in a record counts once; repeated rows count as records.
-    Counts are summed before the shuffle, so one source with a third of all rows
+    Lines are made once and kept; counts are summed before the shuffle, so one source with a third of all rows
     makes no hot task."""
     docs = frame.select(F.col("rec_id").cast("bigint").alias("rec_id"), F.col(source).alias("source"), F.col(text).alias("text"))
     docs = docs.where("source is not null and text <> '' and rec_id is not null")
     needed = docs.groupBy("source").agg(F.greatest(F.lit(min_records), F.ceil(F.count(F.lit(1)) * F.lit(min_share) - F.lit(1e-9))).alias("least"))
-    chunks = docs.mapInPandas(_count_chunks, "source string, chunk bigint, n bigint").groupBy("source", "chunk").agg(F.sum("n").alias("n"))
-    frequent = chunks.where(F.col("n") >= min_records).join(needed, "source").where("n >= least").select("source", "chunk")
-    lines = docs.mapInPandas(_list_lines, "rec_id bigint, source string, line_no int, chunk bigint, line binary, fresh boolean")
-    near = lines.join(frequent, ["source", "chunk"]).drop("chunk")
+    lines = cut_lineage(docs.mapInPandas(_list_lines, "rec_id bigint, source string, line_no int, lead bigint, new_chunks array<bigint>, line binary, fresh boolean"))
+    chunks = lines.select("source", F.explode("new_chunks").alias("lead")).groupBy("source", "lead").agg(F.count(F.lit(1)).alias("n"))
+    frequent = chunks.where(F.col("n") >= min_records).join(needed, "source").where("n >= least").select("source", "lead")
+    near = lines.drop("new_chunks").join(frequent, ["source", "lead"]).drop("lead")
     exact = near.where("fresh").groupBy("source", "line").agg(F.count(F.lit(1)).alias("n")).join(needed, "source").where("n >= least")
     return near.join(exact.select("source", "line"), ["source", "line"], "left_semi").select("rec_id", "line_no")
 
