@@ -116,4 +116,20 @@ QUERIES = {
         p2_found, p3_found, p3_clean, p4_found, p4_texts, p5_found, p5_repaired, p6_found, p6_links, p7_found, p7_texts, p8_ids, p9_containers, p9_summary, p10_found, p10_restored,
     )
 }
-ORACLE: dict[str, str] = {}
+_BLANK = r"[\s\p{Nd}\x{85}\x{a0}\x{1680}\x{1c}-\x{1f}\x{b}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+ORACLE: dict[str, str] = {
+    "p3_found": rf"""
+        with d as (select rec_id, source_name, string_split(content_text, chr(10)) l from scripts where source_name is not null and content_text <> ''),
+        n as (select source_name, count(*) docs from d group by 1),
+        x as (select rec_id, source_name, i::int line_no, regexp_replace(lower(l[i]), '{_BLANK}', '', 'g') k from (select *, unnest(range(1, len(l) + 1)) i from d)),
+        c as (select source_name, k, count(distinct rec_id) c from x where k <> '' group by all)
+        select rec_id, line_no from x join c using (source_name, k) join n using (source_name) where c >= 8 and c * 20 >= docs
+    """,
+    "p6_found": r"""
+        with t as (select rec_id, regexp_extract_all(lower(coalesce(title, '') || chr(10) || main_text), '[\x{4e00}-\x{9fff}]|(?:[^\P{L}\x{4e00}-\x{9fff}]|\p{Nd})+') w from update_llm_ready where main_text <> ''),
+        g as (select distinct rec_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] k from (select *, unnest(range(1, len(w) - 2)) i from t where len(w) >= 4)),
+        n as (select rec_id, count(*) n from g group by 1),
+        o as (select a.rec_id a, b.rec_id b, count(*) c from g a join g b on a.k = b.k and a.rec_id < b.rec_id group by all)
+        select a rec_id_a, b rec_id_b from o join n x on x.rec_id = a join n y on y.rec_id = b where 3 * c >= x.n + y.n
+    """,
+}
