@@ -97,7 +97,14 @@ def test_chinese_misread():
     assert cost(text) < 0.2 * cost(text.encode("gb18030").decode("latin-1"))
 
 
-@pytest.mark.parametrize("text", [None, "", "plain?", GOOD, "l’étui d’évaluation", "AVALIAÇÃO FINAL: NÃO", "ÂGE · SÃO · ÑANDÚ", "½ ¼ ¾ °C ± μ", "Новости: ВПЕРЁД, Ђорђе", "正體中文與日本語カタカナ", "https://x.example/a?b=c&d=%20", "Đầu tháng, nhà máy phê duyệt", "👩‍⚕️🧪", "R&D; AT&T"])
+def test_long_passages():
+    text = "据监管机构介绍，儿科镜片的审计增长百分之五，为缩短等待时间。" * 400
+    for bad in (text.encode("gb18030").decode("latin-1"), misread(text, "utf-8", "cp1252")):
+        assert restore(bad) == text
+    assert not is_garbled(text) and not is_garbled("正體中文" * 5000)
+
+
+@pytest.mark.parametrize("text", [None, "", "plain?", GOOD, "l’étui d’évaluation", "AVALIAÇÃO FINAL: NÃO", "ÂGE · SÃO · ÑANDÚ", "½ ¼ ¾ °C ± μ", "Новости: ВПЕРЁД, Ђорђе", "正體中文與日本語カタカナ", "한국 의료기기 제조사가 새로운 제품을 발표했다", "日本の医療機器メーカーは新しい製品を発表した。", "https://x.example/a?b=c&d=%20", "Đầu tháng, nhà máy phê duyệt", "👩‍⚕️🧪", "R&D; AT&T"])
 def test_good_texts_are_no_cases(text):
     assert not is_garbled(text) and restore(text) == text
 
