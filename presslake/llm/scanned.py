@@ -88,7 +88,7 @@ _HEADER_WORDS = re.compile(r"(?i)\bbulletin\s+\w+\Z|\bnewsletter\b|\|\s*\S+\s+dr
 
 def is_page_number(line: str) -> bool:
     text = line.strip()
-    m = _PAGE_NUMBER.fullmatch(text)
+    m = _PAGE_NUMBER.fullmatch(text) if len(text) <= 60 else None
     if not m:
         return False
     if bare := m.group("d"):
@@ -105,7 +105,7 @@ def _skeleton(line: str) -> str:
 def frame_of(lines: list[str], title: str) -> set[int]:
     """Indices of the lines of the page frame."""
     out = {i for i, line in enumerate(lines) if line.strip() and is_page_number(line)}
-    head = _skeleton(title)
+    head = _skeleton(title) if len(title) <= 1000 else ""  # a page header is no longer
     loose: dict[int, str] = {}
     for i, line in enumerate(lines):
         text = line.strip()
