@@ -59,10 +59,25 @@ def run_manifest(spark, folder):
 
 @query("select rec_id, '## ' || coalesce(title, '') || chr(10) || '- Source: ' || coalesce(source_name, '') || chr(10) || '- Words: ' || coalesce(word_count::varchar, '') || chr(10) || chr(10) || coalesce(main_text_preview, '') markdown from update_llm_ready")
 def markdown_corpus(spark, folder):
+    """Headings with previews, as its SQL has them; whole articles are in ``markdown_articles``."""
     rows = files.markdown_records(read(spark, folder, "update_llm_ready"), "title", {"source_name": "Source", "word_count": "Words"}, "main_text_preview")
     return rows.select("rec_id", "markdown")
 
 
+_TAGS = "coalesce(array_to_string(source_tags, '、'), '')"
+_HEAD = "coalesce(source_name, ''), '{1}发布时间：', coalesce(published, ''), '{1}分类：', coalesce(source_category, ''), '{1}标签：', " + _TAGS + ", '{1}原文链接：', coalesce(link, '')"
+_IMAGES = "coalesce(nullif(image_ocr_text, ''), '无')"
+_STRIPPED = r"regexp_replace(replace(coalesce(title, ''), chr(10), ' '), '^[\s\p{Z}\x{b}\x{1c}-\x{1f}\x{85}]+|[\s\p{Z}\x{b}\x{1c}-\x{1f}\x{85}]+$', '', 'g')"
+
+
+@query(
+    "select rec_id, concat('# ', coalesce(nullif(title, ''), 'Untitled'), '\n\n来源：', " + _HEAD.replace("{1}", "  \n") + ", '  \n数据质量分：', coalesce(data_quality_score, 0), '  \n数据质量说明：', coalesce(data_quality_note, ''), '  \n\n## 正文\n\n', coalesce(nullif(main_text, ''), '无'), '\n\n## 图片 OCR 补充信息\n\n', " + _IMAGES + ", '\n\n---\n') markdown, "
+    "concat('---\n\n## ', coalesce(nullif(" + _STRIPPED + ", ''), 'Untitled'), '\n\n- 来源：', " + _HEAD.replace("{1}", "\n- ") + ", '\n- 正文长度：', coalesce(text_length, 0), '\n- 图片数量：', coalesce(image_count, 0), '\n\n### 正文\n\n', coalesce(main_text, ''), '\n\n### 图片 OCR 补充信息\n\n', " + _IMAGES + f", '\n\n> {files.IMAGE_NOTE}\n') prepared from update_llm_ready"
+)
+def markdown_articles(spark, folder):
+    return files.article_markdown(read(spark, folder, "update_llm_ready")).select("rec_id", "markdown", "prepared")
+
+
 @query("select rec_id, coalesce(nullif(trim(rss_summary), ''), nullif(trim(content_text), ''), '') is not null and true as has_any, case when coalesce(content_text, '') <> '' then 'page' when coalesce(rss_summary, '') <> '' then 'rss' else 'failed' end origin from scripts")
 def content_fallback(spark, folder):
     c, s = F.coalesce("content_text", F.lit("")), F.coalesce("rss_summary", F.lit(""))

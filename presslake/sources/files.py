@@ -94,6 +94,34 @@ def markdown_records(frame: DataFrame, title: str, fields: dict[str, str], body:
     return frame.withColumn("markdown", F.concat_ws("\n", *lines, F.lit(""), F.coalesce(body, F.lit(""))))
 
 
+#: Notes on read images under an article: of the prepared corpus.
+IMAGE_NOTE = "图片 OCR 仅供参考，可能存在识别错误。核心分析应优先基于 main_text。"
+
+
+def article_markdown(frame: DataFrame) -> DataFrame:
+    """Columns ``markdown`` and ``prepared``: each article as a section of the final and of the prepared
+    corpus, with its whole text and the whole text of its images.  Sections joined by a line break
+    make the file; its first lines and the running number of prepared headings are the file writer's."""
+    value = lambda c, none="": F.coalesce(F.col(c).cast("string"), F.lit(none))
+    filled = lambda c, none: F.when(value(c) != "", value(c)).otherwise(none)
+    tags = F.coalesce(F.array_join("source_tags", "、"), F.lit(""))
+    line = lambda label, c, end="": F.concat(F.lit(label), c, F.lit(end))
+    final = [
+        line("# ", filled("title", "Untitled")), F.lit(""),
+        line("来源：", value("source_name"), "  "), line("发布时间：", value("published"), "  "), line("分类：", value("source_category"), "  "), line("标签：", tags, "  "), line("原文链接：", value("link"), "  "),
+        line("数据质量分：", value("data_quality_score", "0"), "  "), line("数据质量说明：", value("data_quality_note"), "  "),
+        F.lit("\n## 正文\n"), filled("main_text", "无"), F.lit("\n## 图片 OCR 补充信息\n"), filled("image_ocr_text", "无"), F.lit("\n---\n"),
+    ]
+    title = F.regexp_replace(F.regexp_replace(value("title"), "\n", " "), r"^[\s\p{Z}\x{1c}-\x{1f}\x{85}]+|[\s\p{Z}\x{1c}-\x{1f}\x{85}]+$", "")
+    prepared = [
+        F.lit("---\n"), line("## ", F.when(title != "", title).otherwise("Untitled")), F.lit(""),
+        line("- 来源：", value("source_name")), line("- 发布时间：", value("published")), line("- 分类：", value("source_category")), line("- 标签：", tags), line("- 原文链接：", value("link")),
+        line("- 正文长度：", value("text_length", "0")), line("- 图片数量：", value("image_count", "0")),
+        F.lit("\n### 正文\n"), value("main_text"), F.lit("\n### 图片 OCR 补充信息\n"), filled("image_ocr_text", "无"), F.lit(f"\n> {IMAGE_NOTE}\n"),
+    ]
+    return frame.withColumns({"markdown": F.concat_ws("\n", *final), "prepared": F.concat_ws("\n", *prepared)})
+
+
 def approved_or_draft(draft: Column, approved: Column) -> Column:
     """The approved text where there is one, else the draft."""
     return F.coalesce(F.when(F.trim(approved) != "", approved), draft)

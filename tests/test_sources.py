@@ -74,3 +74,15 @@ def test_upsert_batches(spark, tmp_path):
     merge(frame(("a", 2)), 1)
     merge(frame(("a", 2)), 1)  # the same batch again
     assert sorted((r.k, r.t) for r in spark.read.parquet(f"{tmp_path}/l/v1").collect()) == [("a", 2), ("b", 1)]
+
+
+def test_article_markdown_is_whole(spark):
+    from presslake.sources.files import article_markdown
+
+    schema = "title string, source_name string, source_category string, source_tags array<string>, link string, published string, main_text string, image_ocr_text string, text_length int, image_count int, data_quality_score int, data_quality_note string"
+    text = "正文 line\n" * 500 + "end of text"
+    rows = spark.createDataFrame([(" A\nB ", "S", "c", ["x", "y"], "http://l", "2026", text, "read\nhere", 9, 2, 40, "n"), (None, None, None, None, None, None, None, "", None, None, None, None)], schema)
+    full, empty = article_markdown(rows).select("markdown", "prepared").collect()
+    assert full.markdown == f"#  A\nB \n\n来源：S  \n发布时间：2026  \n分类：c  \n标签：x、y  \n原文链接：http://l  \n数据质量分：40  \n数据质量说明：n  \n\n## 正文\n\n{text}\n\n## 图片 OCR 补充信息\n\nread\nhere\n\n---\n"
+    assert full.prepared.startswith("---\n\n## A B\n\n- 来源：S\n- 发布时间：2026\n") and f"- 原文链接：http://l\n- 正文长度：9\n- 图片数量：2\n\n### 正文\n\n{text}\n\n### 图片 OCR 补充信息\n\nread\nhere\n\n> 图片" in full.prepared
+    assert empty.markdown.startswith("# Untitled\n\n来源：  \n") and "数据质量分：0  \n" in empty.markdown and "## 正文\n\n无\n\n## 图片 OCR 补充信息\n\n无\n" in empty.markdown and "## Untitled\n" in empty.prepared
