@@ -104,6 +104,24 @@ def test_long_passages():
     assert not is_garbled(text) and not is_garbled("正體中文" * 5000)
 
 
+CLEAN_LINE = "省级医院认为口腔注射器的许可试验期间仍需召回，涉及二十家单位。"
+LINE = "据监管机构介绍，儿科镜片的审计增长百分之五，为缩短等待时间。"
+
+
+@pytest.mark.parametrize("bad", [misread(LINE, "utf-8", "cp1252"), LINE.encode("utf-8").decode("latin-1"), LINE.encode("utf-8").decode("mac_roman"), LINE.encode("gb18030").decode("latin-1"), "采购合作伙伴".encode("utf-8").decode("gb18030")])
+@pytest.mark.parametrize("before, after", [(CLEAN_LINE + "\n", "\n" + CLEAN_LINE), (CLEAN_LINE, CLEAN_LINE), (CLEAN_LINE * 40, CLEAN_LINE * 40), ("他说：“", "”，" + CLEAN_LINE)])
+def test_passage_beside_clean_chinese(bad, before, after):
+    text = before + bad + after
+    good = "采购合作伙伴" if "閲" in bad else LINE
+    assert is_garbled(text) and restore(text) == before + good + after
+
+
+def test_lost_bytes_and_drawn_lines_stay():
+    lost = "涉及" + "瀹跺崟浣嶃�傛嵁鑽�浼佷粙缁嶏紝"
+    assert is_garbled(lost) and restore(lost) == lost
+    assert not is_garbled(CLEAN_LINE + "\n├─ annex ─┤\n│ └── x") and restore("├─ annex ─┤") == "├─ annex ─┤" and restore("h├┤tel") == "hôtel"
+
+
 @pytest.mark.parametrize("text", [None, "", "plain?", GOOD, "l’étui d’évaluation", "AVALIAÇÃO FINAL: NÃO", "ÂGE · SÃO · ÑANDÚ", "½ ¼ ¾ °C ± μ", "Новости: ВПЕРЁД, Ђорђе", "正體中文與日本語カタカナ", "한국 의료기기 제조사가 새로운 제품을 발표했다", "日本の医療機器メーカーは新しい製品を発表した。", "https://x.example/a?b=c&d=%20", "Đầu tháng, nhà máy phê duyệt", "👩‍⚕️🧪", "R&D; AT&T"])
 def test_good_texts_are_no_cases(text):
     assert not is_garbled(text) and restore(text) == text
