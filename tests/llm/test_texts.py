@@ -116,6 +116,17 @@ def test_passage_beside_clean_chinese(bad, before, after):
     assert is_garbled(text) and restore(text) == before + good + after
 
 
+@pytest.mark.parametrize("text, want", [("caf&Atilde;&copy; bar", "café bar"), ("caf&amp;Atilde;&amp;copy;", "café"), ("caf&#195;&#xA9; R&amp;D", "café R&amp;D"), ("涉及" + "".join(f"&#{ord(c)};" for c in misread(LINE, "utf-8", "cp1252")), "涉及" + LINE), ("Ã&copy;t&Atilde;©", "été")])
+def test_escaped_passages(spark, text, want):
+    assert is_garbled(text) and restore(text) == want
+    assert garbled_documents(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).count() == 1
+
+
+@pytest.mark.parametrize("text", ["R&amp;D; AT&T", "caf&eacute;", "x&nbsp;&nbsp;y", "&laquo;&nbsp;CAF&Eacute;&nbsp;&raquo;", "&copy;&reg; 5&nbsp;&deg;C", "&lt;b&gt; &unknown; &#65;"])
+def test_entities_are_no_cases(text):
+    assert not is_garbled(text) and restore(text) == text
+
+
 def test_lost_bytes_and_drawn_lines_stay():
     lost = "涉及" + "瀹跺崟浣嶃�傛嵁鑽�浼佷粙缁嶏紝"
     assert is_garbled(lost) and restore(lost) == lost
