@@ -34,7 +34,7 @@ def p1_found(spark, folder):
 
     tables = {
         "scripts": (read(spark, folder, "scripts"), "published", "source_name"),
-        "parsers": (read(spark, folder, "parsers").where("source_name is not null"), "published_date", "source_id"),
+        "parsers": (read(spark, folder, "parsers").withColumn("source_id", F.when(F.col("source_name").isNotNull(), F.col("source_id"))), "published_date", "source_id"),
         "site_adapters": (read(spark, folder, "site_adapters"), "publish_date", "source_name"),
     }
     return normalise_timestamps(tables, read(spark, folder, "source_registry"))

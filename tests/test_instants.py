@@ -85,3 +85,17 @@ def test_operator(spark):
     got = normalise_timestamps({"scripts": (rows, "published", "source_name")}, registry).collect()
     assert sorted((r.rec_id, r.utc_micros // 1_000_000) for r in got) == [(1, 1777975200), (2, 1780588800), (2, 1780588800)]
     assert normalise_timestamps({"scripts": (rows.limit(0), "published", "source_name")}, registry).count() == 0
+
+
+def test_rows_without_source_name_keep_their_own_zone(spark, tmp_path):
+    from presslake.plans.queries import QUERIES
+
+    one = "rec_id bigint, {} string, source_name string, source_id string"
+    for name, column in (("scripts", "published"), ("site_adapters", "publish_date")):
+        spark.createDataFrame([], one.format(column)).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = [(1, "2026-05-05 10:00Z", None, "a"), (2, "2026-05-05T18:00:00+08:00", None, "a"), (3, "1777975200", None, "a"), (4, "2026-05-05 10:00", None, "a"), (5, "2026-05-05 18:00", "s", "a")]
+    spark.createDataFrame(rows, one.format("published_date")).write.parquet(f"{tmp_path}/parsers.parquet")
+    registry = [("s", "a", "Asia/Singapore", "dmy", "gregorian")]
+    spark.createDataFrame(registry, "source_name string, source_id string, time_zone string, date_order string, calendar string").write.parquet(f"{tmp_path}/source_registry.parquet")
+    got = QUERIES["p1_found"](spark, str(tmp_path)).collect()
+    assert sorted((r.rec_id, r.utc_micros) for r in got) == [(i, 1_777_975_200_000_000) for i in (1, 2, 3, 5)]
