@@ -42,6 +42,7 @@ MENU = set(
     | 帮助中心 | 友情链接 | 法律声明 | 版权声明 | 网站声明 | 朋友圈 | 好友 | 复制链接""".replace("\n", " ").split(" | ")
 )
 MENU = {" ".join(m.split()) for m in MENU}
+_MENU_STARTS = {m.split()[0] for m in MENU}
 # Headings of lists of other articles.
 OTHER_ARTICLES = re.compile(
     r"(?i)(?:related (?:articles|stories|posts|news|links|reading)|you (?:may|might) also (?:like|be interested in)|most (?:read|popular|viewed)(?: (?:this|of the) (?:week|month|day)| today)?"
@@ -94,6 +95,9 @@ _BULLET = re.compile(r"\s*[-–—•*]\s+\S")
 _ITEM = re.compile(r"(?:19|20)\d\d年?|\d{1,3}")
 
 OWN, FRAME, HEADING, TITLE, SHORT, BLANK = range(6)
+#: Characters of a line whose form tells by itself, and of a notice for each word to the reader and each of consent.
+LINE, NOTICE = 160, 140
+_PIECE = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])\s*|\s*[|｜]\s*")
 
 
 def _menu_share(line: str) -> float:
@@ -107,6 +111,9 @@ def _menu_share(line: str) -> float:
         return max(hits / total, 0.8 if short and len(parts) > 2 else 0.0)
     words, got, i = line.casefold().split(), 0, 0
     while i < len(words):  # items divided by blanks only: the longest item first
+        if words[i] not in _MENU_STARTS:
+            i += 1
+            continue
         for j in range(min(len(words), i + 4), i, -1):
             if " ".join(words[i:j]) in MENU:
                 got += j - i
@@ -117,6 +124,32 @@ def _menu_share(line: str) -> float:
     return got / len(words) if words else 0.0
 
 
+def _bare(text: str) -> str:
+    return text.strip("«»<>›‹  →…")
+
+
+def _is_notice(text: str) -> bool:
+    """Whether words to the reader and words of consent are as dense as in a short notice."""
+    n = -(-len(text) // NOTICE)
+    if n == 1:
+        return bool(_YOU.search(text) and _CONSENT.search(text))
+    return len(_YOU.findall(text)) >= n and len(_CONSENT.findall(text)) >= n
+
+
+def _has_form(text: str) -> bool:
+    """Whether a line, or three quarters of the pieces of a long one, have a form of the frame."""
+    if len(text) <= LINE:
+        return any(p.fullmatch(x) for x in dict.fromkeys((_bare(text), text)) for p in _FRAME)
+    pieces = sorted(filter(None, _PIECE.split(text)), key=len, reverse=True)
+    spare = sum(map(len, pieces)) / 4
+    for p in pieces:
+        if len(p) > LINE or not (_menu_share(p) >= 0.75 or _is_notice(p) or _has_form(p) or p[-1] in ".。" and _has_form(p[:-1])):
+            spare -= len(p)
+            if spare < 0:
+                return False
+    return True
+
+
 def _first_pass(line: str, title: str) -> int:
     text = line.strip()
     if not text:
@@ -125,14 +158,10 @@ def _first_pass(line: str, title: str) -> int:
         return OWN
     if _BULLET.match(line):
         return OWN
-    if len(text) <= 160:
-        bare = text.strip("«»<>›‹  →…")
-        if OTHER_ARTICLES.fullmatch(bare):
-            return HEADING
-        if _menu_share(text) >= 0.75 or any(p.fullmatch(bare) for p in _FRAME) or any(p.fullmatch(text) for p in _FRAME):
-            return FRAME
-        if len(text) <= 140 and _YOU.search(text) and _CONSENT.search(text):
-            return FRAME
+    if len(text) <= LINE and OTHER_ARTICLES.fullmatch(_bare(text)):
+        return HEADING
+    if _menu_share(text) >= 0.75 or _is_notice(text) or _has_form(text):
+        return FRAME
     body = _MARK.sub("", text, count=1)
     cjk = len(_CJK.findall(body))
     if cjk >= 4:

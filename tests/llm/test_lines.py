@@ -81,6 +81,15 @@ def test_page_frame():
     assert main_text("Home | Search | News\nA sentence that belongs to the article itself.") == "A sentence that belongs to the article itself."
 
 
+def test_long_lines_of_the_frame():
+    cookies = "We use cookies and similar technologies to give you the best experience on our site, to measure how you use it and to show you content in your language. You can accept all cookies or change your consent at any time; our privacy policy tells you what personal data we keep."
+    menu = " | ".join(["Home", "About us", "Products", "Services", "Support", "Contact", "Careers", "Newsroom", "Events", "Downloads", "Site map", "Privacy policy", "Terms of use", "Accessibility", "Investor relations", "Regulations"])
+    footer = "© 2025 Acme Medical Group. Copyright 2025 Acme Medical Group and its partners in the region. All rights reserved. Powered by Example Systems and Partners. Last updated by the web team on 3 May 2025."
+    own = "The agency of the region said that the privacy of patients was kept in all of the trials, and that the makers of the coated stent had sent the data of 481 patients to the three hospitals in Port Grigath after the recall of the device, which was announced by the board on Thursday."
+    assert min(map(len, (cookies, menu, footer, own))) > 160
+    assert frame_lines("\n".join([menu, own, cookies, own, footer])) == [1, 3, 5]
+
+
 def test_page_frame_operator(spark):
     rows = spark.createDataFrame([(1, None, "Print this page\nx"), (2, "t", None), (3, "t", ""), (None, "t", "Print this page"), (1, None, "Print this page\nx"), (4, None, "word " * 200_000)], "rec_id bigint, title string, body string").withColumn("text", F.lit(1))
     got = page_frame({"site_adapters": (rows, "body")}).collect()
