@@ -429,10 +429,18 @@ def source_intersection(spark, folder):
 
 @query("select article_id from scripts where batch_no = 0 and article_id is not null union select article_id from scripts where batch_no = 1 and article_id is not null")
 def seen_union(spark, folder):
+    """Keys of the history and of the first batch, as its SQL has them; see ``seen_union_all``."""
     rows = read(spark, folder, "scripts").where("article_id is not null")
     return rows.where("batch_no = 0").select("article_id").union(rows.where("batch_no = 1").select("article_id")).distinct()
 
 
+@query("select article_id from scripts where batch_no = 0 and article_id is not null union select article_id from scripts where batch_no > 0 and article_id is not null")
+def seen_union_all(spark, folder):
+    """Keys of the history and of all batches after it."""
+    rows = read(spark, folder, "scripts").where("article_id is not null")
+    return rows.where("batch_no = 0").select("article_id").union(rows.where("batch_no > 0").select("article_id")).distinct()
+
+
 @query("select rec_id, array_to_string(list_distinct(list_filter(list_transform(coalesce(source_tags, []), lambda x: trim(x)), lambda x: x <> '')), ',') is not null as ok, len(list_distinct(list_filter(list_transform(coalesce(source_tags, []), lambda x: trim(x)), lambda x: x <> '')))::int n from scripts")
 def list_dedup(spark, folder):
     tags = text.distinct_trimmed(F.col("source_tags"))

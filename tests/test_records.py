@@ -80,3 +80,12 @@ def test_components_and_winners(spark):
     )
     out = {r.k: (r.duplicate_of, r.duplicate_reason) for r in records.resolve_duplicates(rows, "k", [F.length(F.coalesce("body", F.lit("")))]).collect()}
     assert out == {1: (3, "exact_content"), 2: (3, "similar_or_linked"), 3: (None, None), 4: (None, None), 5: (4, "similar_or_linked"), 6: (None, None)}
+
+
+def test_seen_union_reads_all_batches(spark, tmp_path):
+    from presslake.plans import relational  # noqa: F401
+    from presslake.plans.queries import QUERIES
+
+    rows = [(0, "a"), (1, "b"), (2, "c"), (8, "d"), (8, "a"), (3, None)]
+    spark.createDataFrame(rows, "batch_no int, article_id string").write.parquet(f"{tmp_path}/scripts.parquet")
+    assert sorted(r.article_id for r in QUERIES["seen_union_all"](spark, str(tmp_path)).collect()) == ["a", "b", "c", "d"]
