@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from presslake.functions.text import squeeze
+
 # Month words, English and Indonesian, in month order.
 MONTH_WORDS = [
     ["january", "jan", "januari"], ["february", "feb", "februari"], ["march", "mar", "maret"], ["april", "apr"], ["may", "mei"], ["june", "jun", "juni"],
@@ -46,18 +48,32 @@ def report_date(c: Column) -> Column:
     return F.coalesce(iso, _found(c, r"(?i)^(\d{1,2}) ([a-z]+) (\d{4})$", 3, 2, 1, word=True))
 
 
+#: Shapes of three neighbouring words that name a date, in order of preference: y a year from 2000 to
+#: 2099, n one or two digits, w letters; the mark stands between them.
+_SHAPES = {"y=n=n": (0, 1, 2), "n=n=y": (2, 1, 0), "n w y": (2, 1, 0), "w n y": (2, 0, 1)}
+
+
 def any_date(c: Column) -> Column:
     """The first of: year-first digits, day-first digits, day-first words, month-first
-    words, wherever they stand; years from 2000 to 2099."""
-    c = squeezed = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), ",", " "), r"\s+", " "))
-    iso = r"\b(20\d{2})[-/.](\d{1,2})[-/.](\d{1,2})\b"
-    day = r"\b(\d{1,2})[-/.](\d{1,2})[-/.](20\d{2})\b"
-    day_word, month_word = r"(?i)\b(\d{1,2}) ([a-z]+) (20\d{2})\b", r"(?i)\b([a-z]+) (\d{1,2}) (20\d{2})\b"
-    return (
-        F.when(squeezed.rlike(iso), _found(c, iso, 1, 2, 3))
-        .when(squeezed.rlike(day), _found(c, day, 3, 2, 1))
-        .otherwise(F.coalesce(_found(c, day_word, 3, 2, 1, word=True), _found(c, month_word, 3, 1, 2, word=True)))
-    )
+    words, wherever they stand; years from 2000 to 2099.  Numbers are a date only if
+    nothing but a hyphen, slash or dot is between them.
+
+    The text is cut into words and what is between them; each three neighbours have a
+    shape, and the first of the best shape is read."""
+    parts = F.regexp_extract_all(squeeze(F.translate(F.coalesce(c, F.lit("")), ",", " ")), F.lit(r"\w+|\W+"), F.lit(0))
+    kind = lambda x: F.when(x.rlike(r"^20\d\d$"), "y").when(x.rlike(r"^\d\d?$"), "n").when(x.rlike(r"(?i)^[a-z]+$"), "w").when(x.rlike("^[-/.]$"), "=").when(x == " ", " ").otherwise("?")
+    typed = F.transform(parts, lambda x: F.struct(x.alias("x"), kind(x).alias("k")))
+    column = lambda i: F.slice(typed, F.lit(i + 1), F.greatest(F.size(parts) - 4, F.lit(0)))
+    windows = F.arrays_zip(*[column(i).alias(f"p{i}") for i in range(5)])
+    shaped = F.transform(windows, lambda w: F.struct(F.concat(*[w[f"p{i}"]["k"] for i in range(5)]).alias("shape"), *[w[f"p{i}"]["x"].alias(f"v{i // 2}") for i in (0, 2, 4)]))
+    first = lambda shape: F.try_element_at(F.filter(shaped, lambda w: w["shape"] == shape), F.lit(1))
+    found = []
+    for shape, (y, m, d) in _SHAPES.items():
+        hit = first(shape)
+        month = _month_number(hit[f"v{m}"]) if "w" in shape else hit[f"v{m}"]
+        found.append((hit.isNotNull(), _date(hit[f"v{y}"], month, hit[f"v{d}"])))
+    (iso, iso_day), (day, day_first), *words = found
+    return F.when(iso, iso_day).when(day, day_first).otherwise(F.coalesce(*[w for _, w in words]))
 
 
 def mail_date(c: Column) -> Column:

@@ -39,34 +39,43 @@ def fingerprint(c: Column, least: int = 80) -> Column:
     return F.when(F.length(bare) < least, "").otherwise(F.sha2(bare, 256))
 
 
+# Characters that count as a blank, and invisible ones that are dropped.
+_BLANKS, _UNSEEN = "\t\u00a0", "\u200b\u200c\u200d\ufeff"
+
+
 def tidy_lines(c: Column) -> Column:
     """Line ends as line feeds, odd blanks and invisible characters gone, at most one blank line."""
-    c = F.coalesce(c, F.lit(""))
-    for pattern, to in ((r"\r\n?", "\n"), (r"\x{a0}", " "), (r"[\x{200b}\x{200c}\x{200d}\x{feff}]", ""), (r"[ \t]+", " "), (r"\n[ \t]+", "\n"), (r"\n{3,}", "\n\n")):
-        c = F.regexp_replace(c, pattern, to)
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    flat = F.translate(F.coalesce(c, F.lit("")), _BLANKS + _UNSEEN, " " * len(_BLANKS))
+    lines = F.transform(F.split(flat, "\r\n|[\r\n]", -1), lambda x: F.ltrim(F.regexp_replace(x, " +(?= )", "")))
+    paragraphs = F.regexp_replace(F.array_join(lines, "\n"), "(?<=\n\n)\n+", "")
+    return F.regexp_replace(paragraphs, r"\A\s+|\s+\z", "")
 
 
 def without_markup(c: Column) -> Column:
-    """Scripts, styles and tags replaced by blanks."""
-    c = F.coalesce(c, F.lit(""))
-    for pattern in (r"(?is)<script\b[^>]*>.*?</script>", r"(?is)<style\b[^>]*>.*?</style>", r"<[^>]+>"):
-        c = F.regexp_replace(c, pattern, " ")
-    return c
+    """Tags, and scripts and styles with what stands in them, as a blank each."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<(script|style)\b[^>]*>.*?</\1>|<[^>]+>", " ")
 
 
 def without_image_notes(c: Column, ocr_mark: str = "[图片OCR文字]", info_mark: str = "[图片信息]") -> Column:
-    """Blocks of image notes and lines that are only an address removed."""
-    quote = lambda s: "\\Q" + s + "\\E"
-    c = F.regexp_replace(without_markup(c), rf"(?s)\s*{quote(ocr_mark)}.*$", "")
-    c = F.regexp_replace(c, rf"(?s)\s*{quote(info_mark)}.*?(?=\n\n\S|$)", "\n\n")
-    lines = F.filter(F.split(c, "\n"), lambda x: ~F.trim(x).rlike(r"^https?://\S+$"))
+    """What follows the first mark of read images dropped; of blocks of image notes what
+    stands up to the next paragraph; lines that are only an address, too."""
+    before = F.substring_index(without_markup(c), ocr_mark, 1)
+    pieces = F.split(before, "\\Q" + info_mark + "\\E", -1)  # after each mark a block of notes begins
+    rest = lambda x: F.when(F.instr(x, "\n\n") > 0, F.regexp_extract(x, r"(?s)\n\n(\S.*)", 1)).otherwise("")
+    kept = F.transform(pieces, lambda x, i: F.rtrim(F.when(i == 0, x).otherwise(rest(x))))
+    lines = F.filter(F.split(F.array_join(F.filter(kept, lambda x: x != ""), "\n\n"), "\n"), lambda x: ~F.trim(x).rlike(r"^https?://\S+$"))
     return tidy_lines(F.array_join(lines, "\n"))
 
 
-def joined_letters(c: Column) -> Column:
-    """A single capital set apart from the abbreviation it belongs to is joined."""
-    return F.regexp_replace(c, r"\b([A-Z])\s+([A-Z]{2,})\b", "$1$2")
+# Counters and currencies after which two digits set apart are one number.
+NUMBER_UNITS = ["款", "个", "项", "笔", "亿美元", "亿元", "美元", "元"]
+
+
+def joined_letters(c: Column, units: list[str] = NUMBER_UNITS) -> Column:
+    """Characters set apart are joined: a single capital with the abbreviation it belongs
+    to, and two single digits before a unit."""
+    letters = F.regexp_replace(c, r"(?<!\w)(?<a>[A-Z])\s+(?=[A-Z]{2,}(?!\w))", "${a}")
+    return F.regexp_replace(letters, r"(?<!\w)(?<tens>\d)\s+(?<ones>\d)\s+(?=(?:" + "|".join(units) + "))", "${tens}${ones} ")
 
 
 def tight_punctuation(c: Column) -> Column:
@@ -192,12 +201,16 @@ def has_han(c: Column) -> Column:
     return c.rlike(r"[\x{3400}-\x{9fff}\x{f900}-\x{faff}]")
 
 
-def company_names(text: Column, organization: Column, excluded: list[str], suffixes: str, labels: str) -> Column:
-    """Distinct company names: after a label, or a run of capitalised words with a
-    legal suffix; those of ``excluded`` and the organization itself left out."""
-    tidy = lambda x: F.substring(F.regexp_replace(F.regexp_replace(x, WS, " "), r"^[ ,.;:\-]+|[ ,.;:\-]+$", ""), 1, 120)
-    labelled = F.regexp_extract_all(text, F.lit(rf"(?i)(?:{labels})\s*:\s*([^.;\n]{{2,100}})"), F.lit(1))
-    named = F.regexp_extract_all(text, F.lit(rf"(?:^|[^A-Za-z0-9_])((?:[A-Z][A-Za-z0-9&'()\-]*\s+){{1,6}}(?:{suffixes}))(?:[^A-Za-z0-9_]|$)"), F.lit(1))
-    names = F.array_distinct(F.filter(F.transform(F.concat(labelled, named), tidy), lambda x: x != ""))
+def company_names(text: Column, organization: Column, excluded: list[str], suffixes: list[str], labels: list[str], longest: int = 7) -> Column:
+    """Distinct company names: what follows a label up to the end of its clause, and in
+    each run of capitalised words those up to the last legal suffix, at most
+    ``longest`` words.  Those of ``excluded`` and the organization itself are left out."""
+    legal = F.array(*map(F.lit, suffixes))
+    clauses = F.filter(F.split(text, "[.;\n]"), lambda x: F.exists(F.array(*map(F.lit, labels)), lambda l: F.contains(F.lower(x), F.concat(F.lower(l), F.lit(":")))))
+    labelled = F.transform(clauses, lambda x: F.trim(F.substring_index(x, ":", -1)))
+    runs = F.transform(F.regexp_extract_all(text, F.lit(r"(?U)(?<!\w)\p{Lu}[^\s.,;:!?]*(?: +\p{Lu}[^\s.,;:!?]*)*"), F.lit(0)), lambda x: F.split(x, " +"))
+    ends = F.transform(runs, lambda w: F.struct(w.alias("w"), F.array_max(F.transform(w, lambda x, i: F.when(F.array_contains(legal, x), i + 1))).alias("end")))
+    named = F.transform(F.filter(ends, lambda r: r["end"] > 1), lambda r: F.array_join(F.slice(r["w"], F.greatest(F.lit(1), r["end"] - (longest - 1)), F.least(F.lit(longest), r["end"])), " "))
+    names = F.array_distinct(F.filter(F.concat(labelled, named), lambda x: F.length(x) > 1))
     banned = F.array(*[F.lit(e.lower()) for e in excluded], F.lower(F.coalesce(organization, F.lit(""))))
     return F.filter(names, lambda x: ~F.array_contains(banned, F.lower(x)))

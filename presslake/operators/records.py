@@ -115,16 +115,6 @@ def reference_check(frame: DataFrame, refs: str, known: DataFrame, key: str) ->
     return uses.join(there, "ref", "left").select("ref", "uses", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-def best_per_key(frame: DataFrame, key: Column, better: list[Column], labels: str, ids: str) -> DataFrame:
-    """The best row per key (``better`` from most to least important, larger wins) with
-    the sorted union of labels and ids of all rows of the key."""
-    names = frame.columns
-    best = F.max(F.struct(*[c.alias(f"_b{i}") for i, c in enumerate(better)], F.struct(*names).alias("_row"))).alias("_m")
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))
-    grouped = frame.withColumn("_key", key).groupBy("_key").agg(best, union(labels).alias("_labels"), union(ids).alias("_ids"), F.count(F.lit(1)).alias("merged_rows"))
-    return grouped.select(F.col("_key").alias("ledger_key"), "_m._row.*", F.col("_labels"), F.col("_ids"), "merged_rows").drop(labels, ids).withColumnsRenamed({"_labels": labels, "_ids": ids})
-
-
 def _ratio(later: pd.Series, earlier: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(later, earlier)], dtype="float64")
 
@@ -210,16 +200,35 @@ def resolve_duplicates(frame: DataFrame, key: str, better: list[Column], url: st
     return frame.join(marked, key, "left")
 
 
-def event_ledger(frame: DataFrame, key: Column, score: Column, published: str, ident: str, relevance: str, labels: str, ids: str) -> DataFrame:
-    """Events without relevance "none", one per key: the highest score, then the
-    earlier published text, then the smaller id, with the provenance of all."""
+def event_ledger(frame: DataFrame, key: Column, score: Column, published: str, ident: str, relevance: str, labels: str, merged: str = "merged_rows") -> DataFrame:
+    """Events without relevance "none", one per key: the highest score, then the earlier
+    published text, then the smaller id, with the sorted union of ``labels`` (of few
+    values, as sources are) and how many rows were merged.  A row that is a ledger's
+    itself counts for the rows merged in it; the rows are in :func:`ledger_members`."""
     kept = frame.where(F.coalesce(F.col(relevance), F.lit("industry_only")) != "none")
-    names = kept.columns
+    names = [c for c in kept.columns if c not in (labels, merged)]
     order = [-F.coalesce(score, F.lit(0)), F.coalesce(F.col(published), F.lit("")), F.coalesce(F.col(ident), F.lit(""))]
     first = F.min(F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*names).alias("_row"))).alias("_m")
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))
-    grouped = kept.withColumn("_key", key).groupBy("_key").agg(first, union(labels).alias("_l"), union(ids).alias("_i"))
-    return grouped.select("_key", "_m._row.*", "_l", "_i").drop(labels, ids).withColumnsRenamed({"_key": "ledger_key", "_l": labels, "_i": ids})
+    n = F.sum(merged) if merged in frame.columns else F.count(F.lit(1))
+    union = F.array_sort(F.array_distinct(F.flatten(F.collect_set(labels)))).alias("_l")
+    grouped = kept.withColumn("_key", key).groupBy("_key").agg(first, union, n.alias("_n"))
+    return grouped.select(F.col("_key").alias("ledger_key"), "_m._row.*", F.col("_l").alias(labels), F.col("_n").alias(merged))
+
+
+def ledger_members(frame: DataFrame, key: Column, relevance: str, ident: str) -> DataFrame:
+    """(ledger_key, member): the rows behind the events of :func:`event_ledger`."""
+    kept = frame.where(F.coalesce(F.col(relevance), F.lit("industry_only")) != "none")
+    return kept.select(key.alias("ledger_key"), F.col(ident).alias("member")).distinct()
+
+
+def merge_issue(master: DataFrame, issue: DataFrame, key: str, score: str, published: str, ident: str, relevance: str, labels: str) -> tuple[DataFrame, DataFrame]:
+    """An incremental issue: (the master ledger with the issue's events merged in, the
+    events of it that the issue names).  Both frames are ledgers; running an issue again
+    with the same events leaves best rows and labels as they are."""
+    both = master.unionByName(issue, allowMissingColumns=True)
+    merged = event_ledger(both.withColumnRenamed(key, "_lk"), F.col("_lk"), F.col(score), published, ident, relevance, labels).withColumnRenamed("ledger_key", key)
+    merged = merged.drop("_lk").select(*[c for c in master.columns])
+    return merged, merged.join(issue.select(key).distinct(), merged[key].eqNullSafe(issue[key]), "left_semi")
 
 
 def ledger_counts(source: DataFrame, ledger: DataFrame, relevance: str, priority: list[str]) -> DataFrame:

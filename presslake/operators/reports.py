@@ -44,18 +44,25 @@ def zero_kept(counts: DataFrame, keys: DataFrame, column: str, name: str = "n")
     return keys.join(counts, column, "left").select(column, F.coalesce(name, F.lit(0)).cast("bigint").alias(name))
 
 
-def company_rollup(frame: DataFrame, companies: str, country: str, kind: str, title: str, order: str, score: str, date: str) -> DataFrame:
-    """Per company (case aside) and country: its kinds, mentions, distinct titles in
-    order of first appearance, highest score and last date."""
-    rows = frame.select(F.explode(companies).alias("company"), country, kind, title, order, score, date)
+def company_rollup(frame: DataFrame, companies: str, country: str, kind: str, title: str, score: str, date: str) -> DataFrame:
+    """Per company (case aside) and country: its kinds, mentions, number of distinct
+    titles, highest score and last date.  Titles themselves are in :func:`company_titles`,
+    as a common company has more than a row should hold.  Counts are per title first,
+    so that a common company is summed before the shuffle."""
+    rows = frame.select(F.explode(companies).alias("company"), country, kind, title, score, date)
     first = rows.groupBy(F.lower("company").alias("company_key"), country, title).agg(
-        F.min(order).alias("o"), F.collect_set(kind).alias("kinds"), F.count(F.lit(1)).alias("m"), F.max(score).alias("s"), F.max(date).alias("d")
-    )
+        F.collect_set(kind).alias("kinds"), F.count(F.lit(1)).alias("m"), F.max(score).alias("s"), F.max(date).alias("d")
+    )  # kinds are a handful
     return first.groupBy("company_key", country).agg(
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("kinds")))), ", ").alias("kinds"), F.sum("m").alias("mentions"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", title))), lambda x: x[title]), "; ").alias("titles"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds")))), ", ").alias("kinds"), F.sum("m").alias("mentions"), F.count(title).alias("titles"),
         F.max("s").alias("max_score"), F.max("d").alias("latest"),
-    )
+    )
+
+
+def company_titles(frame: DataFrame, companies: str, country: str, title: str, order: str) -> DataFrame:
+    """(company_key, country, title, first_order, mentions): the titles that name a company."""
+    rows = frame.select(F.explode(companies).alias("company"), country, title, order)
+    return rows.groupBy(F.lower("company").alias("company_key"), country, title).agg(F.min(order).alias("first_order"), F.count(F.lit(1)).alias("mentions"))
 
 
 def week_counts(frame: DataFrame, date: str, start: str, weeks: int) -> DataFrame:

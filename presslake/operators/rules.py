@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +26,24 @@ class Keyword:
 
 
 @dataclass(frozen=True)
-class Points:
-    """Points of a rule: given when one of ``terms`` is in the text."""
+class Rule:
+    """Terms that count together: each distinct term found adds ``weight``, which may be
+    negative, up to ``most`` terms."""
 
     name: str
-    points: int
-    terms: list[str] = field(default_factory=list)
+    terms: tuple[str, ...] = ()
+    weight: int = 1
+    most: int = 1
+
+
+@dataclass(frozen=True)
+class Sheet:
+    """A named score: a sum of rules, kept within bounds."""
+
+    name: str
+    rules: tuple[Rule, ...]
+    low: int = 0
+    high: int = 100
 
 
 def text_of(*columns: str) -> Column:
@@ -54,24 +67,39 @@ def match_keywords(frame: DataFrame, taxonomy: list[Keyword], title: str = "titl
     )
 
 
-def tiered_score(matched: Column, high: list[str], medium: list[str], low: list[str], cap: int = 10) -> Column:
-    """Points by how many keywords of three tiers matched: a tier's first keyword
-    counts most (6, 4, 1), further ones up to a limit (2 each to 4, 1, 1); capped."""
-    n = lambda terms: F.size(F.array_intersect(matched, F.array(*[F.lit(t) for t in terms]).cast("array<string>")))
-    h, m, l = n(high), n(medium), n(low)  # noqa: E741
-    score = F.when(h > 0, 6 + 2 * F.least(F.lit(2), h - 1)).otherwise(0) + F.when(m > 0, 4 + F.least(F.lit(1), m - 1)).otherwise(0) + F.least(F.lit(2), l)
-    return F.least(F.lit(cap), score)
-
-
-def points_score(text: Column, words: Column, bonuses: list[Points], penalties: list[Points], low: int = 0, high: int = 20) -> tuple[Column, Column]:
-    """Clamped sum of bonuses less penalties, and the names of the rules that applied,
-    for a lower-case text and its words."""
-    applied = [(p, holds_any_of(text, words, p.terms), s) for ps, s in ((bonuses, 1), (penalties, -1)) for p in ps]
-    score = F.lit(0)
-    for p, hit, sign in applied:
-        score = score + F.when(hit, sign * p.points).otherwise(0)
-    reasons = F.array_compact(F.array(*[F.when(hit, F.lit(p.name)) for p, hit, _ in applied]))
-    return F.greatest(F.lit(low), F.least(F.lit(high), score)), reasons
+def terms_found(text: Column, words: Column, terms: tuple[str, ...]) -> Column:
+    """How many distinct ``terms`` a lower-case text with its ``words`` holds."""
+    plain = list(dict.fromkeys(t for t in (" ".join(t.split()).lower() for t in terms) if t))
+    single = [t for t in plain if t.isascii() and t.isalnum()]
+    n = F.size(F.array_intersect(words, F.array(*map(F.lit, single)))) if single else F.lit(0)
+    return reduce(lambda a, t: a + F.contains(text, F.lit(t)).cast("int"), [t for t in plain if t not in single], n)
+
+
+def with_sheets(frame: DataFrame, sheets: list[Sheet], valid: Column | None = None, columns: tuple[str, ...] = ("title", "body")) -> DataFrame:
+    """Adds, per sheet, its score as int, and name_reasons, the rules that counted, in
+    their order.  Where ``valid`` is not true scores are the low bound, without
+    reasons.  The text is read once for all rules; null columns are empty."""
+    names = frame.columns
+    frame = frame.withColumn("_text", text_of(*columns)).withColumn("_words", words_of(F.col("_text")))
+    counts = {(s.name, r.name): F.least(F.lit(r.most), terms_found(F.col("_text"), F.col("_words"), r.terms)) for s in sheets for r in s.rules}
+    frame = frame.withColumn("_n", F.struct(*[c.alias(f"n{i}") for i, c in enumerate(counts.values())], F.lit(0).alias("none")))
+    at = {k: F.col(f"_n.n{i}") for i, k in enumerate(counts)}
+    taken = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
+    out = []
+    for s in sheets:
+        total = reduce(lambda a, r: a + at[s.name, r.name] * r.weight, s.rules, F.lit(0))  # noqa: B023
+        reasons = F.array_compact(F.array(*[F.when(at[s.name, r.name] > 0, F.lit(r.name)) for r in s.rules]).cast("array<string>"))
+        out.append(F.when(taken, F.greatest(F.lit(s.low), F.least(F.lit(s.high), total))).otherwise(s.low).cast("int").alias(s.name))
+        out.append(F.when(taken, reasons).otherwise(F.array().cast("array<string>")).alias(f"{s.name}_reasons"))
+    return frame.select(*names, *out)
+
+
+def labelled_by(frame: DataFrame, labels: list[tuple[str, Column]], other: str, out: str) -> DataFrame:
+    """``frame`` with the name of the first condition that is true, else ``other``."""
+    choice = F.lit(other)
+    for name, condition in reversed(labels):
+        choice = F.when(condition, name).otherwise(choice)
+    return frame.withColumn(out, choice)
 
 
 def term_score(text: Column, weights: dict[str, int]) -> Column:
@@ -109,33 +137,26 @@ def tolerant_number(c: Column) -> Column:
     return F.regexp_replace(F.trim(c), ",", "").try_cast("double")
 
 
-def gate(matched: Column, negative: Column, valid: Column, bonus_score: Column, least_bonus: int) -> Column:
-    """Whether a record is taken: valid, and matched without negative sign or with enough bonus."""
-    return valid & ((F.size(matched) > 0) & ~negative | (bonus_score >= least_bonus))
+#: Phrases up to which a taxonomy is written into the expression; larger ones are joined, with the same result.
+LITERALS = 200
 
 
-def article_scores(frame: DataFrame, taxonomy: list[Keyword], high: list[str], medium: list[str], low: list[str], bonuses: list[Points], penalties: list[Points], least_body: int = 80) -> DataFrame:
-    """Matches, tiered score, points with reasons, inclusion and priority of articles
-    with title, body and scrape_status.  Scores of invalid records (failed, or a body
-    below ``least_body`` characters) are 0."""
-    frame = match_keywords(frame, taxonomy)
-    valid = F.coalesce(F.startswith("scrape_status", F.lit("success")), F.lit(False)) & (F.length(squeeze(F.col("body"))) >= least_body)
-    frame = frame.withColumn("_text", text_of("title", "body")).withColumn("_words", words_of(F.col("_text")))
-    points, reasons = points_score(F.col("_text"), F.col("_words"), bonuses, penalties)
-    negative = holds_any_of(F.col("_text"), F.col("_words"), [t for p in penalties for t in p.terms])
-    frame = frame.withColumns({"valid": valid, "tier_score": tiered_score(F.col("matched_keywords"), high, medium, low), "points": F.when(valid, points).otherwise(0), "reasons": reasons, "negative": negative}).drop("_text", "_words")
-    frame = frame.withColumn("include", gate(F.col("matched_keywords"), F.col("negative"), F.col("valid"), F.col("tier_score"), 5))
-    top = (F.col("points") >= 16) | (F.col("tier_score") >= 7)
-    return frame.withColumn("priority", F.when(F.col("include") & top, "high").when(F.col("include"), "matched").otherwise("excluded"))
-
-
-def phrase_join(frame: DataFrame, phrases: DataFrame, text: Column, phrase: str = "phrase", most: int = 10_000) -> DataFrame:
+def phrase_join(frame: DataFrame, phrases: DataFrame, text: Column, phrase: str = "phrase", literals: int = LITERALS) -> DataFrame:
     """Rows with every phrase of a table that their text holds, at word boundaries for
-    single words.  The table is a taxonomy: it becomes an array literal, and one of
-    more than ``most`` phrases is refused rather than cut."""
-    found = phrases.select(phrase).where(F.trim(phrase) != "").distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} phrases; split the taxonomy")
+    single ASCII words, anywhere for others; blank phrases are in no text.
+
+    A small taxonomy becomes an array literal.  Any other is joined on keys: a word,
+    or the first two characters of a phrase, which the text is then searched for; the
+    table may have any size and Spark broadcasts it only if it measures small."""
+    table = phrases.select(F.col(phrase).alias("_phrase"), F.lower(squeeze(F.col(phrase))).alias("_p")).where("_p <> ''").distinct()
+    few = table.limit(literals + 1).collect()
     frame = frame.withColumn("_text", text).withColumn("_words", words_of(F.col("_text")))
-    hits = F.array_compact(F.array(*[F.when(holds_any_of(F.col("_text"), F.col("_words"), [r[0]]), F.lit(r[0])) for r in found]).cast("array<string>"))
-    return frame.withColumn(phrase, F.explode(hits)).drop("_text", "_words")
+    if len(few) <= literals:
+        hits = F.array_compact(F.array(*[F.when(holds_any_of(F.col("_text"), F.col("_words"), [r["_p"]]), F.lit(r["_phrase"])) for r in few]).cast("array<string>"))
+        return frame.withColumn(phrase, F.explode(hits)).drop("_text", "_words")
+    single = F.col("_p").rlike("^[a-z0-9]+$")
+    table = table.withColumn("_single", single).withColumn("_key", F.when(single, F.col("_p")).otherwise(F.concat(F.lit("\0"), F.substring("_p", 1, 2))))
+    starts = [F.transform(F.regexp_extract_all("_text", F.lit(p), F.lit(1)), lambda x: F.concat(F.lit("\0"), x)) for p in ("(?s)(?=(..))", "(?s)(.)")]
+    keyed = frame.withColumn("_key", F.explode(F.array_distinct(F.concat("_words", *starts))))
+    found = keyed.join(table, "_key").where(F.col("_single") | F.contains("_text", F.col("_p")))
+    return found.withColumn(phrase, F.col("_phrase")).drop("_text", "_words", "_key", "_p", "_single", "_phrase")

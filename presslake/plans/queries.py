@@ -46,9 +46,10 @@ TAXONOMY = [
     rules.Keyword("high-barrier", "packaging", ("heat-sealed", "tamper-evident"), 4), rules.Keyword("tender", "procurement", ("tenders", "contracts"), 2), rules.Keyword("licence", "regulatory", ("licences", "registration"), 3),
     rules.Keyword("召回", "safety", ("撤回",), 5, "zh"), rules.Keyword("招标", "procurement", ("采购",), 2, "zh"), rules.Keyword("filem", "packaging", ("bekas",), 2, "ms"),
 ]
-HIGH, MEDIUM, LOW = ["blister", "high-barrier"], ["filem"], ["licence"]
-BONUSES = [rules.Points("device", 6, ["catheter", "stent", "trocar"]), rules.Points("safety", 5, ["recall", "recalls", "recalled", "召回"]), rules.Points("market", 4, ["tender", "tenders", "招标"])]
-PENALTIES = [rules.Points("training", 8, ["training", "seminar"]), rules.Points("delay", 3, ["delayed", "推迟"])]
+SHEETS = [
+    rules.Sheet("device", (rules.Rule("product", ("catheter", "stent", "trocar", "syringe"), 7, 2), rules.Rule("market", ("tender", "tenders", "招标"), 3), rules.Rule("delay", ("delayed", "推迟"), -5)), 0, 18),
+    rules.Sheet("packaging", (rules.Rule("form", ("blister", "sachet", "pouch"), 5, 3), rules.Rule("film", ("high-barrier", "filem"), 2, 2), rules.Rule("training", ("training", "seminar"), -9)), -4, 12),
+]
 
 
 def _sql_phrase(column: str, phrase: str) -> str:
@@ -66,30 +67,30 @@ _WS = r"[\s\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{300
 _SQUEEZE = lambda c: f"trim(regexp_replace(coalesce({c}, ''), '{_WS}', ' ', 'g'))"
 _TEXT = f"lower({_SQUEEZE("concat_ws(' ', title, body)")})"
 _KEYWORDS = "list_filter([" + ", ".join(f"case when {_sql_any('t', k.phrases())} then '{k.keyword}' end" for k in TAXONOMY) + "], lambda x: x is not null)"
-_CATEGORY = "{" + ", ".join(f"'{k.keyword}': '{k.category}'" for k in TAXONOMY) + "}"
+_CATEGORY = "map {" + ", ".join(f"'{k.keyword}': '{k.category}'" for k in TAXONOMY) + "}"
+_WEIGHT = "map {" + ", ".join(f"'{k.keyword}': {k.weight}" for k in TAXONOMY) + "}"
 _MATCHED = f"with a as (select *, {_TEXT} t, lower({_SQUEEZE('title')}) h from parsers), m as (select *, {_KEYWORDS} k from a)"
-_N = lambda names: "len(list_filter(k, lambda x: x in (" + ", ".join(f"'{n}'" for n in names) + ")))"
-_TIER = (
-    f"least(10, case when {_N(HIGH)} > 0 then 6 + 2 * least(2, {_N(HIGH)} - 1) else 0 end + case when {_N(MEDIUM)} > 0 then 4 + least(1, {_N(MEDIUM)} - 1) else 0 end + least(2, {_N(LOW)}))"
-)
-_POINTS = "greatest(0, least(20, " + " + ".join(f"case when {_sql_any('t', p.terms)} then {s * p.points} else 0 end" for ps, s in ((BONUSES, 1), (PENALTIES, -1)) for p in ps) + "))"
-_NEGATIVE = _sql_any("t", [t for p in PENALTIES for t in p.terms])
-_SCORED = _MATCHED + (
-    f", s as (select *, coalesce(starts_with(scrape_status, 'success'), false) and length({_SQUEEZE('body')}) >= 80 as valid, {_TIER} tier, {_POINTS} pts, {_NEGATIVE} neg from m)"
-    ", g as (select *, valid and ((len(k) > 0 and not neg) or tier >= 5) as inc, case when valid then pts else 0 end as p from s)"
-    ", r as (select *, case when inc and (p >= 16 or tier >= 7) then 'high' when inc then 'matched' else 'excluded' end as prio from g)"
+_HITS = lambda r: f"least({r.most}, " + " + ".join(f"{_sql_phrase('t', t)}::int" for t in r.terms) + ")"
+_VALID = f"(coalesce(starts_with(scrape_status, 'success'), false) and length({_SQUEEZE('body')}) >= 60)"
+_SHEET = lambda s: f"case when {_VALID} then greatest({s.low}, least({s.high}, " + " + ".join(f"{r.weight} * {_HITS(r)}" for r in s.rules) + f")) else {s.low} end"
+_REASONS = lambda s: f"case when {_VALID} then concat_ws('|', " + ", ".join(f"case when {_HITS(r)} > 0 then '{r.name}' end" for r in s.rules) + ") else '' end"
+_SCORED = (
+    f"with a as (select *, {_TEXT} t from parsers), s as (select *, " + ", ".join(f"({_SHEET(s)})::int {s.name}, {_REASONS(s)} {s.name}_reasons" for s in SHEETS) + " from a),"
+    " r as (select *, case when device >= 14 or packaging >= 10 then 'first' when device + packaging > 0 then 'second' else 'rest' end level from s)"
 )
 
 
 def scored(spark, folder):
-    return rules.article_scores(read(spark, folder, "parsers"), TAXONOMY, HIGH, MEDIUM, LOW, BONUSES, PENALTIES)
+    valid = F.startswith("scrape_status", F.lit("success")) & (F.length(text.squeeze(F.col("body"))) >= 60)
+    rows = rules.with_sheets(read(spark, folder, "parsers"), SHEETS, valid)
+    return rules.labelled_by(rows, [("first", (F.col("device") >= 14) | (F.col("packaging") >= 10)), ("second", F.col("device") + F.col("packaging") > 0)], "rest", "level")
 
 
-@query(_SCORED + " select source_name, country, count(*) records, count(*) filter (where inc) included, count(*) filter (where prio = 'high') high, max(p)::int max_points from r group by all")
-def flagship_source_rollup(spark, folder):
+@query(_SCORED + " select source_name, country, count(*) records, count(*) filter (where level <> 'rest') scored, count(*) filter (where level = 'first') first_level, max(device) most_device from r group by all")
+def flagship_rule_rollup(spark, folder):
     rows = scored(spark, folder)
     return rows.groupBy("source_name", "country").agg(
-        F.count(F.lit(1)).alias("records"), F.count_if("include").alias("included"), F.count_if(F.col("priority") == "high").alias("high"), F.max("points").cast("int").alias("max_points")
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("level") != "rest").alias("scored"), F.count_if(F.col("level") == "first").alias("first_level"), F.max("device").alias("most_device")
     )
 
 
@@ -99,14 +100,20 @@ def keyword_match(spark, folder):
     return rows.select("rec_id", F.array_join("matched_keywords", "|").alias("matched"), F.size("matched_keywords").alias("n"))
 
 
-@query(_SCORED + " select rec_id, tier::int tier_score, p::int points, inc include, prio priority from r")
-def article_scores(spark, folder):
-    return scored(spark, folder).select("rec_id", F.col("tier_score").cast("int").alias("tier_score"), F.col("points").cast("int").alias("points"), "include", "priority")
+@query(_MATCHED + f", h as (select *, {_KEYWORDS.replace('(t,', '(h,')} kh from m) select rec_id, array_to_string(kh, '|') in_title, array_to_string(list_sort(list_distinct(list_transform(k, lambda x: {_CATEGORY}[x]))), '|') categories, coalesce(list_sum(list_transform(k, lambda x: {_WEIGHT}[x])), 0)::int weight from h")
+def keyword_groups(spark, folder):
+    rows = rules.match_keywords(read(spark, folder, "parsers"), TAXONOMY)
+    return rows.select("rec_id", F.array_join("title_keywords", "|").alias("in_title"), F.array_join("matched_categories", "|").alias("categories"), F.col("weight_sum").alias("weight"))
+
+
+@query(_SCORED + " select rec_id, device, device_reasons, packaging, packaging_reasons, level from r")
+def rule_scores(spark, folder):
+    return scored(spark, folder).select("rec_id", "device", F.array_join("device_reasons", "|").alias("device_reasons"), "packaging", F.array_join("packaging_reasons", "|").alias("packaging_reasons"), "level")
 
 
-@query(_SCORED + " select prio priority, count(*) n, count(*) filter (where valid) valid from r group by 1")
-def run_summary(spark, folder):
-    return scored(spark, folder).groupBy("priority").agg(F.count(F.lit(1)).alias("n"), F.count_if("valid").alias("valid"))
+@query(_SCORED + " select level, count(*) n, sum(packaging)::bigint packaging from r group by 1")
+def rule_summary(spark, folder):
+    return scored(spark, folder).groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.sum("packaging").alias("packaging"))
 
 
 _WEIGHTS = {"launched": 5, "approved": 4, "recalled": 5, "suspended": 2, "delayed": -3, "cancelled": -4, "withdrew": -2}

@@ -215,18 +215,27 @@ def source_rollup(spark, folder):
     return reports.source_rollup(rows, ["source_name", "country"], "scrape_status", "day")
 
 
-_SUFFIX = "Devices|Medical|Labs|Packaging|Biologics|Surgical|Therapeutics|Diagnostics|Care|Sterile Systems"
+_SUFFIX = ["Devices", "Medical", "Labs", "Packaging", "Biologics", "Surgical", "Therapeutics", "Diagnostics", "Care", "Systems"]
+_COMPANIES = (
+    rf"with u as (select *, {_SCORE} score, {_DAY} d, unnest(regexp_extract_all(coalesce(title, ''), '(?:^|[^\p{{L}}\p{{N}}_])(\p{{Lu}}[^\s.,;:!?]*(?: +\p{{Lu}}[^\s.,;:!?]*)*)', 1)) run from parsers),"
+    " w as (select *, string_split_regex(run, ' +') w from u), e as (select *, list_max([i for i in range(1, len(w) + 1) if list_contains([" + ", ".join(f"'{x}'" for x in _SUFFIX) + "], w[i])]) e from w),"
+    " c as (select distinct rec_id, country, source_type, title, score, d, lower(array_to_string(w[greatest(1, e - 6):e], ' ')) company_key from e where e > 1)"
+)
 
 
-@query(
-    rf"with c as (select rec_id, country, source_type, title, {_SCORE} score, {_DAY} d, lower(unnest(list_distinct(list_transform(regexp_extract_all(coalesce(title, ''), '(?:^|[^A-Za-z0-9_])((?:[A-Z][A-Za-z0-9&()\-]*\s+){{1,6}}(?:{_SUFFIX}))(?:[^A-Za-z0-9_]|$)', 1), lambda x: regexp_replace(x, '\s+', ' ', 'g'))))) company_key from parsers),"
-    " t as (select company_key, country, title, min(rec_id) o, count(*) m, max(score) s, max(d) d from c group by all), k as (select company_key, country, string_agg(distinct source_type, ', ' order by source_type) kinds from c group by all)"
-    " select t.company_key, t.country, k.kinds, sum(m)::bigint mentions, string_agg(title, '; ' order by o) titles, max(s)::int max_score, max(d) latest from t join k on t.company_key = k.company_key and t.country is not distinct from k.country group by all"
-)
+def _company_rows(spark, folder):
+    names = text.company_names(F.coalesce("title", F.lit("")), F.lit(None).cast("string"), [], _SUFFIX, [])
+    return regional(spark, folder).withColumn("companies", names)
+
+
+@query(_COMPANIES + " select company_key, country, string_agg(distinct source_type, ', ' order by source_type) kinds, count(*) mentions, count(distinct title) titles, max(score) max_score, max(d) latest from c group by all")
 def company_rollup(spark, folder):
-    rows = regional(spark, folder)
-    names = text.company_names(F.coalesce("title", F.lit("")), F.lit(None).cast("string"), [], _SUFFIX, "Company")
-    return reports.company_rollup(rows.withColumn("companies", names), "companies", "country", "source_type", "title", "rec_id", "score", "day")
+    return reports.company_rollup(_company_rows(spark, folder), "companies", "country", "source_type", "title", "score", "day")
+
+
+@query(_COMPANIES + " select company_key, country, title, min(rec_id) first_rec, count(*) mentions from c group by all")
+def company_titles(spark, folder):
+    return reports.company_titles(_company_rows(spark, folder), "companies", "country", "title", "rec_id").withColumnRenamed("first_order", "first_rec")
 
 
 @query("select coalesce(nullif(trim(source_category), ''), 'unknown') category, count(*) n from scripts group by 1")
@@ -404,15 +413,21 @@ _LEDGER = _R + ", e as (select *, coalesce(nullif(trim(url), ''), article_id) ke
 
 
 def ledger(spark, folder):
-    rows = regional(spark, folder).select("rec_id", "url", "article_id", "score", "published_date", "relevance", F.array(F.col("source_id")).alias("labels"), F.array("rec_id").alias("ids"))
+    rows = regional(spark, folder).select("rec_id", "url", "article_id", "score", "published_date", "relevance", F.array(F.col("source_id")).alias("labels"))
     key = F.coalesce(text.blank_to_null(F.trim("url")), F.col("article_id"))
-    slim = rows.select(F.coalesce("published_date", F.lit("")).alias("p"), F.coalesce("article_id", F.lit("")).alias("a"), key.alias("key"), "rec_id", "score", "relevance", "labels", "ids")
-    return rows, records.event_ledger(slim, F.col("key"), F.col("score"), "p", "a", "relevance", "labels", "ids")
+    slim = rows.select(F.coalesce("published_date", F.lit("")).alias("p"), F.coalesce("article_id", F.lit("")).alias("a"), key.alias("key"), "rec_id", "score", "relevance", "labels")
+    return slim, records.event_ledger(slim, F.col("key"), F.col("score"), "p", "a", "relevance", "labels")
 
 
-@query(_LEDGER + ", l as (select key, list_sort(list_distinct(list(source_id))) s, list_sort(list_distinct(list(rec_id))) i from e group by key) select b.key ledger_key, m.r rec_id, (-m.s)::int score, array_to_string(l.s, ',') labels, len(l.i)::int ids from b join l on b.key is not distinct from l.key")
+@query(_LEDGER + ", l as (select key, list_sort(list_distinct(list(source_id))) s, count(*) n from e group by key) select b.key ledger_key, m.r rec_id, (-m.s)::int score, array_to_string(l.s, ',') labels, l.n merged_rows from b join l on b.key is not distinct from l.key")
 def event_ledger(spark, folder):
-    return ledger(spark, folder)[1].select("ledger_key", "rec_id", "score", F.array_join("labels", ",").alias("labels"), F.size("ids").alias("ids"))
+    return ledger(spark, folder)[1].select("ledger_key", "rec_id", "score", F.array_join("labels", ",").alias("labels"), "merged_rows")
+
+
+@query(_LEDGER + " select key ledger_key, rec_id member from e")
+def ledger_members(spark, folder):
+    """The rows behind each event: provenance as a table, so that a common key is no long array."""
+    return records.ledger_members(ledger(spark, folder)[0], F.col("key"), "relevance", "rec_id")
 
 
 @query(_LEDGER + " select (select count(*) from r) source_rows, (select count(*) from r where coalesce(relevance, 'industry_only') = 'none') excluded, (select count(*) from e) - count(*) as merged, count(*) events, count(*) filter (where m.v in ('direct_customer', 'competitor')) priority_events from b")

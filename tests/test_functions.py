@@ -22,7 +22,11 @@ def test_text(spark):
     assert values(spark, ["a stent", "stents", "医械"], text.holds_phrase(c, "stent")) == [True, False, False]
     assert values(spark, ["see ```json {\"a\": {}} ```"], text.json_object(c)) == ['{"a": {}}']
     assert values(spark, ["## A\nx\n## B\ny"], text.section_of(c, "A")) == ["x"]
-    assert values(spark, ["S CMO of A BC", "x"], text.joined_letters(c)) == ["SCMO of ABC", "x"]
+    assert values(spark, ["S CMO of A BC", "x", "1 2 款 3 4 x"], text.joined_letters(c)) == ["SCMO of ABC", "x", "12 款 3 4 x"]
+    notes = "a\n\n[图片信息]\n图片1: x\n\nb\nhttps://c/d\ne [图片信息] f[图片OCR文字] g"
+    assert values(spark, [notes, "[图片OCR文字]", None], text.without_image_notes(c)) == ["a\n\nb\ne", "", ""]
+    names = text.company_names(c, F.lit("Own Ltd"), ["Bad Ltd"], ["Ltd", "Devices"], ["Manufacturer"])
+    assert values(spark, ["Two new Acme Care Devices, Own Ltd and Bad Ltd", "Manufacturer: some maker; x", "", "Ltd"], names) == [["Acme Care Devices"], ["some maker"], [], []]
 
 
 def test_urls(spark):
@@ -37,7 +41,7 @@ def test_urls(spark):
 
 def test_dates(spark):
     day = lambda fn, *rows: [str(v) if v else None for v in values(spark, list(rows), fn(F.col("c")))]
-    assert day(dates.any_date, "2026-7-5", "05/07/2026", "on 5 Juli 2026", "July 5, 2026", "2026-13-40", None) == ["2026-07-05"] * 4 + [None, None]
+    assert day(dates.any_date, "2026-7-5", "05/07/2026", "on 5 Juli 2026", "July 5, 2026", "2026-13-40", None, "x 12 Foo 2026 July 5 2026", "2026-07-05T1") == ["2026-07-05"] * 4 + [None, None, "2026-07-05", None]
     assert day(dates.report_date, "2026-07-05", "5 Jul 2026", "x 5 Jul 2026") == ["2026-07-05", "2026-07-05", None]
     assert day(dates.mail_date, "Wed, 15 Jul 2026 00:00:00 GMT", "2026-07-15T01:00:00Z", "?") == ["2026-07-15", "2026-07-15", None]
     assert day(dates.issue_end, "2026-12", "2026-13") == ["2027-01-01", None]

@@ -43,23 +43,43 @@ def test_similar_titles_against_all_pairs(spark):
 
 def test_ledger_merges_provenance(spark):
     rows = spark.createDataFrame(
-        [("u", 5, "b", "i2", "competitor", ["s2"], [2]), ("u", 5, "a", "i1", None, ["s1"], [1]), ("v", 9, "a", "i3", "none", ["s1"], [3])],
-        "key string, score int, p string, a string, rel string, labels array<string>, ids array<int>",
+        [("u", 5, "b", "i2", "competitor", ["s2"]), ("u", 5, "a", "i1", None, ["s1"]), ("v", 9, "a", "i3", "none", ["s1"])],
+        "key string, score int, p string, a string, rel string, labels array<string>",
     )
-    out = records.event_ledger(rows, F.col("key"), F.col("score"), "p", "a", "rel", "labels", "ids")
+    out = records.event_ledger(rows, F.col("key"), F.col("score"), "p", "a", "rel", "labels")
     (r,) = out.collect()
-    assert (r.ledger_key, r.a, r.labels, r.ids) == ("u", "i1", ["s1", "s2"], [1, 2])
-    again = records.event_ledger(out.withColumnRenamed("ledger_key", "k2"), F.col("k2"), F.col("score"), "p", "a", "rel", "labels", "ids").collect()
-    assert [x.ids for x in again] == [[1, 2]]
+    assert (r.ledger_key, r.a, r.labels, r.merged_rows) == ("u", "i1", ["s1", "s2"], 2)
+    again = records.event_ledger(out.withColumnRenamed("ledger_key", "k2"), F.col("k2"), F.col("score"), "p", "a", "rel", "labels").collect()
+    assert [(x.labels, x.merged_rows) for x in again] == [(["s1", "s2"], 2)]
+    assert sorted(r.member for r in records.ledger_members(rows, F.col("key"), "rel", "a").collect()) == ["i1", "i2"]
     (c,) = records.ledger_counts(rows, out, "rel", ["competitor"]).collect()
     assert tuple(c) == (3, 1, 1, 1, 0)
 
 
-def test_scores_stay_in_range(spark):
-    rows = spark.createDataFrame([(1, "stent stent", "x" * 100, "success"), (2, None, None, None), (3, "stent training", "y" * 100, "success_from_snapshot")], "rec_id int, title string, body string, scrape_status string")
-    words = [rules.Keyword("stent", "device"), rules.Keyword("", "none")]
-    got = {r.rec_id: r for r in rules.article_scores(rows, words, ["stent"], [], [], [rules.Points("d", 50, ["stent"])], [rules.Points("t", 60, ["training"])]).collect()}
-    assert got[1].points == 20 and got[1].priority == "high" and got[2].points == 0 and got[2].priority == "excluded" and got[3].points == 0 and got[3].include
+def test_issue_merged_into_the_master(spark):
+    schema = "k string, score int, p string, a string, rel string, labels array<string>, merged_rows bigint"
+    master = spark.createDataFrame([("u", 5, "b", "i1", "x", ["s1"], 2), ("w", 1, "a", "i4", "x", ["s1"], 1)], schema)
+    issue = spark.createDataFrame([("u", 7, "c", "i2", "x", ["s2"], 1), ("v", 9, "a", "i3", "x", ["s3"], 1)], schema)
+    merged, subset = records.merge_issue(master, issue, "k", "score", "p", "a", "rel", "labels")
+    got = {r.k: (r.a, r.labels, r.merged_rows) for r in merged.collect()}
+    assert got == {"u": ("i2", ["s1", "s2"], 3), "w": ("i4", ["s1"], 1), "v": ("i3", ["s3"], 1)}
+    assert sorted(r.k for r in subset.collect()) == ["u", "v"]
+    assert records.merge_issue(master, issue.limit(0), "k", "score", "p", "a", "rel", "labels")[1].count() == 0
+
+
+def test_rule_sheets(spark):
+    rows = spark.createDataFrame([(1, "stent stent", "x blister foil"), (2, None, None), (3, "stent training", "y")], "rec_id int, title string, body string")
+    sheets = [rules.Sheet("d", (rules.Rule("p", ("stent", "blister foil", ""), 50, 2), rules.Rule("t", ("training",), -60)), 0, 70), rules.Sheet("none", ())]
+    got = {r.rec_id: (r.d, r.d_reasons, r.none) for r in rules.with_sheets(rows, sheets).collect()}
+    assert got == {1: (70, ["p"], 0), 2: (0, [], 0), 3: (0, ["p", "t"], 0)}
+    assert {r.d for r in rules.with_sheets(rows, sheets, F.col("rec_id") > 5).collect()} == {0}
+
+
+def test_phrase_join_both_ways(spark):
+    rows = spark.createDataFrame([(1, "a stent, heat-sealed"), (2, "stents 召回通报"), (3, None), (4, "回")], "rec_id int, t string")
+    phrases = spark.createDataFrame([(p,) for p in ("Stent", "heat-sealed", "召回", "回", " ", None)], "phrase string")
+    few, many = ({(r.rec_id, r.phrase) for r in rules.phrase_join(rows, phrases, rules.text_of("t"), literals=n).collect()} for n in (200, 0))
+    assert few == many == {(1, "Stent"), (1, "heat-sealed"), (2, "召回"), (2, "回"), (4, "回")}
 
 
 def test_chunks(spark):
