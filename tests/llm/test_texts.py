@@ -144,3 +144,36 @@ def test_encoding_repair_operator(spark):
     assert sorted(x.doc_id for x in garbled_documents(rows).collect()) == [1, 1, 5]
     assert {x.doc_id: x.restored for x in restore_documents(rows).collect()}[1] == GOOD
     assert garbled_documents(rows.limit(0)).count() == 0
+
+
+def _misread(text, encoding, rounds):
+    from presslake.llm import wrong_encoding as w
+
+    for _ in range(rounds):
+        text = "".join(w._CHARS[encoding].get(b, chr(b)) for b in text.encode("utf-8"))
+    return text
+
+
+@pytest.mark.parametrize("encoding", ["cp1252", "latin-1", "mac_roman", "cp437"])
+@pytest.mark.parametrize("text", ["équipé à Zürich", "质控小组认为植入式注册资料", "“Größe” – naïve", "Doanh nghiệp mới và", "дом «Ёлка»"])
+def test_restores_one_to_five_misreadings(text, encoding):
+    from presslake.llm import wrong_encoding as w
+
+    for rounds in range(1, 6):
+        garbled = _misread(text, encoding, rounds)
+        assert w.is_garbled(garbled) and w.restore(garbled) == text
+
+
+def test_correct_texts_are_no_cases_and_stay():
+    from presslake.llm import wrong_encoding as w
+
+    for text in ["«École» d’Été", "foo?bar", "What?Where?", "¿Qué?Sí", "naïve café – “quoted” … été", "«Où ?» «Là»", "ÉCOLE “À” — «É»", "繁體說明書：僅供參考", "у дома «а»", "½ ¼ ¾ °C ± μ"]:
+        assert not w.is_garbled(text) and w.restore(text) == text, text
+    assert w.is_garbled("a caf?-style r?sum?s") and w.restore("a caf?-style r?sum?s") == "a caf?-style r?sum?s"
+
+
+def test_long_passage_is_read_as_a_whole():
+    from presslake.llm import wrong_encoding as w
+
+    text = "质控小组认为植入式注册资料，" * 300
+    assert w.restore(_misread(text, "cp1252", 2)) == text
