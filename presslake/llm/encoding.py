@@ -153,7 +153,7 @@ def _shipped(frame: DataFrame, vocabulary: str):
     return frame.sparkSession.sparkContext.broadcast((hashlib.sha256(data).hexdigest(), data))
 
 
-def _slices(texts: list, chars: int = 2_000_000):
+def text_slices(texts: list, chars: int = 2_000_000):
     """Index ranges of at most ``chars`` characters, one text at least."""
     begin = total = 0
     for i, t in enumerate(texts):
@@ -177,7 +177,7 @@ def encode_corpus(frame: DataFrame, vocabulary: str = VOCABULARY, id_column: str
         bpe = _tokenizer(*shipped.value)
         for b in batches:
             texts = b[text_column].tolist()
-            for i, j in _slices(texts):
+            for i, j in text_slices(texts):
                 yield pd.DataFrame({id_column: b[id_column].iloc[i:j].to_numpy(), "ids": bpe.encode_batch(texts[i:j])})
 
     return frame.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("bigint").alias(id_column), F.col(text_column)).mapInPandas(encode, f"{id_column} bigint, ids array<int>")
@@ -191,7 +191,7 @@ def token_counts(frame: DataFrame, vocabulary: str = VOCABULARY, id_column: str
         bpe = _tokenizer(*shipped.value)
         for b in batches:
             texts = b[text_column].tolist()
-            n = [len(x) for i, j in _slices(texts) for x in bpe.encode_batch(texts[i:j])]
+            n = [len(x) for i, j in text_slices(texts) for x in bpe.encode_batch(texts[i:j])]
             yield pd.DataFrame({id_column: b[id_column].to_numpy(), "tokens": np.array(n, np.int32)})
 
     return frame.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("bigint").alias(id_column), F.col(text_column)).mapInPandas(count, f"{id_column} bigint, tokens int")
