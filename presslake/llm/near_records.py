@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslake.llm.encoding import text_slices
-from presslake.session import cut_lineage
+from presslake.session import cut_lineage, if_small
 
 #: Cells of the count sketch, a byte each: 4 MB at any size of the data.
 SKETCH_BITS = 22
@@ -38,7 +38,7 @@ BLOCK_CELLS = 1 << 16
 #: Fragments of the global order.
 FRAGMENTS = 8
 #: Shared n-grams asked of a pair before its overlap is counted in full.
-LEAST_SHARED = 16
+LEAST_SHARED = 8
 #: Occurrences from which an n-gram is joined by size classes.
 HOT = 1 << 12
 TOKEN = regex.compile(r"[一-鿿]|[\p{L}\p{Nd}--[一-鿿]]+", regex.V1)
@@ -203,8 +203,8 @@ def similar_sets(sets: DataFrame, threshold: float = 0.5, hot: int = HOT) -> Dat
         partial = partial.unionByName(met(reach, often, ["gram", "class"]))
     candidates = partial.groupBy("a", "b").agg(F.count(F.lit(1)).alias("found"), F.first("k").alias("k")).where("found >= k").select("a", "b")
     candidates = cut_lineage(candidates)
-    taken = candidates.select(F.explode(F.array("a", "b")).alias("rec_id")).distinct()
-    cut = sets.join(taken.hint("merge"), "rec_id", "left_semi").mapInPandas(segments, "rec bigint, size int, segments array<array<bigint>>")
+    taken = cut_lineage(candidates.select(F.explode(F.array("a", "b")).alias("rec_id")).distinct())
+    cut = sets.join(if_small(taken, 16), "rec_id", "left_semi").mapInPandas(segments, "rec bigint, size int, segments array<array<bigint>>")
     side = lambda s: cut.select(F.col("rec").alias(s), F.col("segments").alias(f"segments_{s}"), F.col("size").alias(f"size_{s}")).hint("merge")
     full = candidates.join(side("a"), "a").join(side("b"), "b")
     overlaps = F.zip_with("segments_a", "segments_b", lambda x, y: F.size(F.array_intersect(x, y)))  # one partial count per fragment
@@ -225,7 +225,8 @@ def _prepared(frame: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
     sets = cut_lineage(ngram_sets(rows))
     classes = cut_lineage(_classes(sets))
-    unique = sets.join(classes.where("rec_id = class").select("rec_id"), "rec_id", "left_semi")
+    copies = cut_lineage(classes.where("rec_id <> class").select("rec_id"))
+    unique = cut_lineage(sets.join(if_small(copies, 16), "rec_id", "left_anti"))
     return sets, classes, cut_lineage(similar_sets(unique).select("a", "b"))
 
 
