@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = 8, memory: str = "8g", partitions: int = 8) -> SparkSession:
@@ -40,6 +41,14 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def if_small(stored: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored frame, marked for broadcast only if its counted rows stay below the session's
+    broadcast threshold at ``row_bytes`` each; else marked for a merge."""
+    spark = stored.sparkSession
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return F.broadcast(stored) if stored.count() * row_bytes <= limit else stored.hint("merge")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Makes this package importable in Python workers: by their search path on one
     machine, by a zip that Spark distributes on a cluster.  Done once per context."""
