@@ -119,29 +119,40 @@ def _ratio(later: pd.Series, earlier: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(later, earlier)], dtype="float64")
 
 
+#: Characters of the pieces by which similar titles are found.
+PIECE = 3
+
+
 def similar_titles(frame: DataFrame, key: str, title: str, least: float = 0.92) -> DataFrame:
     """(earlier, later, ratio) of different titles, by the least ``key`` of each, whose
     matching blocks cover ``least`` of both.
 
-    No pair is lost: of lengths n >= m at most u and v characters stay unmatched, so
-    of u + v + 1 pieces of the longer title one stands unbroken in the shorter, moved
-    by -u to v places.  Pairs are joined on such pieces per pair of lengths; the edit
-    distance is checked in the JVM, the exact ratio in Python only for what is left.
-    Equal titles are joined once."""
+    Titles are sets of pieces of PIECE characters, a piece that occurs again numbered.
+    If the blocks of two titles cover enough, a title of n characters keeps all but a
+    certain share of its pieces in the other one, so that in any common order of pieces
+    the first ones, one more than it may lose, hold a shared one.  Pieces are ordered by
+    how many titles have them, the rarest first, and titles joined on the first ones: no
+    pair is lost, and common pieces are hardly ever joined.  The edit distance is checked in
+    the JVM, the exact ratio in Python only for what is left.  Equal titles are joined
+    once.  Null and empty titles have no pair."""
     titles = frame.where(F.col(title) != "").groupBy(F.col(title).alias("t")).agg(F.min(key).alias("k")).withColumn("n", F.length("t"))
-    most = (2 - least) / least  # of the lengths of a pair
-    half = F.ceil((F.col("long") + F.col("short")) * (least / 2) - 1e-9)
-    free = {"u": (F.col("long") - half).cast("int"), "v": (F.col("short") - half).cast("int")}
-    pieces = "explode(transform(sequence(0, u + v), i -> struct(i, cast(floor(long * i / (u + v + 1)) as int) as s, cast(floor(long * (i + 1) / (u + v + 1)) as int) as z))) as p"
-    shorter = F.explode(F.sequence(F.ceil(F.col("n") / most - 1e-9).cast("int"), F.col("n"))).alias("short")
-    longer = F.explode(F.sequence(F.col("n"), F.floor(F.col("n") * most + 1e-9).cast("int"))).alias("long")
-    hashed = lambda place: f"xxhash64(substring(t, {place} + 1, p.z - p.s)) as piece"  # noqa: E731  (equal hashes only bring a pair to the check)
-    long = titles.select("t", F.col("k").alias("kl"), F.col("n").alias("long"), shorter).withColumns(free).where("u >= 0 and v >= 0")
-    long = long.selectExpr("t", "kl", "long", "short", pieces).where("p.z > p.s").selectExpr("kl", "long", "short", "p.i as i", hashed("p.s"))
-    short = titles.select("t", F.col("k").alias("ks"), F.col("n").alias("short"), longer).withColumns(free).where("u >= 0 and v >= 0")
-    short = short.selectExpr("t", "ks", "long", "short", "u", "v", pieces).where("p.z > p.s").selectExpr("t", "ks", "long", "short", "p", "explode(sequence(-u, v)) as d")
-    short = short.where("p.s + d >= 0 and p.z + d <= short").selectExpr("ks", "long", "short", "p.i as i", hashed("p.s + d"))
-    near = long.join(short, ["long", "short", "i", "piece"]).where("kl <> ks").select(F.least("kl", "ks").alias("earlier"), F.greatest("kl", "ks").alias("later")).distinct()
+    titles = cut_lineage(titles)
+    free, most = 1 - least, (2 - least) / least  # share of both lengths that stays unmatched; of the lengths of a pair
+    lost = (2 * PIECE - 1) * free + (0.5 - (2 * PIECE - 1) * free / 2) * (1 - 1 / most)  # pieces lost per character, at most
+    pieces = F.regexp_extract_all("t", F.lit(f"(?s)(?=({'.' * PIECE}))"), F.lit(1))
+    single = titles.select("k", "n", F.posexplode(pieces).alias("at", "piece"))
+    again = F.row_number().over(Window.partitionBy("k", "piece").orderBy("at"))
+    single = single.select("k", "n", F.xxhash64("piece", again).alias("piece"))  # equal hashes only bring a pair to the check
+    common = single.groupBy("piece").agg(F.count(F.lit(1)).alias("titles"))
+    ranked = single.join(common.where("titles > 1"), "piece")  # other pieces are in no pair
+    first = F.row_number().over(Window.partitionBy("k").orderBy("titles", "piece"))
+    kept = F.floor(F.col("n") * lost + 1e-9) + 1
+    # Pieces of a single title come first in the order: the places they take are known from the length.
+    own = F.greatest(F.col("n") - (PIECE - 1), F.lit(0)) - F.count(F.lit(1)).over(Window.partitionBy("k"))
+    heads = cut_lineage(ranked.select("k", "n", "piece", (first + own).alias("place"), kept.alias("kept")).where("place <= kept").select("k", "n", "piece"))
+    x, y = heads.alias("x"), heads.alias("y")
+    near = x.join(y, (F.col("x.piece") == F.col("y.piece")) & (F.col("x.k") < F.col("y.k")) & F.col("y.n").between(F.col("x.n") / most - 1e-9, F.col("x.n") * most + 1e-9))
+    near = near.select(F.col("x.k").alias("earlier"), F.col("y.k").alias("later")).distinct()
     text_at = lambda k, t: titles.select(F.col("k").alias(k), F.col("t").alias(t))
     both = near.join(text_at("earlier", "te"), "earlier").join(text_at("later", "t2"), "later")
     both = both.where(F.levenshtein("te", "t2") <= F.floor((F.length("te") + F.length("t2")) * (1 - least) + 1e-9))

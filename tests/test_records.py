@@ -103,7 +103,6 @@ def test_components_and_winners(spark):
 
 
 def test_seen_union_reads_all_batches(spark, tmp_path):
-    from presslake.plans import relational  # noqa: F401
     from presslake.plans.queries import QUERIES
 
     rows = [(0, "a"), (1, "b"), (2, "c"), (8, "d"), (8, "a"), (3, None)]
