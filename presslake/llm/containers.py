@@ -3,10 +3,12 @@
 Sizes are whole numbers up to the capacity, so the packing is worked out on counts
 per size, a table bounded by the capacity whatever the number of documents:
 
-1. Martello-Toth dominance: for the largest size left, a small set that provably
-   dominates every other set with it is fixed (a full pair, a single item nothing
-   fits beside, the largest partner where no triple fits, or where no pair of
-   smaller items fills more), in multiples of the counts;
+1. Martello-Toth dominance: from the largest size down, a set of one to three items
+   that provably dominates every other set with that size is fixed (a single item
+   nothing fits beside; a full pair; the largest partner where nothing fits beside
+   both or no pair fills more; the largest partner and the largest item beside both,
+   where no other pair can do better), in multiples of the counts, again and again
+   until nothing more can be fixed;
 2. what remains is packed best-fit, from large to small, also in multiples.
 
 The result, containers of one pattern each with a multiplicity, is mapped back:
@@ -17,6 +19,7 @@ rest."""
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -26,8 +29,9 @@ from pyspark.sql import functions as F
 from presslake.llm.encoding import VOCABULARY, token_counts
 from presslake.session import cut_lineage
 
-#: Groups in which documents of one size are numbered apart, so that a common size is no hot task.
-NUMBERING_GROUPS = 64
+#: Documents of one size are numbered apart in groups, at least so many and about one for so many rows,
+#: so that a common size is no hot task at any number of rows.
+NUMBERING_GROUPS, GROUP_ROWS = 64, 250_000
 
 
 class _Counts:
@@ -63,56 +67,55 @@ class _Counts:
                 return total
         return 1 << 60
 
-    def best_pair(self, room: int) -> int:
-        """Largest sum of two items within ``room``; 0 if none."""
-        s = np.array(self.sizes[: bisect_right(self.sizes, room)], np.int64)
-        best = 0
-        if len(s):
-            at = np.searchsorted(s, room - s, side="right") - 1
-            good = at >= 0
-            for i in np.flatnonzero(good):
-                j = at[i]
-                if j == i and self.n[int(s[i])] < 2:
-                    j -= 1
-                if j >= 0:
-                    best = max(best, int(s[i] + s[j]))
-        return best
+    def best_pair(self, room: int, above: int = 0) -> int:
+        """Largest sum within ``room`` of two items, each larger than ``above``; 0 if none."""
+        s = np.array(self.sizes[bisect_right(self.sizes, above) : bisect_right(self.sizes, room)], np.int64)
+        if not len(s):
+            return 0
+        at = np.searchsorted(s, room - s, side="right") - 1
+        alone = np.array([self.n[int(x)] < 2 for x in s])
+        at = np.where((at == np.arange(len(s))) & alone, at - 1, at)  # an item is not its own partner
+        return int((s + s[at])[at >= 0].max(initial=0))
+
+
+def _dominating(left: _Counts, w: int, capacity: int) -> tuple[int, ...] | None:
+    """A set with an item of size ``w`` that dominates every other one with it, if it is sure."""
+    left.take(w, 1)
+    try:
+        room = capacity - w
+        a = left.largest_up_to(room)
+        if a is None:
+            return (w,)
+        if a == room or left.smallest(2) > room:
+            return (w, a)
+        if left.smallest(3) > room:  # no more than two items fit beside it
+            if a >= left.best_pair(room):
+                return (w, a)  # whatever two items replace fits into the place of this one
+            left.take(a, 1)
+            b = left.largest_up_to(room - a)
+            left.give(a, 1)
+            if b is not None and left.best_pair(room, b) <= a:
+                return (w, a, b)  # of any other two the lesser fits for b, or both for a
+        return None
+    finally:
+        left.give(w, 1)
 
 
 def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[int, int]]:
-    """Patterns fixed by dominance, with multiplicities, and the counts that remain."""
-    left, fixed, open_ = _Counts(counts), [], {}
-    while left.sizes:
-        w = left.sizes[-1]
-        n = left.n[w]
-        left.take(w, n)
-        room = capacity - w
-        if room in left.n:  # a full pair
-            m = min(n, left.n[room])
-            left.take(room, m)
-            fixed.append(((w, room), m))
-        elif room == w and n > 1:
-            m = n // 2
-            fixed.append(((w, w), m))
-            m *= 2
-        else:
-            partner = left.largest_up_to(room)
-            if partner is None and w > room:  # nothing fits beside it
-                m = n
-                fixed.append(((w,), m))
-            elif partner is None or w <= room:
-                m = n
-                open_[w] = open_.get(w, 0) + n
-            elif left.smallest(2) > room or left.smallest(3) > room and partner >= left.best_pair(room):
-                m = min(n, left.n[partner])
-                left.take(partner, m)
-                fixed.append(((w, partner), m))
-            else:
-                m = n
-                open_[w] = open_.get(w, 0) + n
-        if n > m:
-            left.give(w, n - m)
-    return fixed, open_
+    """Patterns fixed by dominance, with multiplicities, and the counts that remain.  A set
+    fixed once stays dominating while there are items for it, as the others only get fewer."""
+    left, fixed, changed = _Counts(counts), [], True
+    while changed:
+        changed = False
+        for w in sorted(left.sizes, reverse=True):
+            while w in left.n and (pattern := _dominating(left, w, capacity)):
+                need = Counter(pattern)
+                m = min(left.n[s] // k for s, k in need.items())
+                for s, k in need.items():
+                    left.take(s, m * k)
+                fixed.append((pattern, m))
+                changed = True
+    return fixed, dict(left.n)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -191,7 +194,7 @@ def fill_containers(sizes: DataFrame, specs: DataFrame, id_column: str = "doc_id
     full, rest = F.expr("tokens div capacity").cast("int"), F.col("tokens") % F.col("capacity")
     both = both.withColumn("full", F.when(F.col("tokens") > F.col("capacity"), full).otherwise(0))
     both = both.withColumn("rest", F.when(F.col("full") == 0, F.col("tokens")).otherwise(rest))
-    group = F.pmod(F.xxhash64(id_column), F.lit(NUMBERING_GROUPS)).cast("int")
+    group = F.pmod(F.xxhash64(id_column), F.lit(max(NUMBERING_GROUPS, items.count() // GROUP_ROWS))).cast("int")
     rests = both.where("rest > 0").select("container_kind", id_column, F.col("full").alias("piece_no"), F.col("rest").alias("size"), group.alias("group"))
     cells = rests.groupBy("container_kind", "size", "group").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("container_kind", "size").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)

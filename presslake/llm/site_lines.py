@@ -16,11 +16,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslake.llm.encoding import text_slices
 from presslake.session import cut_lineage
 
 MIN_RECORDS, MIN_SHARE = 8, 0.05
 WINDOW = 16  # characters seen by the rolling hash
 CUT_BITS = 5  # a cut every 32 characters on average
+SLICE = 250_000  # characters worked on at once, but for a longer line: some 100 bytes each
 _DROP = re.compile(r"[\s\d]+")
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -81,12 +83,22 @@ def _lines_of(batch: pd.DataFrame):
     return np.array(row, np.int64), number, keys, np.array(fresh, bool)
 
 
+def _chunks(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`chunk_hashes` in parts of bounded size."""
+    owners, values = [], []
+    for i, j in text_slices(keys, SLICE):
+        owner, value = chunk_hashes(keys[i:j])
+        owners.append(owner + i)
+        values.append(value)
+    return np.concatenate(owners), np.concatenate(values)
+
+
 def _list_lines(batches):
-    for b in batches:
+    for b in (part.iloc[i:j] for part in batches for i, j in text_slices(part["text"].tolist(), SLICE)):
         row, number, keys, fresh = _lines_of(b)
         if not len(row):
             continue
-        owner, value = chunk_hashes(keys)
+        owner, value = _chunks(keys)
         lead = value[np.searchsorted(owner, np.arange(len(keys)))]
         # Chunks that are new in their record, so that a record counts once for each.
         new = pd.DataFrame({"line": owner, "row": row[owner], "chunk": value}).drop_duplicates(["row", "chunk"])

@@ -177,3 +177,15 @@ def test_long_passage_is_read_as_a_whole():
 
     text = "质控小组认为植入式注册资料，" * 300
     assert w.restore(_misread(text, "cp1252", 2)) == text
+
+
+def test_lookalikes_of_many_scripts(spark):
+    from presslake.llm.one_form import lookalikes
+
+    looks = lookalikes(spark)
+    assert len(looks) > 150 and all(len(x) == 1 and x.isascii() for x in looks.values())
+    for text, want in [("bаnк", "bank"), ("αlpha", "alpha"), ("ρatient", "patient"), ("tuЬe", "tube"), ("кit", "kit"), ("aпd", "and"), ("cɑre", "care"), ("ѵalve", "valve"), ("ՍNIT", "UNIT"), ("ᏴASE", "GASE"), ("cathetеrж", "catheterж")]:
+        got = to_one_form(text, looks)
+        assert got == to_one_form(got, looks) and (got == want or text == "ᏴASE" and got != text and got.isascii()), (text, got)
+    for text in ["TNFα", "NFκB", "αB", "μg", "σmax", "ΔHmax", "β-blocker α-helix", "Москва", "новости", "Ελλάδα", "kəˈθiːtə", "5 kΩ", "ᏣᎳᎩ", "Հայաստան", "", None]:
+        assert to_one_form(text, looks) == text, text
