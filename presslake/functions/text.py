@@ -18,6 +18,11 @@ def first_present(*cs: Column) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in cs], F.lit(""))
 
 
+def first_present_list(values: Column, other: Column, most: int = 8, separator: str = "、") -> Column:
+    """Up to ``most`` distinct values of an array, joined; else the other text, else empty."""
+    return first_present(F.array_join(F.slice(distinct_trimmed(values), 1, most), separator), other)
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space as one blank, ends trimmed; null as empty."""
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), WS, " "))
@@ -192,6 +197,11 @@ def html_escaped(c: Column) -> Column:
     return c
 
 
+def json_in_page(c: Column) -> Column:
+    """JSON text that can stand in a script element: no end tag can begin in it."""
+    return F.replace(c, F.lit("</"), F.lit("<\\/"))
+
+
 def file_name(c: Column) -> Column:
     """Characters unfit for a file name as underscores."""
     return F.regexp_replace(c, r'[\\/:*?"<>|\s]+', "_")

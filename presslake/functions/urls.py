@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Parameters that do not choose a page, for each normal form.
 TRACKING_FOR_DEDUP = ["fbclid", "gclid", "mc_cid", "mc_eid", "ref", "source", "utm_campaign", "utm_content", "utm_medium", "utm_source", "utm_term"]
@@ -93,10 +89,27 @@ def looks_like_article(url: Column) -> Column:
     return good & ~p.rlike(r"/(?:tag|category|search|login|page)/|\.(?:jpg|png|gif|css|js|pdf)$|^/?$")
 
 
-def resolved(base: Column, href: Column) -> Column:
-    """``href`` against ``base`` by the rules of RFC 3986; in Python, Arrow batches."""
+def _without_dots(p: Column) -> Column:
+    """A path without "." and ".." segments, by RFC 3986, 5.2.4."""
+    parts = F.split(p, "/", -1)
+    dot = lambda x: x.isin(".", "..")
+    pop = lambda kept: F.when(F.size(kept) > 1, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda kept, x: F.when(x == "..", pop(kept)).when(x == ".", kept).otherwise(F.array_append(kept, x)))
+    ends = dot(F.element_at(parts, -1))
+    return F.array_join(F.when(ends, F.array_append(kept, F.lit(""))).otherwise(kept), "/")
 
-    def join(b: pd.Series, h: pd.Series) -> pd.Series:
-        return pd.Series([urljoin(x or "", (y or "").strip()) for x, y in zip(b, h)])
 
-    return F.pandas_udf(join, StringType())(base, href)
+def resolved(base: Column, href: Column) -> Column:
+    """``href`` against ``base`` by the rules of RFC 3986, 5.2; null as empty.  All in the JVM."""
+    parts = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
+    trimmed = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
+    of = lambda c, n: F.regexp_extract(trimmed(c), parts, n)
+    bs, ba, bp, bq = (of(base, n) for n in range(1, 5))
+    rs, ra, rp, rq, rf = (of(href, n) for n in range(1, 6))
+    own_host = ra != ""
+    merged = F.when((ba != "") & (bp == ""), F.concat(F.lit("/"), rp)).otherwise(F.concat(F.regexp_extract(bp, "^(.*/)[^/]*$", 1), rp))
+    path_ = F.when(own_host | F.startswith(rp, F.lit("/")), _without_dots(rp)).when(rp == "", bp).otherwise(_without_dots(merged))
+    query_ = F.when((rp == "") & ~own_host & (rq == ""), bq).otherwise(rq)
+    host_ = F.when(own_host, ra).otherwise(ba)
+    start = F.concat(F.when(bs != "", F.concat(bs, F.lit(":"))).otherwise(""), F.when(host_ != "", F.concat(F.lit("//"), host_)).otherwise(""))
+    return F.when(rs != "", trimmed(href)).otherwise(F.concat(start, path_, query_, rf))

@@ -83,6 +83,27 @@ def unseen(frame: DataFrame, seen: DataFrame, key: str, order: list[Column]) ->
     return keep_first(frame.join(seen.select(key).distinct(), key, "left_anti"), [key], order)
 
 
+def effective_cap(whole: Column, own: Column) -> Column:
+    """The lesser of two caps; null and 0 are no cap, and without any the result is null."""
+    return F.least(F.nullif(whole, F.lit(0)), F.nullif(own, F.lit(0)))
+
+
+def capped(frame: DataFrame, group: str, order: list[Column], cap: Column) -> DataFrame:
+    """The first rows of each group, as many as ``cap``; all where it is null."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return frame.withColumn("_rank", rank).withColumn("_cap", cap).where(F.col("_cap").isNull() | (F.col("_rank") <= F.col("_cap"))).drop("_rank", "_cap")
+
+
+def union_seen(seen: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """(key) of everything seen before or now, once; null keys are none."""
+    return seen.select(key).unionByName(new.select(key)).where(F.col(key).isNotNull()).distinct()
+
+
+def keys_in_both(frame: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """(key) that both frames hold, once; null is a key as in a set."""
+    return frame.select(key).intersect(other.select(key))
+
+
 def cap_then_unseen(frame: DataFrame, seen: DataFrame, key: str, group: str, order: list[Column], cap: int) -> DataFrame:
     """The first ``cap`` rows of each group, of these the unseen: a full group of known
     rows gives nothing."""

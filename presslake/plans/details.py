@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslake.functions import html, text, urls
+from presslake.functions import dates, html, text, urls
 from presslake.operators import records, reports, rules
-from presslake.plans.queries import _SQUEEZE, query, read
+from presslake.plans.queries import _DATES, _MAIL, _SQUEEZE, _TIDY, _sql_found, query, read
 from presslake.plans.relational import _R, regional
 
 
@@ -96,15 +96,17 @@ def mixed_orders(spark, folder):
     return reports.top_per_group(regional(spark, folder), ["country"], [key.desc(), F.coalesce("published_date", F.lit("")), F.col("rec_id")], 5, "place").select("rec_id", "country", "place")
 
 
+_ISSUE = r"case when regexp_matches(substr(collected_at, 1, 7), '^20\d{2}-(?:0[1-9]|1[0-2])$') then (try_cast(substr(collected_at, 1, 7) || '-01' as date) + interval 1 month)::date end"
+_TIGHT = r"replace(regexp_replace(replace(coalesce(title, ''), chr(12288), ' '), '([，。；：（]) ', '\1', 'g'), ' ）', '）')"
+
+
 @query(
-    r"select rec_id, trim(regexp_replace(regexp_replace(coalesce(title, ''), '[\\/:*?\x22<>|\s]+', '_', 'g'), '^$', '')) file, case when regexp_matches(coalesce(published_date, ''), '^20\d{2}-(?:0[1-9]|1[0-2])$') then 1 else 0 end is_issue,"
-    " regexp_replace(replace(coalesce(title, ''), chr(12288), ' '), '([，。；：（]) ', '\\1', 'g') tight from parsers"
+    r"select rec_id, regexp_replace(coalesce(title, ''), '[\/:*?\x22<>|\s]+', '_', 'g') file, " + _ISSUE + f" issue_end, {_TIDY.replace("coalesce(content_text, '')", _TIGHT)} tight from parsers"
 )
 def text_repairs(spark, folder):
     title = F.coalesce("title", F.lit(""))
-    issue = F.coalesce(F.coalesce("published_date", F.lit("")).rlike(r"^20\d{2}-(?:0[1-9]|1[0-2])$"), F.lit(False)).cast("int")
-    tight = F.regexp_replace(F.regexp_replace(title, "　", " "), "([，。；：（]) ", "$1")
-    return read(spark, folder, "parsers").select("rec_id", F.trim(text.file_name(title)).alias("file"), issue.alias("is_issue"), tight.alias("tight"))
+    rows = read(spark, folder, "parsers")
+    return rows.select("rec_id", text.file_name(title).alias("file"), dates.issue_end(F.substring("collected_at", 1, 7)).alias("issue_end"), text.tight_punctuation(F.col("title")).alias("tight"))
 
 
 @query()
@@ -116,19 +118,27 @@ def body_cleaning(spark, folder):
     return rows.select("rec_id", F.length("clean").alias("n"), status.alias("status"))
 
 
+_SHORT = r"(?i)^(\d{1,2}) ([a-z]+) (\d{4})$"
+
+
 @query(
-    "with d as (select rec_id, published_date p, coalesce(published_date, '') c from parsers) select rec_id, case when regexp_matches(c, '^\\d{4}-\\d{2}-\\d{2}$') then try_cast(c as date) end iso_only, regexp_matches(c, '20\\d{2}') has_year,"
-    " regexp_extract(c, '(\\d{1,2}):(\\d{2})', 1) as hour from d"
+    _DATES + ", f as (select rec_id, any_date, trim(coalesce(p, '')) t, coalesce(p, '') p from e), m as (select *, coalesce(" + _sql_found("p", _MAIL, 3, 2, 1, True) + r", try_cast(regexp_extract(t, '^(\d{4}-\d{2}-\d{2})', 1) as date)) mail from f)"
+    r" select rec_id, coalesce(case when regexp_matches(t, '^\d{4}-\d{2}-\d{2}$') then try_cast(t as date) end, " + _sql_found("t", _SHORT, 3, 2, 1, True) + ") report_date,"
+    r" regexp_matches(p, '(?i)\b(?:\d+|an?) (?:minute|hour|day|week)s? ago\b|\b(?:yesterday|today|just now)\b|\d+\s*(?:分钟|小时|天|周)前|刚刚|昨天|今天|前天') relative,"
+    r" case when regexp_matches(p, '\d{4}-\d\d-\d\d|\d{1,2}\s+[A-Za-z]+\s+\d{4}') then 3 when regexp_matches(p, '[A-Za-z]\s+\d{4}') then 2 when regexp_matches(p, '\d{4}') then 1 else 0 end::int date_precision,"
+    r" coalesce(year(mail), try_cast(nullif(regexp_extract(p, '(?:^|[^0-9A-Za-z_])(20\d{2})(?:$|[^0-9A-Za-z_])', 1), '') as int))::int year_of from m"
 )
 def date_features(spark, folder):
     c = F.coalesce("published_date", F.lit(""))
-    iso = F.try_to_date(F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), c), "yyyy-MM-dd")
-    return read(spark, folder, "parsers").select("rec_id", iso.alias("iso_only"), c.rlike(r"20\d{2}").alias("has_year"), F.regexp_extract(c, r"(\d{1,2}):(\d{2})", 1).alias("hour"))
+    return read(spark, folder, "parsers").select("rec_id", dates.report_date(c).alias("report_date"), dates.is_relative(c).alias("relative"), dates.precision(c).cast("int").alias("date_precision"), dates.year_of(c).alias("year_of"))
 
 
-@query("select host, count(*) pages, count(*) filter (where looks) articles from (select regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) host, regexp_matches(lower(url), '^[a-z]+://[^/]*[^?#]*(?:\\d{3,}|/20\\d{2}/|[a-z]+-[a-z]+-[a-z0-9]+|\\.s?html?$|/s/)') and not regexp_matches(lower(url), '/(?:tag|category|search|login|page)/|\\.(?:jpg|png|gif|css|js|pdf)$') looks from site_adapters where url is not null and not contains(url, '?') and not contains(url, '#')) group by 1")
+@query(
+    "with p as (select lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*:(?://)?([^/?#]*)', 1)) host, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*:(?://)?[^/?#]*([^?#]*)', 1)) pa from (select regexp_replace(url, '^\\s+|\\s+$', '', 'g') url from site_adapters where url is not null))"
+    " select host, count(*) pages, count(*) filter (where regexp_matches(pa, '\\d{3,}|/20\\d{2}/|[a-z]+-[a-z]+-[a-z0-9]+|\\.s?html?$|/s/') and not regexp_matches(pa, '/(?:tag|category|search|login|page)/|\\.(?:jpg|png|gif|css|js|pdf)$|^/?$')) articles from p group by 1"
+)
 def article_links(spark, folder):
-    rows = read(spark, folder, "site_adapters").where("url is not null and not contains(url, '?') and not contains(url, '#')")  # addresses of pages, as lists give them
+    rows = read(spark, folder, "site_adapters").where("url is not null")
     return rows.groupBy(urls.host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("pages"), F.count_if(urls.looks_like_article(F.col("url"))).alias("articles"))
 
 
@@ -159,12 +169,19 @@ def registry_chain(spark, folder):
     return rows.select("c_custkey", "n_name", "r_name", F.coalesce("orders", F.lit(0)).alias("orders"), F.round(F.coalesce("spent", F.lit(0.0)), 2).alias("spent"))
 
 
-@query(_R + " select period, count(*) n from (select strftime(d, '%Y-%m') as period from r where d is not null) group by 1")
-def periods(spark, folder):
-    return reports.frequency(regional(spark, folder).where("day is not null").withColumn("period", F.date_format("day", "yyyy-MM")), "period")
-
-
 def period_of_file(path: Column) -> Column:
     """The period "yyyy-MM" that a file's name carries, for tables read by file."""
     found = r"(20\d{2})[-_]?(0[1-9]|1[0-2])[^/]*$"
     return F.concat_ws("-", F.nullif(F.regexp_extract(path, found, 1), F.lit("")), F.nullif(F.regexp_extract(path, found, 2), F.lit("")))
+
+
+_PERIOD = r"(20\d{2})[-_]?(0[1-9]|1[0-2])[^/]*$"
+
+
+@query(
+    f"with f as (select rec_id, 'reports/2026/' || source_id || '_' || coalesce(replace(substr(collected_at, 1, 7), '-', ''), 'undated') || '.json' file from parsers), p as (select case when regexp_matches(file, '{_PERIOD}') then regexp_extract(file, '{_PERIOD}', 1) || '-' || regexp_extract(file, '{_PERIOD}', 2) else '' end as period from f) select period, count(*) n from p group by 1"
+)
+def periods(spark, folder):
+    """Files named by source and month, counted by the period in their names."""
+    name = F.concat(F.lit("reports/2026/"), "source_id", F.lit("_"), F.coalesce(F.replace(F.substring("collected_at", 1, 7), F.lit("-"), F.lit("")), F.lit("undated")), F.lit(".json"))
+    return reports.frequency(read(spark, folder, "parsers").select(period_of_file(name).alias("period")), "period")

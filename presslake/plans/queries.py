@@ -127,10 +127,10 @@ def signed_term_score(spark, folder):
 # --- scalars ---------------------------------------------------------------------------
 
 
-@query(f"select rec_id, {_SQUEEZE('title')} squeezed, lower(squeezed) lowered from parsers")
+@query(f"select rec_id, {_SQUEEZE('title')} squeezed, trim(regexp_replace(regexp_replace(lower({_SQUEEZE('title')}), '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s]', ' ', 'g'), '{_WS}', ' ', 'g')) plain from parsers")
 def norm_title(spark, folder):
-    c = text.squeeze(F.col("title"))
-    return read(spark, folder, "parsers").select("rec_id", c.alias("squeezed"), F.lower(c).alias("lowered"))
+    c = F.col("title")
+    return read(spark, folder, "parsers").select("rec_id", text.squeeze(c).alias("squeezed"), text.plain_title(c).alias("plain"))
 
 
 _BARE = lambda c: rf"regexp_replace(lower({_SQUEEZE(c)}), '[^\p{{L}}\p{{N}}_\s]', '', 'g')"
@@ -183,13 +183,16 @@ def url_parts(spark, folder):
     )
 
 
-@query()
+@query(
+    "with u as (select rec_id, regexp_replace(url, '^\\s+|\\s+$', '', 'g') l from site_adapters where url is not null), p as (select rec_id, regexp_extract(l, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)', 1) s, regexp_extract(l, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) h, regexp_extract(l, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) pa from u)"
+    " select rec_id, lower(s) || '://' || lower(h) || regexp_replace(coalesce(nullif(regexp_extract(regexp_extract(pa, '^(.*)/[^/]*$', 1), '^(.*/)[^/]*$', 1), ''), '/') || 'notice//7.html', '/{2,}', '/', 'g') || '?x=1' address from p"
+)
 def url_resolve(spark, folder):
     rows = read(spark, folder, "site_adapters").where("url is not null")
     return rows.select("rec_id", urls.page_address(urls.resolved(F.col("url"), F.lit("../notice//7.html?x=1#top"))).alias("address"))
 
 
-_HTML = r"regexp_replace(regexp_replace(regexp_replace(coalesce(content_html, ''), '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+_HTML = r"regexp_replace(coalesce(content_html, ''), '(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<[^>]+>', ' ', 'g')"
 
 
 @query(f"select rec_id, trim({_HTML}) plain, replace(replace(replace(replace(replace(coalesce(title, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;'), chr(39), '&#x27;') escaped from scripts")
@@ -268,3 +271,4 @@ def parse_dates_more(spark, folder):
 from presslake.plans import relational  # noqa: E402, F401  (adds its queries)
 from presslake.plans import outer  # noqa: E402, F401
 from presslake.plans import details  # noqa: E402, F401
+from presslake.plans import further  # noqa: E402, F401

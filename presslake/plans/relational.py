@@ -84,10 +84,9 @@ def category_and_tag(spark, folder):
     return rows.where(F.length(F.trim(F.coalesce("content_text", F.lit("")))) >= 200).select("rec_id", "source_category")
 
 
-@query("select rec_id, regexp_matches(coalesce(title, ''), '[\\x{3400}-\\x{9fff}\\x{f900}-\\x{faff}]') has_han, regexp_matches(coalesce(published_date, ''), '(?i)\\d+ (?:hours?|days?) ago|刚刚|昨天') relative from parsers")
+@query("select rec_id, regexp_matches(coalesce(title, ''), '[\\x{3400}-\\x{9fff}\\x{f900}-\\x{faff}]') has_han, regexp_matches(coalesce(body, ''), '[\\x{3400}-\\x{9fff}\\x{f900}-\\x{faff}]') body_han from parsers")
 def language_checks(spark, folder):
-    rel = F.coalesce("published_date", F.lit("")).rlike("(?i)\\d+ (?:hours?|days?) ago|刚刚|昨天")
-    return read(spark, folder, "parsers").select("rec_id", text.has_han(F.coalesce("title", F.lit(""))).alias("has_han"), rel.alias("relative"))
+    return read(spark, folder, "parsers").select("rec_id", text.has_han(F.coalesce("title", F.lit(""))).alias("has_han"), text.has_han(F.coalesce("body", F.lit(""))).alias("body_han"))
 
 
 @query(_R + " select rec_id, d as day from r where (d is null or d < date '2026-01-01') and coalesce(relevance, 'industry_only') <> 'none'")
@@ -438,25 +437,21 @@ def ledger_counts(spark, folder):
 
 @query("select * from (select source_name from scripts where batch_no = 0 intersect select source_name from scripts where batch_no > 0)")
 def source_intersection(spark, folder):
-    rows = read(spark, folder, "scripts")
-    return rows.where("batch_no = 0").select("source_name").intersect(rows.where("batch_no > 0").select("source_name"))
-
-
-@query("select article_id from scripts where batch_no = 0 and article_id is not null union select article_id from scripts where batch_no = 1 and article_id is not null")
-def seen_union(spark, folder):
-    """Keys of the history and of the first batch, as its SQL has them; see ``seen_union_all``."""
-    rows = read(spark, folder, "scripts").where("article_id is not null")
-    return rows.where("batch_no = 0").select("article_id").union(rows.where("batch_no = 1").select("article_id")).distinct()
+    rows = read(spark, folder, "scripts").select("batch_no", "source_name")
+    return records.keys_in_both(rows.where("batch_no = 0"), rows.where("batch_no > 0"), "source_name")
 
 
 @query("select article_id from scripts where batch_no = 0 and article_id is not null union select article_id from scripts where batch_no > 0 and article_id is not null")
 def seen_union_all(spark, folder):
     """Keys of the history and of all batches after it."""
-    rows = read(spark, folder, "scripts").where("article_id is not null")
-    return rows.where("batch_no = 0").select("article_id").union(rows.where("batch_no > 0").select("article_id")).distinct()
+    rows = read(spark, folder, "scripts").select("batch_no", "article_id")
+    return records.union_seen(rows.where("batch_no = 0"), rows.where("batch_no > 0"), "article_id")
+
+
+_TAGS = "list_filter(list_transform(coalesce(source_tags, []), lambda x: trim(x)), lambda x: x <> '')"
 
 
-@query("select rec_id, array_to_string(list_distinct(list_filter(list_transform(coalesce(source_tags, []), lambda x: trim(x)), lambda x: x <> '')), ',') is not null as ok, len(list_distinct(list_filter(list_transform(coalesce(source_tags, []), lambda x: trim(x)), lambda x: x <> '')))::int n from scripts")
+@query(f"select rec_id, len({_TAGS}) = 0 as no_tags, array_to_string(list_sort(list_distinct({_TAGS})), ',') tags from scripts")
 def list_dedup(spark, folder):
     tags = text.distinct_trimmed(F.col("source_tags"))
-    return read(spark, folder, "scripts").select("rec_id", F.array_join(tags, ",").isNotNull().alias("ok"), F.size(tags).alias("n"))
+    return read(spark, folder, "scripts").select("rec_id", (F.size(tags) == 0).alias("no_tags"), F.array_join(F.array_sort(tags), ",").alias("tags"))

@@ -13,14 +13,18 @@ from pyspark.sql.types import ArrayType, StructType
 CELL = 32_767
 
 
-def read_records(spark: SparkSession, path: str, schema: StructType | str, wrappers: tuple[str, ...] = ("records", "events")) -> DataFrame:
+def read_records(spark: SparkSession, path: str, schema: StructType | str, wrappers: tuple[str, ...] = ("records", "events"), lines: bool = False) -> DataFrame:
     """Objects of JSON documents that hold a list, or an object with a list under one
-    of ``wrappers``.  Elements that are no objects are dropped."""
-    texts = spark.read.text(path, wholetext=True)
+    of ``wrappers``.  Elements that are no objects are dropped.  With ``lines`` each line is
+    a document, which may be a single object too, and a file is read in many tasks;
+    else each file is one document."""
+    texts = spark.read.text(path, wholetext=not lines)
     kind = StructType.fromDDL(schema).simpleString() if isinstance(schema, str) else schema.simpleString()
     as_list = lambda c: F.from_json(c, "array<string>")  # noqa: E731  (elements as JSON text, of whatever kind)
     found = [F.when(F.ltrim("value").startswith("["), as_list(F.col("value")))]
     found += [as_list(F.get_json_object("value", f"$.{w}")) for w in wrappers]
+    if lines:
+        found.append(F.array("value"))
     elements = texts.select(F.explode(F.coalesce(*found)).alias("e")).where(F.ltrim("e").startswith("{"))
     return elements.select(F.from_json("e", kind).alias("r")).select("r.*")
 
@@ -79,6 +83,22 @@ def write_csv(frame: DataFrame, path: str) -> None:
     flat.withColumnRenamed(first, "﻿" + first).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def overwrite_with_backup(frame: DataFrame, path: str, stamp: str) -> str | None:
+    """Replaces the table at ``path`` and keeps what was there as path_backup_stamp; the new
+    one is written beside it first, so that a failure leaves the old one.  Returns the
+    backup's path, None if there was nothing.  An existing backup is an error."""
+    spark = frame.sparkSession
+    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    backup, fresh = f"{path.rstrip('/')}_backup_{stamp}", f"{path.rstrip('/')}_new_{stamp}"
+    if fs.exists(at(backup)):
+        raise FileExistsError(backup)
+    frame.write.mode("overwrite").parquet(fresh)
+    there = fs.exists(at(path)) and fs.rename(at(path), at(backup))
+    fs.rename(at(fresh), at(path))
+    return backup if there else None
+
+
 def append(frame: DataFrame, path: str) -> None:
     frame.write.mode("append").parquet(path)
 
@@ -143,6 +163,38 @@ def html_table(frame: DataFrame, title: str, most: int = 1000) -> str:
     return f'<!doctype html><meta charset="utf-8"><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table><tr>{head}</tr>{body}</table>'
 
 
+def reader_page(frame: DataFrame, title: str, most: int = 1000) -> str:
+    """A page that works offline: the rows as data, a field to filter by words and headings to
+    sort by.  Of a result that a reader can take in, refused beyond ``most`` rows."""
+    import json
+
+    rows = frame.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows")
+    data = json.dumps({"columns": frame.columns, "rows": [[None if v is None else str(v) for v in r] for r in rows]}, ensure_ascii=False).replace("</", "<\\/")
+    script = (
+        "const d=JSON.parse(document.getElementById('data').textContent),t=document.getElementById('t'),q=document.getElementById('q');let by=-1,up=1;"
+        "function show(){const w=q.value.toLowerCase().split(/\\s+/).filter(Boolean);let r=d.rows.filter(x=>w.every(y=>x.some(c=>(c||'').toLowerCase().includes(y))));"
+        "if(by>=0)r=[...r].sort((a,b)=>up*String(a[by]??'').localeCompare(String(b[by]??''),undefined,{numeric:true}));t.replaceChildren();"
+        "const h=t.insertRow();d.columns.forEach((c,i)=>{const e=document.createElement('th');e.textContent=c;e.onclick=()=>{up=by===i?-up:1;by=i;show()};h.append(e)});"
+        "r.forEach(x=>{const e=t.insertRow();x.forEach(c=>{e.insertCell().textContent=c??''})})}q.oninput=show;show();"
+    )
+    name = html.escape(title)
+    return f'<!doctype html><meta charset="utf-8"><title>{name}</title><h1>{name}</h1><input id="q"><table id="t"></table><script type="application/json" id="data">{data}</script><script>{script}</script>'
+
+
+def report_markdown(title: str, sections: dict[str, DataFrame], line: str, order: list[str], empty: str = "None.", most: int = 1000) -> str:
+    """A report: a heading, then per section its rows in ``order``, each as ``line`` with
+    {column} filled in; of what a reader can take in, refused beyond ``most`` rows a section."""
+    out = [f"# {title}"]
+    for heading, frame in sections.items():
+        rows = frame.orderBy(*order).limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} rows in {heading!r}")
+        out += ["", f"## {heading}", "", *([line.format(**{k: "" if v is None else v for k, v in r.asDict().items()}) for r in rows] or [empty])]
+    return "\n".join(out) + "\n"
+
+
 def replace_section(document: str, heading: str, text: str) -> str:
     """A Markdown document with one section replaced; an error unless it occurs exactly once."""
     import re
