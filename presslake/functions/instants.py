@@ -54,7 +54,7 @@ CHINESE_AM, CHINESE_PM = {"上午", "早上", "凌晨", "清晨", "早晨"}, {"
 _TOKEN = re.compile(
     r"[A-Za-z]+(?:/[A-Za-z_+\-0-9]+)+|\d+|上午|早上|凌晨|清晨|早晨|下午|晚上|傍晚|中午|(?:星期|周|週|礼拜)[一二三四五六日天]|[^\W\d_一-鿿]+|[一-鿿]|\s+|."
 )
-_UNITS = {"年": "Y", "月": "M", "日": "D", "号": "D", "號": "D", "时": "H", "時": "H", "点": "H", "點": "H", "分": "I", "秒": "S"}
+_UNITS = {"年": "Y", "月": "M", "日": "D", "号": "D", "號": "D", "时": "H", "時": "H", "点": "H", "點": "H", "分": "I", "秒": "S", "h": "H", "H": "H"}
 _DIGITS = {d: str(unicodedata.digit(chr(d))) for d in range(128, 0x1FBFA) if unicodedata.category(chr(d)) == "Nd"}
 _DIGITS |= {0x2212: "-", 0x2010: "-", 0x2011: "-", 0x2012: "-", 0x2013: "-"}
 
@@ -67,7 +67,7 @@ def fold(word: str) -> str:
 def word_class(word: str) -> str:
     """Class letter of a word: m month, w weekday, p half of the day, u UTC, T, Z,
     o ordinal ending, t/n/v the Vietnamese words for month, year and day, L zone
-    name, unit letters of Chinese dates, x anything else."""
+    name, W the mark of ISO weeks, unit letters of Chinese dates and of the hour, x anything else."""
     if "/" in word:
         return "L"
     if word in _UNITS:
@@ -80,6 +80,8 @@ def word_class(word: str) -> str:
         return "T"
     if word in ("Z", "z"):
         return "Z"
+    if word == "W":
+        return "W"
     f = fold(word)
     if word.upper() in ("UTC", "UT", "GMT"):
         return "u"
@@ -122,7 +124,7 @@ def mask_of(tokens: list[str]) -> str:
 _TIME = (
     r"(?:(?P<h>99?):(?P<mi>99)(?::(?P<s>99)(?:[.,](?P<f>9+))?)?(?: ?(?P<p>p))?"
     r"|(?P<p2>p) ?(?P<h2>99?)(?::(?P<mi2>99)(?::(?P<s2>99))?|H ?(?:(?P<mi3>99?)I ?(?:(?P<s3>99?)S)?)?)"
-    r"|(?P<h4>99?)H ?(?:(?P<mi4>99?)I? ?(?:(?P<s4>99?)S)?)?)"
+    r"|(?P<h4>99?)H ?(?:(?P<mi4>99?)I? ?(?:(?P<s4>99?)S)?)?|(?P<h5>99?)(?:\.(?P<mi5>99))? ?(?P<p5>p))"
 )
 _ZONE = (
     r"(?: ?(?:(?P<zz>Z)|(?P<sg>[+-])(?P<oh>99?):?(?P<om>99)?|(?P<oc>[+-]9999)|u ?(?P<sg2>[+-])(?P<oh2>99?)(?::?(?P<om2>99))?|(?P<u>u)|(?P<abb>[xmw])|(?P<loc>L))"
@@ -134,10 +136,12 @@ _DATE = (
     r"|(?P<d3>99?)o?(?: x)?[ .\-/]{1,2}(?P<m3>m)[ .,\-/]{1,2}(?P<y3>9999|99)"
     r"|(?P<m4>m)\.?[ -](?P<d4>99?)o?(?:, ?| |-)(?P<y4>9999)"
     r"|(?:v )?(?P<d5>99?) t (?P<mo5>99?)(?:, ?| n | )(?P<y5>9999)"
+    r"|(?P<wy>9999)-W(?P<ww>99)-(?P<wd>9)|(?P<wy2>9999)W(?P<wc>999)"
     r"|(?P<a>99?)(?P<sep2>[-/.])(?P<b>99?)(?P=sep2)(?P<c>9999|99))"
 )
 _FULL = re.compile(rf"(?:x[ :.]*)*(?:w[,.]? ?)?(?:{_DATE})(?: ?w)?(?:(?:[T ,]| , ?|, | T ?| - ?| x )?{_TIME})?{_ZONE}\Z")
 _COMPACT = re.compile(r"(?:x[ :.]*)*(?P<cd>99999999)(?:[T ]?(?P<ct>999999|9999)(?:[.,](?P<cf>9+))?)?" + _ZONE + r"\Z")
+_TIME_FIRST = re.compile(rf"(?:x[ :.]*)*{_TIME}(?:,? | ?- ?| x )(?:w[,.]? ?)?(?:{_DATE}){_ZONE}\Z")
 _EPOCH = re.compile(r"(?P<e>9{10}|9{13}|9{16}|9{19})(?:\.(?P<ef>9+))?\Z")
 
 
@@ -147,7 +151,7 @@ def plan_for(mask: str) -> dict | None:
     m = None
     if re.fullmatch(r"9{12}|9{14}", mask):
         return {"cd": (0, 0, 8), "ct": (0, 8, len(mask))}
-    for pattern in (_EPOCH, _COMPACT, _FULL):
+    for pattern in (_EPOCH, _COMPACT, _FULL, _TIME_FIRST):
         if m := pattern.match(mask):
             break
     if not m:
@@ -184,7 +188,25 @@ def month_length(y: np.ndarray, m: np.ndarray) -> np.ndarray:
     return ((months + 1).astype("datetime64[D]") - months.astype("datetime64[D]")).astype(np.int64)
 
 
-FIRST_YEAR, LAST_YEAR = 1900, 2100
+#: Years in which transitions are tabled; no zone changed before, and after them its last rules go on.
+FIRST_YEAR, LAST_YEAR = 1840, 2100
+
+
+def _new_year(years: np.ndarray) -> np.ndarray:
+    one = np.ones(len(years), np.int64)
+    return days_from_civil(years, one, one) * 86400
+
+
+def _same_days(years: np.ndarray) -> np.ndarray:
+    """For each year the last tabled one with the same length and first weekday."""
+    kind = lambda y: _new_year(y) // 86400 % 7 * 2 + (month_length(y, np.full(len(y), 2)) == 29)
+    tabled = np.arange(LAST_YEAR - 28, LAST_YEAR)
+    last = np.zeros(14, np.int64)
+    last[kind(tabled)] = tabled
+    return last[kind(years)]
+
+
+_LAST_WALL = int(_new_year(np.array([LAST_YEAR]))[0])
 
 
 class ZoneTable:
@@ -223,6 +245,11 @@ class ZoneTable:
         self.local, self.offsets = np.array(local, np.int64), np.array(offsets, np.int64)
 
     def offset_at(self, wall: np.ndarray) -> np.ndarray:
+        late = wall >= _LAST_WALL
+        if late.any():  # the year with the same days of the week among the last of the table
+            years = (wall[late] // 86400).astype("datetime64[D]").astype("datetime64[Y]").astype(np.int64) + 1970
+            wall = wall.copy()
+            wall[late] += _new_year(_same_days(years)) - _new_year(years)
         return self.offsets[np.searchsorted(self.local, wall, side="right")]
 
 
@@ -350,13 +377,13 @@ def _convert(plan: dict, rows: list[list[str]], zones, orders, calendars) -> tup
                 ok &= np.isin(order, ["dmy", "mdy"])
             short_year = np.full(n, short)
         else:
-            y, d = num("y", "y2", "y3", "y4", "y5"), num("d", "d2", "d3", "d4", "d5")
+            y, d = num("y", "y2", "y3", "y4", "y5", "wy", "wy2"), num("d", "d2", "d3", "d4", "d5")
             months = raw("m3", "m4")
             mo = num("mo", "mo2", "mo5") if months is None else np.array([MONTHS[fold(v)] for v in months], np.int64)
             short_year = np.full(n, "y3" in plan and len(rows[0][plan["y3"][0]]) == 2)
         y = np.where(short_year, y + 2000, y)
-        h, mi, s = num("h", "h2", "h4"), num("mi", "mi2", "mi3", "mi4"), num("s", "s2", "s3", "s4")
-        half = raw("p", "p2")
+        h, mi, s = num("h", "h2", "h4", "h5"), num("mi", "mi2", "mi3", "mi4", "mi5"), num("s", "s2", "s3", "s4")
+        half = raw("p", "p2", "p5")
     y = np.where(buddhist & (y >= 2400), y - 543, y)
     if half is not None:
         latin = np.array([v[0].lower() in "ap" for v in half])
@@ -366,10 +393,23 @@ def _convert(plan: dict, rows: list[list[str]], zones, orders, calendars) -> tup
         h = np.where(h > 12, h, h % 12 + 12 * pm)
     frac = raw("f", "cf")
     micros = np.zeros(n, np.int64) if frac is None else _fraction(frac)
-    ok &= (y >= FIRST_YEAR) & (y < LAST_YEAR) & (mo >= 1) & (mo <= 12) & (h < 24) & (mi < 60) & (s < 60)
+    week = None
+    if "wy" in plan or "wy2" in plan:
+        week, day = (num("wc") // 10, num("wc") % 10) if "wc" in plan else (num("ww"), num("wd"))
+        mo, d = np.ones(n, np.int64), np.ones(n, np.int64)
+    midnight = (h == 24) & (mi == 0) & (s == 0) & (micros == 0)  # the end of a day
+    ok &= (y >= 1) & (mo >= 1) & (mo <= 12) & ((h < 24) | midnight) & (mi < 60) & (s < 60)
     y, mo = np.where(ok, y, 2000), np.where(ok, mo, 1)
     ok &= (d >= 1) & (d <= month_length(y, mo))
-    wall = days_from_civil(y, mo, np.where(ok, d, 1)) * 86400 + h * 3600 + mi * 60 + s
+    days = days_from_civil(y, mo, np.where(ok, d, 1))
+    if week is not None:  # the first week is that of January 4th
+        four = days + 3
+        first = four - (four + 3) % 7
+        after = days_from_civil(y + 1, mo, mo) + 3
+        weeks = (after - (after + 3) % 7 - first) // 7
+        ok &= (week >= 1) & (week <= weeks) & (day >= 1) & (day <= 7)
+        days = first + (week - 1) * 7 + day - 1
+    wall = days * 86400 + h * 3600 + mi * 60 + s
     offset = np.zeros(n, np.int64)
     if "zz" in plan or ("u" in plan and "sg2" not in plan and "abb" not in plan):
         words = raw("zz", "u")
@@ -408,13 +448,13 @@ def to_micros(texts, zones, orders, calendars) -> tuple[np.ndarray, np.ndarray]:
     micros, ok = np.zeros(n, np.int64), np.zeros(n, bool)
     groups: dict[str, tuple[list[int], list[list[str]]]] = {}
     for i, t in enumerate(texts):
-        if isinstance(t, str) and 6 <= len(t) <= 200:
+        if isinstance(t, str) and len(t) >= 6:  # no date is shorter
             tokens = tokens_of(t)
             where, rows = groups.setdefault(mask_of(tokens), ([], []))
             where.append(i)
             rows.append(tokens)
     for mask, (where, rows) in groups.items():
-        if plan := plan_for(mask):
+        if plan := plan_for(mask) if len(mask) <= 200 else plan_for.__wrapped__(mask):  # long masks are not remembered
             w = np.array(where)
             micros[w], ok[w] = _convert(plan, rows, [zones[i] for i in where], [orders[i] for i in where], [calendars[i] for i in where])
     return micros, ok

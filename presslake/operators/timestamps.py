@@ -5,6 +5,7 @@ See :mod:`presslake.functions.instants` for the reading of one batch."""
 from __future__ import annotations
 
 from functools import reduce
+from zoneinfo import available_timezones
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,8 +27,7 @@ def normalise_timestamps(tables: dict[str, tuple[DataFrame, str, str]], registry
 
     Rows without a readable, existing date are left out: null, blank or unreadable
     text, impossible dates, a year alone, and text without zone whose source is
-    null or unknown.  Rows without rec_id are left out.  Texts over
-    200 characters are no timestamps.  Repeated rows
+    null or unknown.  Rows without rec_id are left out.  Repeated rows
     each give their row; columns of the tables beyond the named ones are not read.
     Only columns needed are scanned and nothing is shuffled but, if large, the
     registry join.  Zone transitions are tabled on the
@@ -41,8 +41,8 @@ def normalise_timestamps(tables: dict[str, tuple[DataFrame, str, str]], registry
         ).where(F.col("rec_id").isNotNull() & (F.length("text") >= 6))
         zones = registry.where(F.col(source).isNotNull()).select(F.col(source).alias("source"), "time_zone", "date_order", "calendar").dropDuplicates(["source"])
         parts.append(rows.join(zones, "source", "left").select("table_name", "rec_id", "text", "time_zone", "date_order", "calendar"))
-    # Zone names are those of the zone database, some hundreds at most.
-    named = registry.select("time_zone").where("time_zone is not null").distinct().limit(5000).collect()
+    # Of the registry's zone names those that the zone database has, some hundreds at most.
+    named = registry.where(F.col("time_zone").isin(sorted(available_timezones()))).select("time_zone").distinct().collect()
     shipped = registry.sparkSession.sparkContext.broadcast(build_tables(r[0] for r in named))
 
     def read(batches):

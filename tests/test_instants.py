@@ -40,6 +40,17 @@ def read(text, zone=None, order=None, calendar="gregorian"):
         ("27 tháng 12, 2025", "Asia/Ho_Chi_Minh", "dmy", "2025-12-26T17:00:00"),
         ("Publié le 1er octobre 2026", "Europe/Paris", "dmy", "2026-09-30T22:00:00"),
         ("2024-04-26 19:36:16 UTC+9:30", None, None, "2024-04-26T10:06:16"),
+        ("2026-07-06 24:00:00", "Europe/London", "dmy", "2026-07-06T23:00:00"),
+        ("6 juillet 2026 à 14h30", "Europe/Paris", "dmy", "2026-07-06T12:30:00"),
+        ("12:30 06/07/2026", "Europe/Paris", "dmy", "2026-07-06T10:30:00"),
+        ("6 July 2026, 9.30am", "Europe/London", "dmy", "2026-07-06T08:30:00"),
+        ("6 July 2026 9 pm", "Europe/London", "dmy", "2026-07-06T20:00:00"),
+        ("2026-W28-1", "Europe/London", "dmy", "2026-07-05T23:00:00"),
+        ("2026W281T10:00Z", None, None, "2026-07-06T10:00:00"),
+        ("12 April 1899", "Europe/London", "dmy", "1899-04-12T00:00:00"),
+        ("2150-07-06 12:00", "Europe/Paris", "dmy", "2150-07-06T10:00:00"),
+        ("2150-01-06 12:00", "America/New_York", "mdy", "2150-01-06T17:00:00"),
+        ("word " * 60 + "2026-05-05 10:00Z", None, None, "2026-05-05T10:00:00"),
         # twice: the first; skipped: moved by the gap
         ("2025-11-02 01:30", "America/New_York", "mdy", "2025-11-02T05:30:00"),
         ("2025-03-09 02:30", "America/New_York", "mdy", "2025-03-09T07:30:00"),
@@ -52,10 +63,10 @@ def test_notations(text, zone, order, want):
 
 def test_buddhist_years():
     assert read("17 July 2568", "Asia/Bangkok", "dmy", "buddhist") == "2025-07-16T17:00:00"
-    assert read("17 July 2568", "Asia/Bangkok", "dmy") is None
+    assert read("17 July 2568", "Asia/Bangkok", "dmy") == "2568-07-16T17:00:00"
 
 
-@pytest.mark.parametrize("text", [None, "", "  ", "2026年", "2026", "Undated", "2026-02-30", "31/11/2025", "99:99", "0000-00-00T00:00:00Z", "20 Smarch 2025", "2025-13-05 08:00", "n/a", "x" * 5000])
+@pytest.mark.parametrize("text", [None, "", "  ", "2026年", "2026", "Undated", "2026-02-30", "31/11/2025", "99:99", "0000-00-00T00:00:00Z", "20 Smarch 2025", "2025-13-05 08:00", "2026-W54-1", "2026-W10-8", "2026-07-06 24:01", "n/a", "x" * 5000])
 def test_no_timestamp(text):
     assert read(text, "Europe/London", "dmy") is None
 
