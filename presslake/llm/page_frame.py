@@ -6,24 +6,34 @@ short items between separators or of menu words; requests to the reader and
 notices of the site count as links.  The second gives ambiguous short lines the
 label of the nearest decided neighbours: title-like lines after the heading of a
 list of other articles belong to that list, a short line between two lines of the
-frame is of the frame, other short lines are subheadings."""
+frame is of the frame, other short lines are subheadings.
+
+Words and forms are known for some languages only.  For all others the corpus itself
+decides: a line that pages of many titles of one source have, word for word, in the
+block at their top or bottom, counts as link text there (:func:`recurring`).  Counts are over
+all pages; only hashes of lines are shuffled, never texts."""
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+from presslake.session import cut_lineage, if_small
 
 # Stop words of the languages, for density in running text.
 STOP_WORDS = set(
     """the of a an and in for to by at from with that was were is are has had as on once so no after since under their its
     le la les de des du un une et en à pour par sur dans est a ont été que qui au aux avec après
     dan di ke untuk daripada oleh pada yang dengan adalah telah akan itu ini dalam selepas kerana
-    và của cho các những tại do là đã được với trong sau khi theo bằng để từ một vì nhằm""".split()
+    và của cho các những tại do là đã được với trong sau khi theo bằng để từ một vì nhằm
+    der die das und den dem des ein eine einer im mit von für auf ist sind wird wurde nicht auch nach bei zum zur
+    el los las del y que en con por para una se su es fue son como más al o sobre desde""".split()
 )
 # Words and phrases of menus; a line of nothing else is a menu.
 MENU = set(
@@ -176,27 +186,44 @@ def _first_pass(line: str, title: str) -> int:
     return TITLE if len(words) >= 6 or len(words) >= 4 and inner else SHORT
 
 
-def frame_lines(text: str | None, title: str | None = None) -> list[int]:
-    """Numbers, from 1, of the lines of ``text`` that belong to the page around it."""
-    if not text:
-        return []
-    lines = text.split("\n")
-    kinds = [_first_pass(line, (title or "").strip()) for line in lines]
+# A line's code: its kind and what else the second pass asks of it.
+_BULLETED, _MARKED, _POINTED = 8, 16, 32
+
+
+def line_codes(text: str, title: str | None = None) -> list[int]:
+    """Codes of the lines of a text: the result of the first pass."""
+    out, head = [], (title or "").strip()
+    for line in text.split("\n"):
+        out.append(_first_pass(line, head) + _BULLETED * bool(_BULLET.match(line)) + _MARKED * bool(_MARK.match(line)) + _POINTED * line.lstrip().startswith(("»", "›")))
+    return out
+
+
+def labels_of(codes: list[int], again: set[int] = frozenset()) -> list[int]:
+    """Numbers, from 1, of the lines of the frame: the second pass over line codes.
+    ``again`` are the numbers of lines that recur in their source."""
+    kinds = [c & 7 for c in codes]
+    if again:  # from either end, as long as nothing but lines of the frame was met
+        for order in (range(len(kinds)), range(len(kinds) - 1, -1, -1)):
+            for i in order:
+                if i + 1 in again and kinds[i] not in (HEADING, BLANK):
+                    kinds[i] = FRAME
+                elif kinds[i] not in (FRAME, BLANK):
+                    break
     labels = kinds.copy()
     in_list = False
     for i, kind in enumerate(kinds):
         if kind == HEADING:
             in_list, labels[i] = True, FRAME
         elif kind == TITLE:
-            labels[i] = FRAME if in_list or lines[i].lstrip().startswith(("»", "›")) else OWN
+            labels[i] = FRAME if in_list or codes[i] & _POINTED else OWN
         elif kind == SHORT:
-            in_list = in_list and bool(_MARK.match(lines[i]))
+            in_list = in_list and bool(codes[i] & _MARKED)
             labels[i] = FRAME if in_list else SHORT
         elif kind in (OWN, FRAME):
-            in_list = in_list and kind == OWN and bool(_BULLET.match(lines[i]))
+            in_list = in_list and kind == OWN and bool(codes[i] & _BULLETED)
     after = OWN
-    following = [OWN] * len(lines)
-    for i in range(len(lines) - 1, -1, -1):
+    following = [OWN] * len(labels)
+    for i in range(len(labels) - 1, -1, -1):
         following[i] = after
         after = labels[i] if labels[i] in (OWN, FRAME) else after
     before = OWN
@@ -208,43 +235,92 @@ def frame_lines(text: str | None, title: str | None = None) -> list[int]:
     return [i for i, x in enumerate(labels, 1) if x == FRAME]
 
 
-def _found(batches):
+def frame_lines(text: str | None, title: str | None = None, again: set[int] = frozenset()) -> list[int]:
+    """Numbers, from 1, of the lines of ``text`` that belong to the page around it."""
+    return labels_of(line_codes(text, title), again) if text else []
+
+
+#: Titles of a source, and their share in it, whose pages must have a line for it to recur.
+MIN_TITLES, MIN_SHARE = 8, 0.05
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(text.split()).casefold().encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _coded(batches):
+    for b in batches:
+        codes = [line_codes(text, title) for text, title in zip(b["text"], b["title"])]
+        hashes = [[0 if not line.strip() else _hash(line) for line in text.split("\n")] for text in b["text"]]
+        yield pd.DataFrame({"table_name": b["table_name"].tolist(), "rec_id": b["rec_id"].to_numpy(), "source": pd.Series(b["source"].tolist(), dtype=object), "title": [_hash(t or "") for t in b["title"]], "codes": [bytes(c) for c in codes], "lines": hashes})
+
+
+def _pages(tables: dict[str, tuple[DataFrame, str]], source: str) -> DataFrame:
+    rows = None
+    for name, (frame, column) in tables.items():
+        where = F.col(source).cast("string") if source in frame.columns else F.lit(None).cast("string")
+        part = frame.select(F.lit(name).alias("table_name"), F.col("rec_id").cast("bigint").alias("rec_id"), where.alias("source"), "title", F.col(column).alias("text")).where("text <> '' and rec_id is not null")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def recurring(coded: DataFrame, min_titles: int = MIN_TITLES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(table_name, source, line) of lines that pages of at least ``min_titles`` different
+    titles of a source have, and ``min_share`` of its titles.  Pages without source have
+    none.  Rows are counted first, and titles only for lines of enough rows."""
+    key = ["table_name", "source"]
+    known = coded.where("source is not null")
+    titles = known.select(*key, "title").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("titles"))
+    lines = known.select(*key, "title", F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
+    often = lines.groupBy(*key, "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_titles).select(*key, "line")
+    exact = lines.join(often, [*key, "line"]).distinct().groupBy(*key, "line").agg(F.count(F.lit(1)).alias("n"))
+    return exact.where(F.col("n") >= min_titles).join(titles, key).where(F.col("n") >= F.col("titles") * min_share).select(*key, "line")
+
+
+def _labelled(batches):
     for b in batches:
         recs, tables, numbers = [], [], []
-        for table, rec, title, text in zip(b["table_name"], b["rec_id"], b["title"], b["text"]):
-            for n in frame_lines(text, title):
+        for table, rec, codes, again in zip(b["table_name"], b["rec_id"], b["codes"], b["again"]):
+            for n in labels_of(list(codes), set() if again is None else set(again)):
                 tables.append(table)
                 recs.append(rec)
                 numbers.append(n)
-        yield pd.DataFrame({"table_name": tables, "rec_id": np.array(recs, np.int64), "line_no": np.array(numbers, np.int32)})
+        if recs:
+            yield pd.DataFrame({"table_name": tables, "rec_id": np.array(recs, np.int64), "line_no": np.array(numbers, np.int32)})
 
 
-def page_frame(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+def page_frame(tables: dict[str, tuple[DataFrame, str]], source: str = "source_name", **limits) -> DataFrame:
     """(table_name, rec_id, line_no) of lines of the page frame.
 
-    ``tables`` maps a name to (frame, text column); frames need rec_id and title.
+    ``tables`` maps a name to (frame, text column); frames need rec_id and title, and the
+    column ``source`` if lines that recur in a source are to count.
     Lines are the pieces between line feeds, from 1; blank ones are no cases.  Null
-    and empty texts and rows without rec_id give nothing; a null title is no line.  Nothing is shuffled."""
-    rows = None
-    for name, (frame, column) in tables.items():
-        part = frame.select(F.lit(name).alias("table_name"), F.col("rec_id").cast("bigint").alias("rec_id"), "title", F.col(column).alias("text")).where("text <> '' and rec_id is not null")
-        rows = part if rows is None else rows.unionByName(part)
-    return rows.mapInPandas(_found, "table_name string, rec_id bigint, line_no int")
+    and empty texts and rows without rec_id give nothing; a null title is no line.
+    Repeated rows give their lines each."""
+    schema = "table_name string, rec_id bigint, source string, title bigint, codes binary, lines array<bigint>"
+    coded = cut_lineage(_pages(tables, source).mapInPandas(_coded, schema))
+    key = ["table_name", "rec_id"]
+    found = cut_lineage(recurring(coded, **limits))
+    spread = coded.where("source is not null").select(*key, "source", F.posexplode("lines").alias("at", "line"))
+    again = spread.join(if_small(found, 40), ["table_name", "source", "line"]).groupBy(*key).agg(F.collect_set(F.col("at") + 1).alias("again"))  # lines of one page
+    return coded.select(*key, "codes").join(again, key, "left").mapInPandas(_labelled, "table_name string, rec_id bigint, line_no int")
 
 
 def main_text(text: str | None, title: str | None = None) -> str | None:
     """``text`` without the lines of the page frame."""
-    if not text:
-        return text
-    cut = set(frame_lines(text, title))
-    return "\n".join(line for i, line in enumerate(text.split("\n"), 1) if i not in cut)
+    return _without(text, set(frame_lines(text, title))) if text else text
 
 
-def main_texts(frame: DataFrame, text: str, out: str = "own_text") -> DataFrame:
-    """``frame`` with ``out``: the column ``text`` without the lines of the page frame.
-    Needs title; null and empty texts stay."""
+def _without(text: str, cut: set[int]) -> str:
+    return "\n".join(line for i, line in enumerate(text.split("\n"), 1) if i not in cut)
 
-    def cut(texts: pd.Series, titles: pd.Series) -> pd.Series:
-        return pd.Series([main_text(t, title) for t, title in zip(texts, titles)], dtype=object)
 
-    return frame.withColumn(out, F.pandas_udf(cut, StringType())(F.col(text), F.col("title")))
+def main_texts(tables: dict[str, tuple[DataFrame, str]], source: str = "source_name", **limits) -> DataFrame:
+    """(table_name, rec_id, own_text): the texts of :func:`page_frame`'s tables without the
+    lines of the page frame; null and empty texts stay.  Rows of one rec_id get the cuts of all of them."""
+    cut = page_frame(tables, source, **limits).groupBy("table_name", "rec_id").agg(F.collect_set("line_no").alias("cut"))
+    rows = reduce(DataFrame.unionByName, [f.where("rec_id is not null").select(F.lit(name).alias("table_name"), F.col("rec_id").cast("bigint").alias("rec_id"), F.col(c).alias("text")) for name, (f, c) in tables.items()])
+    lines = F.split(F.col("text"), "\n", -1)
+    own = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("cut", (i + 1).cast("int"))), "\n")
+    joined = rows.join(cut, ["table_name", "rec_id"], "left")
+    return joined.select("table_name", "rec_id", F.when(F.col("cut").isNull(), F.col("text")).otherwise(own).alias("own_text"))

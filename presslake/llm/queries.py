@@ -75,9 +75,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 def p7_texts(spark: SparkSession, folder: str) -> DataFrame:
     from presslake.llm.page_frame import main_texts
 
-    pages = _read(spark, folder, "site_adapters").select(F.lit("site_adapters").alias("table_name"), "rec_id", "title", F.col("body").alias("text"))
-    lists = _read(spark, folder, "parsers").select(F.lit("parsers").alias("table_name"), "rec_id", "title", F.col("list_text").alias("text"))
-    return main_texts(pages.unionByName(lists), "text").select("table_name", "rec_id", "own_text")
+    return main_texts({"site_adapters": (_read(spark, folder, "site_adapters"), "body"), "parsers": (_read(spark, folder, "parsers"), "list_text")})
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:

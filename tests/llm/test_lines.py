@@ -95,4 +95,24 @@ def test_page_frame_operator(spark):
     got = page_frame({"site_adapters": (rows, "body")}).collect()
     assert [tuple(x) for x in got] == [("site_adapters", 1, 1)] * 2
     assert page_frame({"site_adapters": (rows.limit(0), "body")}).count() == 0
-    assert [x.own_text for x in main_texts(rows.where("rec_id < 4"), "body").orderBy("rec_id").collect()] == ["x", "x", None, ""]
+    assert [x.own_text for x in main_texts({"t": (rows.where("rec_id < 4"), "body")}).orderBy("rec_id").collect()] == ["x", "x", None, ""]
+
+
+GERMAN = ["Startseite", "Über uns", "Unsere Leistungen im Überblick", "Wir verwenden Cookies, damit Sie unsere Seiten gut nutzen können.", None, "Beitrag weiterempfehlen", "Impressum und Datenschutz", "Alle Rechte vorbehalten, Musterverlag in Beispielstadt"]
+SPANISH = ["Inicio", "Quiénes somos", "Ámbitos de trabajo y proyectos", None, "Compartir esta página con sus colegas", "Utilizamos cookies propias y de terceros para mejorar nuestros servicios.", "Aviso legal", "Suscríbase a nuestro boletín semanal"]
+
+
+def test_lines_that_recur_in_a_source_of_any_language(spark):
+    rows, want = [], set()
+    for k, page in enumerate((GERMAN, SPANISH)):
+        for i in range(12):
+            own = [f"Meldung {i}", f"Der Hersteller meldet Vorgang {i}.", "Hintergrund", f"Die Prüfung {i} dauert an."]
+            lines = [x for part in page for x in (own if part is None else [part])]
+            rows.append((100 * k + i, f"Meldung {i}", f"s{k}", "\n".join(lines)))
+            want |= {(100 * k + i, n) for n, x in enumerate(lines, 1) if x in page}
+    rows += [(500 + i, "same title", "s2", "Startseite\nText") for i in range(20)]  # copies of one page tell nothing
+    frame = spark.createDataFrame(rows, "rec_id bigint, title string, source_name string, body string")
+    got = {(r.rec_id, r.line_no) for r in page_frame({"t": (frame, "body")}).collect()}
+    assert got == want
+    no_source = page_frame({"t": (frame.drop("source_name"), "body")}).collect()
+    assert {(r.rec_id, r.line_no) for r in no_source} < want
