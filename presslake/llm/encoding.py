@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published word pattern of the vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words remembered per worker; beyond it the memory is emptied, never the result changed.
-REMEMBERED = 400_000
+#: Words, and pairs of tokens, remembered per worker; beyond it the memory is emptied, never the result changed.
+REMEMBERED, REMEMBERED_PAIRS = 400_000, 2_000_000
 
 
 class ByteBpe:
@@ -127,6 +127,8 @@ class ByteBpe:
     def encode_batch(self, texts) -> list[list[int]]:
         if len(self.words) > REMEMBERED:
             self.words.clear()
+        if len(self.pairs) > REMEMBERED_PAIRS:
+            self.pairs.clear()
         cut = [self.split(t) if t else [] for t in texts]
         known = self.words
         if new := list({w for words in cut for w in words if w not in known}):

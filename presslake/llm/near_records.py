@@ -79,7 +79,8 @@ def ngram_sets(rows: DataFrame, n: int = 4) -> DataFrame:
             for i, j in text_slices(texts):
                 sets = [ngram_set(t, n) for t in texts[i:j]]
                 kept = [k for k, s in enumerate(sets) if len(s)]
-                yield pd.DataFrame({"rec_id": recs[i:j][kept], "grams": [sets[k] for k in kept]})
+                if kept:
+                    yield pd.DataFrame({"rec_id": recs[i:j][kept], "grams": [sets[k] for k in kept]})
 
     return rows.mapInPandas(build, "rec_id bigint, grams array<bigint>")
 

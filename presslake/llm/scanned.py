@@ -3,7 +3,8 @@
 Three kinds of noise are found and repaired:
 
 * ``drop``: lines of the page frame, by form (page numbers, also misread), by
-  repetition of edge lines within the record and by likeness to its title;
+  repetition of edge lines within the record, by likeness to its title, and by
+  repetition at the edges of records of many titles of one source (:func:`edge_forms`);
 * ``fix``: words with misread characters.  Words that scans have and clean texts
   don't are joined in SQL with frequent words: the difference of two anagram
   hashes (sums over characters, so order doesn't matter) must be that of one or
@@ -20,10 +21,11 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslake.session import cut_lineage
+from presslake.session import cut_lineage, if_small
 
 # What a scan reads and what may have stood there.
 CONFUSIONS = [
@@ -38,14 +40,23 @@ HAN_CONFUSIONS = [
 _HAN_READ = "".join(sorted({a for a, _ in HAN_CONFUSIONS}))
 _HAN_BOTH = "".join(sorted({c for p in HAN_CONFUSIONS for c in p}))
 SIGNS = "-¬­‐‑"
-LONGEST = 60  # letters of a word that can be corrected; longer runs are no words
+EDGE = 3  # lines at either end of a record that can be its header or footer
+MIN_TITLES, MIN_SHARE = 8, 0.05  # titles of a source, and their share, whose records must have a header or footer
+LONGEST_HEADER = 140  # characters; a longer line is no header for a word in it
 RATIO = 2  # a correction occurs in clean texts at least so many times as often as the misread word in scans
 
 
+_WORD_SPAN = 1 << 64
+
+
+def _signed(x: int) -> int:
+    """Modulo 2 to the power 64, as a signed number; differences stay exact in it."""
+    return (x + (1 << 63)) % _WORD_SPAN - (1 << 63)
+
+
 def anagram_hash(word: str) -> int:
-    """Sum of fourth powers of code points (modulo a prime), the same for all orders.  Words are
-    short, so that differences stay exact within 64 bits."""
-    return sum(pow(ord(c) % 9973, 4) for c in word)
+    """Sum of fourth powers of code points (each modulo a prime), the same for all orders."""
+    return _signed(sum(pow(ord(c) % 9973, 4) for c in word))
 
 
 _SINGLE = [(r, anagram_hash(t) - anagram_hash(r)) for r, t in CONFUSIONS + HAN_CONFUSIONS]
@@ -59,7 +70,7 @@ def reachable_hashes(word: str) -> set[int]:
     for (r, d), (q, e) in combinations_with_replacement(steps, 2):
         if r != q or word.count(r) > 1:
             out.add(own + d + e)
-    return out - {own}
+    return {_signed(x) for x in out} - {own}
 
 
 # Every character spelled out in the strokes it may be read as, so that a word and its misreadings are spelled alike.
@@ -88,7 +99,7 @@ _HEADER_WORDS = re.compile(r"(?i)\bbulletin\s+\w+\Z|\bnewsletter\b|\|\s*\S+\s+dr
 
 def is_page_number(line: str) -> bool:
     text = line.strip()
-    m = _PAGE_NUMBER.fullmatch(text) if len(text) <= 60 else None
+    m = _PAGE_NUMBER.fullmatch(text)
     if not m:
         return False
     if bare := m.group("d"):
@@ -102,14 +113,31 @@ def _skeleton(line: str) -> str:
     return re.sub(r"[\W_]+", "", reading(_TAIL.sub("", line.strip())))
 
 
-def frame_of(lines: list[str], title: str) -> set[int]:
-    """Indices of the lines of the page frame."""
+def _edges(lines: list[str]) -> set[int]:
+    own = [i for i, line in enumerate(lines) if line.strip()]
+    return {*own[:EDGE], *own[-EDGE:]}
+
+
+def edge_form(line: str) -> int | None:
+    """A hash of the letters of a line that can be a header or footer, however it was
+    misread and numbered; None for sentences and lines of few letters."""
+    text = line.strip()
+    letters = _skeleton(re.sub(r"(?<![^\W\d_])\d+(?![^\W\d_])", " ", text))
+    if len(letters) < 4 or _END.search(_TAIL.sub("", text)):
+        return None
+    return _signed(xxhash.xxh3_64_intdigest(letters.encode("utf-8", "surrogatepass")))
+
+
+def frame_of(lines: list[str], title: str, known: set[int] = frozenset()) -> set[int]:
+    """Indices of the lines of the page frame; ``known`` are forms of headers and footers of the source."""
     out = {i for i, line in enumerate(lines) if line.strip() and is_page_number(line)}
-    head = _skeleton(title) if len(title) <= 1000 else ""  # a page header is no longer
+    if known:
+        out |= {i for i in _edges(lines) if edge_form(lines[i]) in known}
+    head = _skeleton(title)
     loose: dict[int, str] = {}
     for i, line in enumerate(lines):
         text = line.strip()
-        if i in out or not text or len(text) > 140:
+        if i in out or not text:
             continue
         bare = _TAIL.sub("", text)
         skeleton = _skeleton(text)
@@ -117,15 +145,16 @@ def frame_of(lines: list[str], title: str) -> set[int]:
         if len(head) >= 6 and head.startswith(skeleton) and (len(skeleton) * 20 >= len(head) * 17 or long):
             out.add(i)
         elif not _END.search(bare) and len(skeleton) >= 4:
-            if _HEADER_WORDS.search(reading_of_header(bare)):
+            if len(text) <= LONGEST_HEADER and _HEADER_WORDS.search(reading_of_header(bare)):
                 out.add(i)
             else:
                 loose[i] = skeleton
     kinds = Counter(loose.values())
-    for i, s in loose.items():
-        near = kinds[s] + sum(n for k, n in kinds.items() if k != s and abs(len(k) - len(s)) <= 2 and len(s) >= 8 and (k.startswith(s) or s.startswith(k)))
-        if near >= 2 and sum(c.isalpha() for c in s) >= 6 and not re.search(r"\d", _TAIL.sub("", lines[i])[:1]):
-            out.add(i)
+    if len(loose) > 1:
+        for i, s in loose.items():
+            near = kinds[s] if kinds[s] > 1 else 1 + sum(n for k, n in kinds.items() if k != s and abs(len(k) - len(s)) <= 2 and len(s) >= 8 and (k.startswith(s) or s.startswith(k)))
+            if near >= 2 and sum(c.isalpha() for c in s) >= 6 and not re.search(r"\d", _TAIL.sub("", lines[i])[:1]):
+                out.add(i)
     return out
 
 
@@ -172,12 +201,12 @@ _OPEN_END = re.compile(r"([^\s\W一-鿿][^\s一-鿿，。：；、（）“”]*
 _START = re.compile(r"\s*([^\s一-鿿，。：；、（）“”]+)")
 
 
-def lay_out(text: str, title: str | None) -> list[tuple[int, str, str, int, int]]:
+def lay_out(text: str, title: str | None, known: set[int] = frozenset()) -> list[tuple[int, str, str, int, int]]:
     """Rows (line_no, kind, word, next_line, cut) of a scanned text: ``drop`` lines;
     ``word``s (next_line 0, or the line where the word goes on after ``cut``
     characters); ``break`` rows with both parts as "left\\tright" and the sign's code in cut."""
     lines = text.split("\n")
-    dropped = frame_of(lines, title or "")
+    dropped = frame_of(lines, title or "", known)
     rows: list[tuple[int, str, str, int, int]] = [(i + 1, "drop", "", 0, 0) for i in sorted(dropped)]
     own = [i for i, line in enumerate(lines) if i not in dropped and line.strip()]
     skip_first: set[int] = set()
@@ -209,8 +238,8 @@ def lay_out(text: str, title: str | None) -> list[tuple[int, str, str, int, int]
 def _laid_out(batches):
     for b in batches:
         out, recs = [], []
-        for rec, title, text in zip(b["rec_id"], b["title"], b["text"]):
-            rows = lay_out(text, title)
+        for rec, title, text, known in zip(b["rec_id"], b["title"], b["text"], b["known"]):
+            rows = lay_out(text, title, set() if known is None else set(known))
             out += rows
             recs += [rec] * len(rows)
         frame = pd.DataFrame(out, columns=["line_no", "kind", "word", "next_line", "cut"])
@@ -233,7 +262,8 @@ def _clean_words(batches):
                     counts.update(token.split("-"))
             if _IS_HAN.search(text):
                 counts.update(_han_words(text, at))
-        yield pd.DataFrame({"word": list(counts), "n": np.fromiter(counts.values(), np.int64, len(counts))})
+        if counts:
+            yield pd.DataFrame({"word": list(counts), "n": np.fromiter(counts.values(), np.int64, len(counts))})
 
 
 def clean_vocabulary(texts: DataFrame) -> DataFrame:
@@ -258,8 +288,8 @@ def corrections(scan_words: DataFrame, clean: DataFrame) -> DataFrame:
 
     schema = "word string, n bigint, hash bigint"
     known = clean.select("word", F.col("n").alias("clean_n"))
-    rare = scan_words.join(known, "word", "left").where(F.coalesce("clean_n", F.lit(0)) * 5 <= F.col("n")).where(F.length("word") <= LONGEST).select("word", "n")
-    frequent = clean.where("n >= 3 and word not like '%-%'").where(F.length("word") <= 2 * LONGEST).select("word", "n").mapInPandas(hashed, schema)
+    rare = scan_words.join(known, "word", "left").where(F.coalesce("clean_n", F.lit(0)) * 5 <= F.col("n")).select("word", "n")
+    frequent = clean.where("n >= 3 and word not like '%-%'").select("word", "n").mapInPandas(hashed, schema)
     reached = rare.mapInPandas(spread, schema)
     pairs = reached.join(frequent.select(F.col("word").alias("correction"), F.col("n").alias("clean_n"), "hash"), "hash")
     pairs = pairs.where(F.col("clean_n") >= F.col("n") * RATIO).select("word", "correction", "clean_n").distinct()
@@ -300,9 +330,34 @@ def _break_decisions(breaks: DataFrame, clean: DataFrame, fixes: DataFrame) -> D
     return by.select("rec_id", "line_no", joined.alias("joined"))
 
 
+def _edge_rows(batches):
+    for b in batches:
+        rows = []
+        for source, title, text in zip(b["source"], b["title"], b["text"]):
+            lines = text.split("\n")
+            own = _signed(xxhash.xxh3_64_intdigest((title or "").encode("utf-8", "surrogatepass")))
+            rows += [(source, own, form) for form in {edge_form(lines[i]) for i in _edges(lines)} if form is not None]
+        if rows:
+            yield pd.DataFrame(rows, columns=["source", "title", "form"])
+
+
+def edge_forms(scans: DataFrame) -> DataFrame:
+    """(source, known): forms of lines at the edges of records (source, title, text) that
+    records of MIN_TITLES different titles of a source have, and MIN_SHARE of its titles.
+    A record has 2 * EDGE such lines, so a source has at most 2 * EDGE / MIN_SHARE forms."""
+    rows = cut_lineage(scans.where("source is not null").mapInPandas(_edge_rows, "source string, title bigint, form bigint"))
+    titles = rows.select("source", "title").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("titles"))
+    often = rows.groupBy("source", "form").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_TITLES).select("source", "form")
+    exact = rows.join(often, ["source", "form"]).distinct().groupBy("source", "form").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_TITLES)
+    return exact.join(titles, "source").where(F.col("n") >= F.col("titles") * MIN_SHARE).groupBy("source").agg(F.collect_list("form").alias("known"))
+
+
 def _analysed(frame: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    scans = frame.where("image_ocr_text <> '' and rec_id is not null").select(F.col("rec_id").cast("bigint").alias("rec_id"), "title", F.col("image_ocr_text").alias("text"))
-    layout = cut_lineage(scans.mapInPandas(_laid_out, _LAYOUT))
+    source = F.col("source_name").cast("string") if "source_name" in frame.columns else F.lit(None).cast("string")
+    scans = frame.where("image_ocr_text <> '' and rec_id is not null").select(F.col("rec_id").cast("bigint").alias("rec_id"), source.alias("source"), "title", F.col("image_ocr_text").alias("text"))
+    known = cut_lineage(edge_forms(scans))
+    laid = scans.join(if_small(known, 16 + int(2 * EDGE / MIN_SHARE) * 8), "source", "left").select("rec_id", "title", "text", "known")
+    layout = cut_lineage(laid.mapInPandas(_laid_out, _LAYOUT))
     texts = frame.select(F.concat_ws("\n", "title", "main_text").alias("text"))
     clean = cut_lineage(clean_vocabulary(texts))
     counts = layout.where("kind = 'word'").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
@@ -323,7 +378,8 @@ def _fix_lines(words: DataFrame, fixes: DataFrame) -> DataFrame:
 def scan_noise(frame: DataFrame) -> DataFrame:
     """(rec_id, line_no, kind) of noisy lines of image_ocr_text: drop, join, fix.
 
-    Needs rec_id, title, main_text and image_ocr_text; clean words are counted over
+    Needs rec_id, title, main_text and image_ocr_text, and source_name if headers and
+    footers of a source are to count; clean words are counted over
     title and main_text of all rows.  Null and empty texts have no cases; a line
     of kind drop has no other kind.  Rows without rec_id are left out; repeated rows
     give their cases once."""

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from presslake.llm.containers import best_fit, fill_containers, fill_summary, pack_counts, reduce_by_dominance
 from presslake.llm.near_records import TOKEN, near_duplicate_links, near_duplicate_pairs
@@ -132,3 +133,13 @@ def test_containers(spark):
         assert all(n > capacity for d, n in sizes if sum(x.doc_id == d for x in mine) > 1)
     assert {x.container_kind for x in fill_summary(placed, specs).collect()} == {"small", "big"}
     assert fill_containers(frame.limit(0), specs).count() == 0 and fill_containers(frame, specs.limit(0)).count() == 0
+
+
+def test_headers_that_recur_in_a_source(spark):
+    rows = [(i, f"Titel {'abcdefghijklm'[i]}", "s", "text of the page", f"Mitteilungsblatt des Verbandes {i}\nDer Hersteller meldet einen Vorgang.\nSeite {i}\nSitz der Redaktion") for i in range(12)]
+    rows += [(100 + i, "same", "t", "x", "Eine Zeile ohne Punkt\nText steht hier.") for i in range(20)]
+    rows += [(200, None, None, None, "Mitteilungsblatt des Verbandes 3"), (201, "t", "s", "", " \n "), (202, "t", "s", "", "?!")]
+    frame = spark.createDataFrame(rows, "rec_id bigint, title string, source_name string, main_text string, image_ocr_text string").withColumn("known", F.lit(1))
+    got = {(r.rec_id, r.line_no) for r in scan_noise(frame).collect() if r.kind == "drop"}
+    assert got == {(i, n) for i in range(12) for n in (1, 3, 4)}
+    assert scan_noise(frame.drop("source_name")).where("kind = 'drop'").count() == 12
