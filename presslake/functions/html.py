@@ -80,8 +80,10 @@ class _Builder(HTMLParser):
         self.at.children.append(data)
 
 
-def parse(html: str | None) -> Node:
-    """A tree of any text; broken markup gives what could be read."""
+def parse(html: str | Node | None) -> Node:
+    """A tree of any text; broken markup gives what could be read.  A tree stays as it is."""
+    if isinstance(html, Node):
+        return html
     builder = _Builder()
     try:
         builder.feed(html or "")
@@ -177,6 +179,22 @@ def html_detail(c: Column, containers: list[str], least: int = 50) -> Column:
     return F.pandas_udf(lambda s: pd.DataFrame([detail_of(h, containers, least) for h in s], columns=["title", "date", "body"]), _DETAIL)(c)
 
 
+_PAGE = StructType([*_DETAIL.fields, StructField("links", ArrayType(_LINK)), StructField("images", ArrayType(StringType()))])
+
+
+def html_page(c: Column, containers: list[str], least: int = 50) -> Column:
+    """Detail, links and images of a page, of one parse."""
+
+    def read(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page in pages:
+            root = parse(page)
+            rows.append({**detail_of(root, containers, least), "links": links_of(root), "images": images_of(root)})
+        return pd.DataFrame(rows, columns=["title", "date", "body", "links", "images"])
+
+    return F.pandas_udf(read, _PAGE)(c)
+
+
 def table_records(frame: DataFrame, html: str, names: dict[str, str] | None = None) -> DataFrame:
     """One row per table row of a page, its cells in ``record``."""
     return frame.withColumn("record", F.explode(html_tables(F.col(html), names)))

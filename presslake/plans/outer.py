@@ -38,9 +38,8 @@ def html_tables(spark, folder):
 
 @query()
 def html_detail(spark, folder):
-    d = html.html_detail(F.col("html"), ["#content", "article"])
-    rows = pages(spark, folder).select("rec_id", d.alias("d"), html.html_links(F.col("html")).alias("links"), html.html_images(F.col("html")).alias("images"))
-    return rows.select("rec_id", "d.title", "d.body", F.size("links").alias("links"), F.size("images").alias("images"))
+    rows = pages(spark, folder).select("rec_id", html.html_page(F.col("html"), ["#content", "article"]).alias("d"))
+    return rows.select("rec_id", "d.title", "d.body", F.size("d.links").alias("links"), F.size("d.images").alias("images"))
 
 
 @query("select rec_id, array_to_string(source_tags, ', ') source_tags, len(image_urls)::int images, case when content_text is null then null when length(content_text) > 32767 then 32767 else length(content_text) end::int text_length from scripts")

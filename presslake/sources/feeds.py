@@ -1,7 +1,7 @@
 """Feeds and databases as Spark data sources.
 
-``press_feed`` reads RSS and Atom documents, one partition per file, and
-``press_sqlite`` reads a query of a SQLite file, split by ranges of a key."""
+``read_feeds`` reads RSS and Atom documents of any file system, ``press_feed`` local ones, one
+partition per file, and ``press_sqlite`` reads a query of a SQLite file, split by ranges of a key."""
 
 from __future__ import annotations
 
@@ -9,10 +9,14 @@ import glob
 import re
 import xml.etree.ElementTree as ET
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from presslake.operators.records import unseen
+
 FEED_SCHEMA = "feed string, guid string, title string, link string, published string, author string, summary string, content string, error string"
 
 
@@ -46,6 +50,36 @@ def entries_of(document: str) -> list[dict]:
     return out
 
 
+def read_feeds(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
+    """Entries of the feed documents under ``path`` (a folder or pattern of any file system
+    that Spark reads), with FEED_SCHEMA; many small files share a task.  ``only`` are names of
+    files, without ending, to keep.  A document that can't be read is a row with an error."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    if only is not None:
+        files = files.where(F.regexp_extract("path", r"([^/]*?)(?:\.\w+)?$", 1).isin(only))
+    names = [f.split()[0] for f in FEED_SCHEMA.split(", ")]
+
+    def read(batches):
+        for b in batches:
+            rows = []
+            for where, content in zip(b["path"], b["content"]):
+                try:
+                    rows += [(where, *[x[n] for n in names[1:-1]], None) for x in entries_of(content.decode("utf-8", "replace"))]
+                except (ET.ParseError, ValueError) as e:
+                    rows.append((where, *[None] * (len(names) - 2), str(e)))
+            if rows:
+                yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    return files.mapInPandas(read, FEED_SCHEMA)
+
+
+def new_entries(entries: DataFrame, seen: DataFrame, key: str = "guid") -> DataFrame:
+    """Entries whose key was not seen before, the first of each by feed; entries without key
+    or with an error are left out."""
+    known = entries.where((F.coalesce(F.col(key), F.lit("")) != "") & F.col("error").isNull())
+    return unseen(known, seen, key, [F.col("feed"), F.col("link")])
+
+
 class FeedFile(InputPartition):
     def __init__(self, path: str):
         self.path = path

@@ -68,12 +68,34 @@ def test_analyser_retries_and_reports(spark):
 
 
 def test_upsert_batches(spark, tmp_path):
-    merge = incremental.upsert_batches(f"{tmp_path}/l", "k", "t")
+    import os
+
+    merge = incremental.upsert_batches(spark, f"{tmp_path}/l", "k", "t", buckets=16)
     frame = lambda *rows: spark.createDataFrame(list(rows), "k string, t int")
-    merge(frame(("a", 1), ("b", 1)), 0)
-    merge(frame(("a", 2)), 1)
-    merge(frame(("a", 2)), 1)  # the same batch again
-    assert sorted((r.k, r.t) for r in spark.read.parquet(f"{tmp_path}/l/v1").collect()) == [("a", 2), ("b", 1)]
+    assert merge.rows() is None
+    merge(frame(*[(f"k{i}", 1) for i in range(200)], (None, 1)), 0)
+    merge(frame(("k1", 2), ("new", 1)), 1)
+    merge(frame(("k1", 2), ("new", 1)), 1)  # the same batch again
+    merge(frame(("k1", 3)), 2)
+    want = {f"k{i}": 1 for i in range(200)} | {"k1": 3, "new": 1, None: 1}
+    assert {r.k: r.t for r in merge.rows().collect()} == want and merge.rows().count() == len(want)
+    written = lambda v: len([d for d in os.listdir(f"{tmp_path}/l/v{v:09d}") if d.startswith("bucket")])
+    assert written(2) == 1 and written(1) <= 2  # a batch of few keys writes few buckets
+    merge(frame(("k1", 4)), 3)
+    assert {r.k: r.t for r in merge.rows().collect()} == want | {"k1": 4}
+
+
+def test_feeds_as_files_of_a_cluster(spark, tmp_path):
+    item = "<item><guid>{0}</guid><title>T{0}</title><link>http://x/{0}</link><description>d</description></item>"
+    for name, body in (("a", item.format(1) + item.format(2)), ("b", item.format(2) + item.format(3))):
+        (tmp_path / f"{name}.xml").write_text(f"<rss><channel>{body}</channel></rss>")
+    (tmp_path / "c.xml").write_text("<rss>")
+    seen = spark.createDataFrame([("1",), (None,)], "guid string")
+    rows = feeds.read_feeds(spark, f"{tmp_path}/*.xml")
+    assert rows.count() == 5 and rows.where("error is not null").count() == 1
+    new = feeds.new_entries(rows, seen).collect()
+    assert sorted((r.guid, r.content, r.feed[-5:]) for r in new) == [("2", "d", "a.xml"), ("3", "d", "b.xml")]
+    assert feeds.read_feeds(spark, f"{tmp_path}/*.xml", only=["b"]).count() == 2
 
 
 def test_article_markdown_is_whole(spark):
