@@ -9,7 +9,9 @@ per size, a table bounded by the capacity whatever the number of documents:
    both or no pair fills more; the largest partner and the largest item beside both,
    where no other pair can do better), in multiples of the counts, again and again
    until nothing more can be fixed;
-2. what remains is packed best-fit, from large to small, also in multiples.
+2. what remains is packed best-fit, also in multiples, in two ways of which the one with
+   fewer containers counts: item by item from large to small, and set by set, the
+   largest item with the set of others that fits best beside it.
 
 The result, containers of one pattern each with a multiplicity, is mapped back:
 documents are numbered within their size, and a number falls into one slot of one
@@ -154,10 +156,64 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...
     return [(p, m) for room in rooms.values() for p, m in room]
 
 
+def _best_set(left: _Counts, room: int) -> tuple[int, ...]:
+    """The set of items with the greatest sum within ``room``, of large ones if there is a
+    choice: one or two that fill it if there are, else by the sums that sizes can reach."""
+    if room in left.n:
+        return (room,)
+    sizes = left.sizes[: bisect_right(left.sizes, room)]
+    if not sizes:
+        return ()
+    s = np.array(sizes, np.int64)
+    at = np.searchsorted(s, room - s)
+    full = (at < len(s)) & (s[np.minimum(at, len(s) - 1)] == room - s) & ((at != np.arange(len(s))) | np.array([left.n[x] > 1 for x in sizes]))
+    if full.any():
+        i = int(np.flatnonzero(full)[-1])
+        return (sizes[i], room - sizes[i])
+    mask, reach = (1 << (room + 1)) - 1, [1]  # bit x of reach[i]: the first i sizes make x
+    for size in sizes:
+        sums, n, step = reach[-1], min(left.n[size], room // size), 1
+        while n:
+            step = min(step, n)
+            sums |= (sums << size * step) & mask
+            n -= step
+            step *= 2
+        reach.append(sums)
+    out, rest = [], reach[-1].bit_length() - 1
+    for i in range(len(sizes), 0, -1):
+        n = next(k for k in range(min(left.n[sizes[i - 1]], rest // sizes[i - 1]), -1, -1) if reach[i - 1] >> rest - k * sizes[i - 1] & 1)
+        out += [sizes[i - 1]] * n
+        rest -= n * sizes[i - 1]
+        if not rest:
+            break
+    return tuple(out)
+
+
+def best_fit_sets(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The largest item with the set that fits best beside it, in multiples of what there is:
+    each step leaves too few of some size, so steps are bounded by the number of sizes."""
+    left, out = _Counts(counts), []
+    while left.sizes:
+        w = left.sizes[-1]
+        left.take(w, 1)
+        pattern = (w, *_best_set(left, capacity - w))
+        left.give(w, 1)
+        need = Counter(pattern)
+        m = min(left.n[s] // k for s, k in need.items())
+        for s, k in need.items():
+            left.take(s, m * k)
+        out.append((pattern, m))
+    return out
+
+
 def pack_counts(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (sizes of a container) with multiplicities for counts per size."""
     fixed, rest = reduce_by_dominance(counts, capacity)
-    return fixed + best_fit(rest, capacity)
+    used = lambda patterns: sum(m for _, m in patterns)
+    plain = best_fit(rest, capacity)
+    if used(plain) == -(-sum(s * n for s, n in rest.items()) // capacity):  # no packing of the remainder uses fewer
+        return fixed + plain
+    return fixed + min((best_fit_sets(rest, capacity), plain), key=used)
 
 
 def _slots(patterns: list[tuple[tuple[int, ...], int]], first: int) -> tuple[dict[int, list[tuple[int, int]]], int]:

@@ -143,3 +143,22 @@ def test_headers_that_recur_in_a_source(spark):
     got = {(r.rec_id, r.line_no) for r in scan_noise(frame).collect() if r.kind == "drop"}
     assert got == {(i, n) for i in range(12) for n in (1, 3, 4)}
     assert scan_noise(frame.drop("source_name")).where("kind = 'drop'").count() == 12
+
+
+def test_sets_that_fit_best():
+    from presslake.llm.containers import best_fit_sets
+
+    r = random.Random(11)
+    for _ in range(300):
+        capacity = r.choice([7, 20, 64])
+        counts = Counter(r.randint(1, capacity) for _ in range(r.randint(0, 60)))
+        for way in (best_fit_sets, pack_counts):
+            placed: Counter = Counter()
+            for pattern, m in way(dict(counts), capacity):
+                assert m > 0 and sum(pattern) <= capacity
+                for s in pattern:
+                    placed[s] += m
+            assert placed == counts
+        used = [sum(m for _, m in way(dict(counts), capacity)) for way in (pack_counts, best_fit)]
+        assert -(-sum(s * n for s, n in counts.items()) // capacity) <= used[0] <= used[1] + 1
+    assert sum(m for _, m in best_fit_sets({6: 10**9, 3: 10**9, 4: 10**9}, 10)) == 10**9 + -(-(10**9) // 3)
