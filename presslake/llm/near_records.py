@@ -43,27 +43,40 @@ LEAST_SHARED = 8
 HOT = 1 << 12
 TOKEN = regex.compile(r"[一-鿿]|[\p{L}\p{Nd}--[一-鿿]]+", regex.V1)
 _FACTORS = [pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(1, 65)]
-_hashes: dict[str, int] = {}
+class _Hashes(dict):
+    """Hashes of tokens, made when first asked for."""
 
+    def __missing__(self, token: str) -> int:
+        h = self[token] = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
+        return h
 
-def ngram_set(text: str, n: int = 4) -> np.ndarray:
-    """Distinct hashed runs of ``n`` consecutive tokens of ``text`` in lower case, ascending."""
-    tokens = TOKEN.findall(text.lower())
-    if len(tokens) < n:
-        return np.zeros(0, np.int64)
+
+_hashes = _Hashes()
+
+
+def ngrams_of(texts: list[str], n: int = 4) -> list[np.ndarray]:
+    """For each text its distinct hashed runs of ``n`` consecutive tokens in lower case,
+    ascending; the runs of all texts are hashed together."""
     if len(_hashes) > 1_000_000:
         _hashes.clear()
-    ids = np.empty(len(tokens), np.uint64)
-    for i, t in enumerate(tokens):
-        if (h := _hashes.get(t)) is None:
-            h = _hashes[t] = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"))
-        ids[i] = h
-    runs = np.zeros(len(tokens) - n + 1, np.uint64)
+    tokens = [TOKEN.findall(t.lower()) for t in texts]
+    lengths = [len(t) for t in tokens]
+    ids = np.fromiter((h for t in tokens for h in map(_hashes.__getitem__, t)), np.uint64, sum(lengths))
+    runs = np.zeros(max(0, len(ids) - n + 1), np.uint64)  # those over the end of a text are not taken
     for k in range(n):
         part = ids[k : k + len(runs)] ^ np.uint64(_FACTORS[n + k] >> 1)
         runs = (runs ^ (part * np.uint64(_FACTORS[k]))) * np.uint64(0xFF51AFD7ED558CCD)
         runs ^= runs >> np.uint64(29)
-    return np.unique(runs.view(np.int64))
+    out, first, runs = [], 0, runs.view(np.int64)
+    for length in lengths:
+        own = np.sort(runs[first : first + max(0, length - n + 1)])
+        out.append(own[np.concatenate(([True], own[1:] != own[:-1]))] if len(own) else own)
+        first += length
+    return out
+
+
+def ngram_set(text: str, n: int = 4) -> np.ndarray:
+    return ngrams_of([text], n)[0]
 
 
 def _cells(grams: np.ndarray) -> np.ndarray:
@@ -77,7 +90,7 @@ def ngram_sets(rows: DataFrame, n: int = 4) -> DataFrame:
         for b in batches:
             texts, recs = b["text"].tolist(), b["rec_id"].to_numpy()
             for i, j in text_slices(texts):
-                sets = [ngram_set(t, n) for t in texts[i:j]]
+                sets = ngrams_of(texts[i:j], n)
                 kept = [k for k, s in enumerate(sets) if len(s)]
                 if kept:
                     yield pd.DataFrame({"rec_id": recs[i:j][kept], "grams": [sets[k] for k in kept]})
