@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from presslake.functions.text import fingerprint
+from presslake.functions.text import fingerprint, plain_title
 from presslake.functions.urls import dedup_key
 from presslake.session import cut_lineage
 
@@ -210,24 +210,28 @@ def components(edges: DataFrame) -> DataFrame:
 
 def resolve_duplicates(frame: DataFrame, key: str, better: list[Column], url: str = "url", title: str = "title", body: str = "body", least: float = 0.92) -> DataFrame:
     """``frame`` with duplicate_of and duplicate_reason: records with the same address
-    key or content, or with similar titles, are a class; the best of a class by
-    ``better`` (larger wins, ties to the earlier key) is kept and the others point to
-    it.  Classes don't depend on the order of rows.  Blank addresses link nothing."""
-    rows = frame.select(F.col(key).alias("k"), F.when(F.trim(F.col(url)) != "", dedup_key(F.col(url))).alias("u"), F.nullif(fingerprint(F.col(body)), F.lit("")).alias("c"), F.col(title).alias("t"), F.struct(*[b.alias(f"_b{i}") for i, b in enumerate(better)], (-F.col(key)).alias("_k")).alias("r"))
+    key or content, or with similar titles (in lower case, without signs), are a class; the
+    best of a class by ``better`` (larger wins, ties to the earlier key) is kept and the
+    others point to it.  The reason is what they share with it: exact_url, exact_content,
+    similar_title:ratio, or else linked, by others of the class.  Classes don't depend on the
+    order of rows.  Blank addresses link nothing."""
+    rows = frame.select(F.col(key).alias("k"), F.when(F.trim(F.col(url)) != "", dedup_key(F.col(url))).alias("u"), F.nullif(fingerprint(F.col(body)), F.lit("")).alias("c"), F.nullif(plain_title(F.col(title)), F.lit("")).alias("t"), F.struct(*[b.alias(f"_b{i}") for i, b in enumerate(better)], (-F.col(key)).alias("_k")).alias("r"))
     rows = cut_lineage(rows)
 
     def star(column: str) -> DataFrame:  # every row of an equal value to its first: no pairs within a group
         first = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.min("k").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
         return rows.join(first, column).where("k <> a").select("a", F.col("k").alias("b"))
 
-    similar = similar_titles(rows, "k", "t", least).select(F.col("earlier").alias("a"), F.col("later").alias("b"))
-    same_title = rows.where("t <> ''").groupBy("t").agg(F.min("k").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    same_title = rows.join(same_title, "t").where("k <> a").select("a", F.col("k").alias("b"))
-    classes = cut_lineage(components(star("u").unionByName(star("c")).unionByName(similar).unionByName(same_title)))
-    member = rows.join(classes, rows.k == classes.id).select("k", "u", "c", "component", "r")
-    winner = member.groupBy("component").agg(F.max(F.struct("r", "k", "u", "c")).alias("w"))
+    similar = cut_lineage(similar_titles(rows, "k", "t", least))
+    pairs = similar.select(F.col("earlier").alias("a"), F.col("later").alias("b"))
+    classes = cut_lineage(components(star("u").unionByName(star("c")).unionByName(star("t")).unionByName(pairs)))
+    known = rows.groupBy("t").agg(F.min("k").alias("same")).where("t is not null")  # a title goes by the first row that has it
+    member = rows.join(classes, rows.k == classes.id).join(known, "t", "left").select("k", "u", "c", "same", "component", "r")
+    winner = member.groupBy("component").agg(F.max(F.struct("r", "k", "u", "c", "same")).alias("w"))
     loser = member.join(winner, "component").where("k <> w.k")
-    reason = F.when(F.col("u") == F.col("w.u"), "exact_url").when(F.col("c") == F.col("w.c"), "exact_content").otherwise("similar_or_linked")
+    loser = loser.withColumns({"earlier": F.least("same", "w.same"), "later": F.greatest("same", "w.same")}).join(similar, ["earlier", "later"], "left")
+    ratio = F.when(F.col("same") == F.col("w.same"), 1.0).otherwise(F.col("ratio"))
+    reason = F.when(F.col("u") == F.col("w.u"), "exact_url").when(F.col("c") == F.col("w.c"), "exact_content").when(ratio.isNotNull(), F.format_string("similar_title:%.3f", ratio)).otherwise("linked")
     marked = loser.select(F.col("k").alias(key), F.col("w.k").alias("duplicate_of"), reason.alias("duplicate_reason"))
     return frame.join(marked, key, "left")
 

@@ -99,7 +99,10 @@ def test_components_and_winners(spark):
         "k long, url string, title string, body string",
     )
     out = {r.k: (r.duplicate_of, r.duplicate_reason) for r in records.resolve_duplicates(rows, "k", [F.length(F.coalesce("body", F.lit("")))]).collect()}
-    assert out == {1: (3, "exact_content"), 2: (3, "similar_or_linked"), 3: (None, None), 4: (None, None), 5: (4, "similar_or_linked"), 6: (None, None)}
+    assert out == {1: (3, "exact_content"), 2: (3, "linked"), 3: (None, None), 4: (None, None), 5: (4, "similar_title:1.000"), 6: (None, None)}
+    near = [(1, "http://a/1", "Regulator recalls coated stent in Port Yarphor", "x" * 90), (2, "http://a/2", "Regulator recalls coated stents in Port Yarphor", "y" * 100), (3, "", "", None), (4, None, None, None)]
+    out = {r.k: (r.duplicate_of, r.duplicate_reason) for r in records.resolve_duplicates(spark.createDataFrame(near, "k long, url string, title string, body string"), "k", [F.length(F.coalesce("body", F.lit("")))]).collect()}
+    assert out == {1: (2, "similar_title:0.989"), 2: (None, None), 3: (None, None), 4: (None, None)}
 
 
 def test_seen_union_reads_all_batches(spark, tmp_path):
