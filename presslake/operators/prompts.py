@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from presslake.functions.text import blank_to_null, distinct_trimmed, joined_letters, tidy_lines, without_image_notes
 
-# The columns of a prepared article, in order, and the note that goes with read images.
+# The columns of a prepared article, in order, the note that goes with read images, and the
+# source of a text that came from its page.
 PREPARED = [
     "title", "source_name", "source_category", "source_tags", "source_priority", "link", "published", "article_id", "scraped_at", "fetch_status", "fetch_error", "content_source",
     "image_count", "image_urls", "image_ocr_text", "image_fetch_status", "image_fetch_error", "image_ocr_quality_note", "main_text", "main_text_preview", "text_length", "word_count",
     "has_full_text", "has_image_ocr", "data_quality_score", "data_quality_note", "llm_input_text", "llm_input_text_with_ocr",
 ]
+FROM_PAGE = "wechat_page"
 OCR_NOTE = "图片 OCR 仅供参考，可能存在识别错误，尤其是图表、表格、坐标轴和数字。核心分析应优先基于 main_text。"
 # Labels of a prompt's head lines, of its parts, and its last line.
 HEAD = {"标题": "title", "来源": "source_name", "发布时间": "published", "分类": "source_category", "标签": "source_tags", "原文链接": "link"}
@@ -53,7 +55,7 @@ def prepared(frame: DataFrame, full_text: int = 500, preview: int = 1000) -> Dat
     size = F.length("main_text")
     frame = frame.withColumns(
         {
-            "content_source": F.when(known, "wechat_page").otherwise(F.col("content_source")), "main_text_preview": F.substring("main_text", 1, preview), "text_length": size, "word_count": size,
+            "content_source": F.when(known, FROM_PAGE).otherwise(F.col("content_source")), "main_text_preview": F.substring("main_text", 1, preview), "text_length": size, "word_count": size,
             "image_count": F.coalesce(F.nullif("image_count", F.lit(0)), F.size("image_urls")), "has_full_text": size > full_text, "has_image_ocr": F.col("image_ocr_text") != "", "image_ocr_quality_note": F.lit(OCR_NOTE),
         }
     )

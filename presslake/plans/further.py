@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from presslake.functions import text
 from presslake.operators import analysis, pages, prompts, records
 from presslake.plans.queries import _HTML, _TIDY, _WS, query, read
-from presslake.plans.relational import _LEDGER, _R, regional
+from presslake.plans.relational import _LEDGER, regional
 from presslake.session import ensure_checkpoint_dir
 
 _TEXT = lambda c: f"coalesce({c}, '')"
