@@ -273,7 +273,7 @@ def recurring(coded: DataFrame, min_titles: int = MIN_TITLES, min_share: float =
     titles = known.select(*key, "title").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("titles"))
     lines = known.select(*key, "title", F.explode(F.array_distinct("lines")).alias("line")).where("line <> 0")
     often = lines.groupBy(*key, "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_titles).select(*key, "line")
-    exact = lines.join(often, [*key, "line"]).distinct().groupBy(*key, "line").agg(F.count(F.lit(1)).alias("n"))
+    exact = lines.join(if_small(cut_lineage(often), 40), [*key, "line"]).distinct().groupBy(*key, "line").agg(F.count(F.lit(1)).alias("n"))
     return exact.where(F.col("n") >= min_titles).join(titles, key).where(F.col("n") >= F.col("titles") * min_share).select(*key, "line")
 
 

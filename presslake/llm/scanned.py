@@ -348,7 +348,7 @@ def edge_forms(scans: DataFrame) -> DataFrame:
     rows = cut_lineage(scans.where("source is not null").mapInPandas(_edge_rows, "source string, title bigint, form bigint"))
     titles = rows.select("source", "title").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("titles"))
     often = rows.groupBy("source", "form").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_TITLES).select("source", "form")
-    exact = rows.join(often, ["source", "form"]).distinct().groupBy("source", "form").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_TITLES)
+    exact = rows.join(if_small(cut_lineage(often), 32), ["source", "form"]).distinct().groupBy("source", "form").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_TITLES)
     return exact.join(titles, "source").where(F.col("n") >= F.col("titles") * MIN_SHARE).groupBy("source").agg(F.collect_list("form").alias("known"))
 
 

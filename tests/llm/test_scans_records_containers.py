@@ -162,3 +162,22 @@ def test_sets_that_fit_best():
         used = [sum(m for _, m in way(dict(counts), capacity)) for way in (pack_counts, best_fit)]
         assert -(-sum(s * n for s, n in counts.items()) // capacity) <= used[0] <= used[1] + 1
     assert sum(m for _, m in best_fit_sets({6: 10**9, 3: 10**9, 4: 10**9}, 10)) == 10**9 + -(-(10**9) // 3)
+
+
+def test_hot_ngrams_and_many_tasks_change_nothing(spark):
+    from presslake.llm.near_records import _sketch, ngram_sets, similar_sets
+
+    r = random.Random(3)
+    texts = [" ".join(r.choice("abcdefg") for _ in range(r.choice([6, 9, 14, 30]))) for _ in range(80)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(900, "a b"), (901, "")], "rec_id bigint, text string")
+    sets = ngram_sets(rows, 2)
+    assert sets.count() == 81 and ngram_sets(rows.where("rec_id = 901"), 2).count() == 0
+    plain = {tuple(x) for x in similar_sets(sets).collect()}
+    assert plain and plain == {tuple(x) for x in similar_sets(sets, hot=2).collect()}
+    few = _sketch(sets)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "100")
+        assert (_sketch(sets.repartition(3)) == few).all() and few.any()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
