@@ -62,18 +62,26 @@ def any_date(c: Column) -> Column:
     shape, and the first of the best shape is read."""
     parts = F.regexp_extract_all(squeeze(F.translate(F.coalesce(c, F.lit("")), ",", " ")), F.lit(r"\w+|\W+"), F.lit(0))
     kind = lambda x: F.when(x.rlike(r"^20\d\d$"), "y").when(x.rlike(r"^\d\d?$"), "n").when(x.rlike(r"(?i)^[a-z]+$"), "w").when(x.rlike("^[-/.]$"), "=").when(x == " ", " ").otherwise("?")
+    bound = lambda value, use: F.transform(F.array(value), use)[0]  # noqa: E731  (made once, however often it is used)
+
+    def shaped(t: Column) -> Column:
+        windows = F.arrays_zip(*[F.slice(t, F.lit(i + 1), F.greatest(F.size(t) - 4, F.lit(0))).alias(f"p{i}") for i in range(5)])
+        return F.transform(windows, lambda w: F.struct(F.concat(*[w[f"p{i}"]["k"] for i in range(5)]).alias("shape"), *[w[f"p{i}"]["x"].alias(f"v{i // 2}") for i in (0, 2, 4)]))
+
+    def first(s: Column, shape: str) -> Column:
+        return F.try_element_at(F.filter(s, lambda w: w["shape"] == shape), F.lit(1))
+
+    def day(hit: Column, shape: str) -> Column:
+        y, m, d = (hit[f"v{i}"] for i in _SHAPES[shape])
+        return _date(y, _month_number(m) if "w" in shape else m, d)
+
+    def read(hits: Column) -> Column:
+        iso, day_first, *words = [(hits[f"h{i}"], shape) for i, shape in enumerate(_SHAPES)]
+        return F.when(iso[0].isNotNull(), day(*iso)).when(day_first[0].isNotNull(), day(*day_first)).otherwise(F.coalesce(*[day(*w) for w in words]))
+
     typed = F.transform(parts, lambda x: F.struct(x.alias("x"), kind(x).alias("k")))
-    column = lambda i: F.slice(typed, F.lit(i + 1), F.greatest(F.size(parts) - 4, F.lit(0)))
-    windows = F.arrays_zip(*[column(i).alias(f"p{i}") for i in range(5)])
-    shaped = F.transform(windows, lambda w: F.struct(F.concat(*[w[f"p{i}"]["k"] for i in range(5)]).alias("shape"), *[w[f"p{i}"]["x"].alias(f"v{i // 2}") for i in (0, 2, 4)]))
-    first = lambda shape: F.try_element_at(F.filter(shaped, lambda w: w["shape"] == shape), F.lit(1))
-    found = []
-    for shape, (y, m, d) in _SHAPES.items():
-        hit = first(shape)
-        month = _month_number(hit[f"v{m}"]) if "w" in shape else hit[f"v{m}"]
-        found.append((hit.isNotNull(), _date(hit[f"v{y}"], month, hit[f"v{d}"])))
-    (iso, iso_day), (day, day_first), *words = found
-    return F.when(iso, iso_day).when(day, day_first).otherwise(F.coalesce(*[w for _, w in words]))
+    hits = lambda s: F.struct(*[first(s, shape).alias(f"h{i}") for i, shape in enumerate(_SHAPES)])
+    return bound(typed, lambda t: bound(shaped(t), lambda s: bound(hits(s), read)))
 
 
 def mail_date(c: Column) -> Column:
