@@ -14,6 +14,7 @@ import heapq
 import html
 import re
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -261,32 +262,127 @@ def _single_parts(run: str, at: int) -> list[tuple[int, int, str]]:
     return out
 
 
-def _utf8_spans(run: str, first: int, end: int) -> set[tuple[int, int]]:
-    """Spans about run[first:end] that are UTF-8 read in an encoding of several bytes: for
-    each start in reach the longest ones, since a clean character may pass for UTF-8, too."""
-    out = set()
-    for e in READ_AS:
-        if e in SINGLE_BYTE:
-            continue
-        for x in range(max(0, first - SHARE), first + 1):
-            if (raw := _back(run[x : min(len(run), end + SHARE)], e)) is None:
-                y = next((i for i in range(x, min(len(run), end + SHARE)) if _back(run[i], e) is None))
-                raw = _back(run[x:y], e)
-            try:
-                raw.decode("utf-8")
-                good = len(raw)
-            except UnicodeDecodeError as error:
-                good = error.start
-            y, size = x, 0
-            ends = []
-            while y < len(run) and (size := size + len(run[y].encode(e, "ignore"))) <= good:
-                y += 1
-                if size == good or raw[size] & 0xC0 != 0x80:
-                    ends.append(y)  # no character of the reading is cut here
-            out |= {(x, y) for y in ends[-3:] if y > first}
+MANY_BYTES = tuple(e for e in READ_AS if e not in SINGLE_BYTE)
+#: In hundredths: what a passage has to gain, and the most that one character of a reading counts while ends are sought, so that a rare one alone cuts no passage.
+GAIN, MOST = 50, 50
+_UTF8 = re.compile(b"(?:[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})+")
+_UTF8_HAN = re.compile(b"[\xe3-\xe9][\x80-\xbf]{2}")
+
+
+@lru_cache(maxsize=100_000)
+def _one_cost(c: str) -> int:
+    return round(100 * cost(c))
+
+
+@lru_cache(maxsize=300_000)
+def _coded(c: str, e: str) -> bytes | None:
+    raw = _back(c, e)
+    return raw if raw and raw.decode(e, "replace") == c else None
+
+
+@lru_cache(maxsize=300_000)
+def _read_cost(piece: bytes, d: str) -> int | None:
+    """Cost of the character that is written ``piece``; None if none is."""
+    try:
+        c = piece.decode(d)
+    except UnicodeDecodeError:
+        return None
+    return min(MOST, _one_cost(c)) if c.encode(d) == piece else None
+
+
+def _zones(weights: list[int]) -> list[tuple[int, int]]:
+    """Stretches (first, end) of all places that lie in a span whose weights add up to 0 or more."""
+    ending, before = [], 0
+    for x in weights:
+        before = x + max(before, 0)
+        ending.append(before)
+    out, after = [], 0
+    for i in range(len(weights) - 1, -1, -1):
+        after = weights[i] + max(after, 0)
+        if ending[i] + after - weights[i] >= 0:
+            if out and out[-1][0] == i + 1:
+                out[-1] = (i, out[-1][1])
+            else:
+                out.append((i, i + 1))
+    return out[::-1]
+
+
+def _cheapest_cut(part: str, e: str, d: str, weight: int) -> list[tuple[int, int]]:
+    """Spans of ``part``, which ``e`` can write, that are read in ``d`` when the whole is as cheap as it
+    can be: each place is left or read, each span read costs GAIN.  One pass over the bytes."""
+    coded = [_coded(c, e) for c in part]
+    raw, at, o = b"".join(coded), {}, 0
+    for i, piece in enumerate(coded):
+        at[o] = i
+        o += len(piece)
+    at[o] = len(part)
+    least, begun = [0] * (len(part) + 1), [-1] * (len(part) + 1)
+    inside: dict[int, tuple[int, int]] = {}  # by byte: cost of the text before it, and where the span that is being read began
+    for o in range(len(raw) + 1):
+        state = inside.pop(o, None)
+        if (i := at.get(o)) is not None:
+            if i:
+                least[i] = least[i - 1] + _one_cost(part[i - 1])
+            if state and state[0] < least[i]:
+                least[i], begun[i] = state
+            if not state or least[i] + GAIN <= state[0]:
+                state = least[i] + GAIN, i
+        if state:
+            for n in range(1, 5):
+                if (c := _read_cost(raw[o : o + n], d)) is not None:
+                    to = state[0] + weight * c, state[1]
+                    if o + n not in inside or to[0] < inside[o + n][0]:
+                        inside[o + n] = to
+                    break
+    out, i = [], len(part)
+    while i:
+        if begun[i] >= 0:
+            out.append((begun[i], i))
+            i = begun[i]
+        else:
+            i -= 1
     return out
 
 
+def _writable(run: str, first: int, end: int, e: str):
+    """(first, end, bytes) of the stretches of run[first:end] that ``e`` can write."""
+    pieces = []
+    for i in range(first, end + 1):
+        piece = _coded(run[i], e) if i < end else None
+        if piece:
+            pieces.append(piece)
+        elif pieces:
+            yield i - len(pieces), i, pieces
+            pieces = []
+
+
+def _pieces(run: str):
+    """(first, end, encoding it was read in, encoding it may be written in) of all parts of a run that can
+    hold a passage :func:`_sure` takes."""
+    rare = [m.start() for m in _RARE.finditer(run)]
+    if not any(b - a < 2 * SHARE for a, b in zip(rare, rare[1:])):
+        return
+    weights = [-1] * len(run)
+    for i in rare:
+        weights[i] = SHARE - 1
+    for first, end in _zones(weights):
+        for e in MANY_BYTES:
+            for x, _, pieces in _writable(run, first, end, e):
+                starts = dict(zip(accumulate(map(len, pieces), initial=0), range(x, x + len(pieces) + 1)))
+                for m in _UTF8.finditer(b"".join(pieces)):
+                    if len(_UTF8_HAN.findall(m.group())) >= 2:
+                        inner = [starts[o] for o in range(m.start(), m.end() + 1) if o in starts]
+                        if len(inner) > 1:
+                            yield inner[0], inner[-1], e, "utf-8"
+    for first, end in _zones([_one_cost(c) - 60 for c in run]):
+        if end - first >= PAIRS:
+            for e in MANY_BYTES:
+                for x, y, _ in _writable(run, first, end, e):
+                    for d in WRITTEN_IN:
+                        if y - x >= PAIRS and d not in ("utf-8", "cp1252", e):
+                            yield x, y, e, d
+
+
 def _sure(part: str, found: tuple[str, float, float]) -> bool:
     """Whether the reading of a part of a Chinese run is no chance: two characters or more
     of UTF-8, or PAIRS characters of pairs of bytes, most doubtful before and nearly all plain after."""
@@ -296,40 +392,49 @@ def _sure(part: str, found: tuple[str, float, float]) -> bool:
     return len(part) >= PAIRS and before >= 0.6 * len(part) and after <= 0.4 + 0.08 * len(reading)
 
 
+def _by_itself(run: str, first: int, end: int, before: float) -> bool:
+    """Whether a plain reading is no chance within a text in traditional characters: not so
+    many of these stand beside it, or those inside are not doubtful for their old form alone."""
+    near = run[max(0, first - SHARE) : first] + run[end : end + SHARE]
+    return len(_OLD_FORM.findall(near)) < 3 or before - 0.6 * len(_OLD_FORM.findall(run[first:end])) >= 0.25 * (end - first)
+
+
 def _many_parts(run: str, at: int) -> list[tuple[int, int, str]]:
-    """Passages about the groups of doubtful Chinese characters of a run: the share
-    of doubtful ones counts in the group, and of the spans about it with a plausible
-    reading the one with the greatest gain counts, then the shortest."""
-    doubtful = [m.start() for m in _RARE.finditer(run)]
-    groups: list[list[int]] = []
-    for i in doubtful:
-        if groups and i - groups[-1][-1] <= SHARE:
-            groups[-1].append(i)
+    """Passages about doubtful Chinese characters of a run: for each pair of encodings the
+    cheapest cut of every part that can hold one, wherever it begins and however long it
+    is.  Of spans that overlap the one with the greatest gain counts, then the shortest."""
+    found = []
+    for first, end, e, d in dict.fromkeys(_pieces(run)):
+        open_ = [(first, end, 1)]
+        while open_:
+            a, b, weight = open_.pop()
+            for x, y in _cheapest_cut(run[a:b], e, d, weight):
+                part = run[a + x : a + y]
+                if len(part) > 1 and _HAN.search(part) and _suspicious(part) and _gains(r := best_reading(part)) and _sure(part, r) and (len(part) > len(r[0]) > 3 or _by_itself(run, a + x, a + y, r[2])):
+                    found.append((round(r[1] - r[2], 6), y - x, a + x, a + y, r[0]))
+                elif weight < 8:  # a part of it may be read without its doubtful characters
+                    open_.append((a + x, a + y, 2 * weight))
+    if not found:
+        return []
+    taken, displaced = [False] * len(run), False
+    group: list[int] = []
+    for i in [m.start() for m in _RARE.finditer(run)] + [len(run) + SHARE + 1]:
+        if group and i - group[-1] > SHARE:
+            if "�" in run[group[0] : group[-1] + 1]:  # bytes of this passage were lost
+                taken[group[0] : group[-1] + 1] = [True] * (group[-1] + 1 - group[0])
+            group = []
+        group.append(i)
+    out = []
+    for _, n, x, y, reading in sorted(found):
+        if any(taken[x:y]):
+            displaced = True
         else:
-            groups.append([i])
-    out: list[tuple[int, int, str]] = []
-    for g in groups:
-        begun = out[-1][1] - at if out else 0
-        first, end = g[0], g[-1] + 1
-        if "�" in run[first:end]:
-            continue  # bytes of this passage were lost
-        while len(g) > 1 and first < end and _HAN.search(run[first:end]):
-            first = max(first, begun)
-            spans = {(x, y) for x, y in _utf8_spans(run, first, end) if x >= begun}
-            if first == g[0]:  # pairs of bytes read as other pairs have no ends to see
-                spans |= {(max(begun, first - i), min(len(run), end + j)) for i in range(3) for j in range(3)}
-            tried = [(r, x, y) for x, y in sorted(spans) if 1 < y - x <= WINDOW and _suspicious(run[x:y]) and _gains(r := best_reading(run[x:y])) and _sure(run[x:y], r)]
-            if not tried:
-                rest = [i for i in g if i > first]  # the passage may begin further on
-                if len(rest) < 2 or len(g) - len(rest) > 0 and g.index(rest[0]) > 2 * SHARE:
-                    break
-                first = rest[0]
-                continue
-            r, x, y = max(tried, key=lambda t: (round(t[0][2] - t[0][1], 6), t[1] - t[2]))
-            out.append((at + x, at + y, r[0]))
-            begun = y
-            first = next((i for i in g if i >= y), end)
-    return out
+            taken[x:y] = [True] * n
+            out.append((at + x, at + y, reading))
+    out.sort()
+    if out and displaced:  # beside the ones that count there may be others
+        out += [p for rest, i in _beside(out, run, at) if "�" not in rest for p in _many_parts(rest, i)]
+    return sorted(out)
 
 
 def _beside(found: list[tuple[int, int, str]], text: str, at: int):

@@ -189,3 +189,43 @@ def test_lookalikes_of_many_scripts(spark):
         assert got == to_one_form(got, looks) and (got == want or text == "ᏴASE" and got != text and got.isascii()), (text, got)
     for text in ["TNFα", "NFκB", "αB", "μg", "σmax", "ΔHmax", "β-blocker α-helix", "Москва", "новости", "Ελλάδα", "kəˈθiːtə", "5 kΩ", "ᏣᎳᎩ", "Հայաստան", "", None]:
         assert to_one_form(text, looks) == text, text
+
+
+TRADITIONAL = "醫療器械監督機構與國際標準實驗證據評價應當記錄關於廠商產品資訊發佈"
+
+
+@pytest.mark.parametrize("good, written, read", [("采购合作伙伴认为审计增长", "utf-8", "gb18030"), ("质控小组认为植入式注册资", "gb18030", "big5hkscs"), ("采购合作伙伴认为审计增长" * 60, "utf-8", "gb18030")])
+def test_passage_wherever_it_begins(good, written, read):
+    before = CLEAN_LINE + TRADITIONAL  # doubtful characters in front, more than any search may skip
+    text = before + good.encode(written).decode(read) + CLEAN_LINE * 200
+    assert is_garbled(text) and restore(text) == before + good + CLEAN_LINE * 200
+    assert not is_garbled(before + CLEAN_LINE) and restore(before) == before
+
+
+def test_cut_is_the_cheapest_of_all():
+    import random
+    from itertools import combinations
+
+    from presslake.llm import wrong_encoding as w
+
+    r, signs = random.Random(4), "采购合作伙伴".encode().decode("gb18030") + "省级訓監奴努"
+    for e, d in [("gb18030", "utf-8"), ("gb18030", "big5hkscs"), ("gb18030", "shift_jis")]:
+        for _ in range(60):
+            text = "采购合作".encode().decode("gb18030")[: r.randrange(6)] + "".join(r.choice(signs) for _ in range(r.randrange(1, 7)))
+
+            def price(spans):
+                total = sum(map(w._one_cost, text))
+                for x, y in spans:
+                    raw, o = "".join(text[x:y]).encode(e), 0
+                    total += w.GAIN - sum(map(w._one_cost, text[x:y]))
+                    while o < len(raw):
+                        n = next((n for n in range(1, 5) if w._read_cost(raw[o : o + n], d) is not None), 0)
+                        if not n:
+                            return 10**9
+                        total += w._read_cost(raw[o : o + n], d)
+                        o += n
+                return total
+
+            spans = list(combinations(range(len(text) + 1), 2))
+            every = [[], *([s] for s in spans), *([a, b] for a, b in combinations(spans, 2) if a[1] <= b[0])]
+            assert price(w._cheapest_cut(text, e, d, 1)) <= min(map(price, every))
