@@ -492,19 +492,15 @@ class HistoryIndex:
         fs.delete(path, True)
 
 
-#: Rounds after the history in which :func:`duplicates_of_accepted` goes through the batches of a table.
-ROUNDS = 2
-
-
-def duplicates_of_accepted(rows: DataFrame, index: HistoryIndex | None = None, rounds: int = ROUNDS, **limits) -> DataFrame:
+def duplicates_of_accepted(rows: DataFrame, index: HistoryIndex | None = None, **limits) -> DataFrame:
     """Cases (rec_id_a, rec_id_b): row b is not accepted as it has the article id or
     link of the accepted row a.
 
     ``rows`` needs batch_no, rec_id, article_id and link; delivery order is
     (batch_no, rec_id), a null batch_no counts as history (0).  The history is screened
-    first, then the batches in ``rounds``, neighbours together, each round
-    against the ``index`` of what was accepted before; without one an index is made in
-    the checkpoint folder and removed at the end.  If two accepted rows hold a row's
+    first, then batch after batch: each is searched in the ``index`` of what was accepted
+    before and adds its segment to it, and segments are compacted as they gather; without
+    one an index is made in the checkpoint folder and removed at the end.  If two accepted rows hold a row's
     keys, the one with its identifier is named.  Null, blank and sign-only keys match
     nothing; rows without rec_id are left out; an empty table gives no cases.  Other
     columns are not read."""
@@ -513,15 +509,12 @@ def duplicates_of_accepted(rows: DataFrame, index: HistoryIndex | None = None, r
     base = f"{spark.sparkContext.getCheckpointDir()}/history-{uuid.uuid4().hex}"
     work = HistoryIndex(spark, base)
     numbers = sorted(r[0] for r in rows.select(F.coalesce(F.col("batch_no"), F.lit(0)).cast("int")).distinct().collect())  # one per delivery
-    parts = [numbers[:1]] * bool(numbers) + [[int(n) for n in x] for x in np.array_split(numbers[1:], max(1, min(rounds, len(numbers) - 1))) if len(x)]
-    nothing = rows.where("false").select(F.col("rec_id").cast("bigint").alias("rec_id_a"), F.col("rec_id").cast("bigint").alias("rec_id_b"))
-    if not parts:
-        return nothing
-    # Keys are made once and stored by round, so that a round reads its own only.
-    turn = reduce(lambda a, b: a + b, [(F.col("batch_no") > p[-1]).cast("int") for p in parts])
-    key_edges(rows).withColumn("round", turn).write.partitionBy("round").parquet(f"{base}/edges")
-    edges = spark.read.schema(f"{_EDGES}, round int").parquet(f"{base}/edges")
+    if not numbers:
+        return rows.where("false").select(F.col("rec_id").cast("bigint").alias("rec_id_a"), F.col("rec_id").cast("bigint").alias("rec_id_b"))
+    # Keys are made once and stored by batch, so that a batch reads its own only.
+    key_edges(rows).write.partitionBy("batch_no").parquet(f"{base}/edges")
+    edges = spark.read.schema(_EDGES).parquet(f"{base}/edges")
     index = index or HistoryIndex(spark, f"{base}/index", **limits)
-    cases = [index.screen_edges(edges.where(F.col("round") == i).drop("round")) for i in range(len(parts))]
+    cases = [index.screen_edges(edges.where(F.col("batch_no") == n)) for n in numbers]
     work.clear()
     return reduce(DataFrame.unionByName, cases)

@@ -134,3 +134,23 @@ def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
     with pytest.raises(Exception, match="exists"):
         index._commit(state, [], [])
     assert len(index._manifest()["segments"]) == 1
+
+
+def test_each_batch_is_searched_and_stored_by_itself(spark, tmp_path, monkeypatch):
+    screened, states, screen, commit = [], [], HistoryIndex.screen_edges, HistoryIndex._commit
+
+    def watched(self, edges):
+        screened.append(sorted({x.batch_no for x in edges.select("batch_no").collect()}))
+        return screen(self, edges)
+
+    def committed(self, before, segments, retired):
+        states.append((len(segments), len(retired)))
+        return commit(self, before, segments, retired)
+
+    monkeypatch.setattr(HistoryIndex, "screen_edges", watched)
+    monkeypatch.setattr(HistoryIndex, "_commit", committed)
+    rows = [(100 * b + i, b or None, f"id{50 * b + i}", f"http://x.example/{b}/{i % 40}") for b in range(7) for i in range(60)]
+    got = duplicates_of_accepted(frame(spark, rows), HistoryIndex(spark, f"{tmp_path}/index"))
+    assert {tuple(x) for x in got.collect()} == brute(rows)
+    assert screened == [[b] for b in range(7)]  # none beside another
+    assert sum(not retired for _, retired in states) == 7 and any(retired > 1 for _, retired in states)  # a segment each, and compaction
